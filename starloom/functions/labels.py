@@ -49,10 +49,13 @@ def pct_label(v: Column) -> Column:
 
 def discount_band(discount: Column) -> Column:
     """Sort-prefixed band label; the first band is an equality test."""
+    def dec(v: float) -> Column:
+        return F.lit(f"{v:.2f}").cast("decimal(10,2)")
+
     first_val, first_label = DISCOUNT_BANDS[0]
-    expr = F.when(discount == F.lit(first_val), F.lit(first_label))
+    expr = F.when(discount == dec(first_val), F.lit(first_label))
     for upper, label in DISCOUNT_BANDS[1:]:
-        expr = expr.when(discount <= F.lit(upper), F.lit(label))
+        expr = expr.when(discount <= dec(upper), F.lit(label))
     return expr.otherwise(F.lit(DISCOUNT_BAND_TOP))
 
 

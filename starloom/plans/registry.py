@@ -18,7 +18,7 @@ from ..operators import facts as FACT
 from ..operators import rfm as RFM
 from ..sources import testdata as TD
 from ..sources import warehouse as WH
-from . import reports
+from . import dashboard, reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,6 @@ def queries() -> dict[str, QueryFn]:
         "fact_rfm": _table("fact_rfm", drop=("rfm_id",)),
         "rfm_value_counts": _rfm_counts,
     }
-    for name, fn in reports.REPORTS.items():
+    for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD}.items():
         q[name] = _on_warehouse(fn)
     return q
