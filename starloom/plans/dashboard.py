@@ -173,7 +173,8 @@ def d07_subcategory(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
 
 def treemap_rollup(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     """Root → category → sub-category boxes: revenue per box; colour = gross profit
-    for a leaf, the revenue-weighted mean of the children's colour for a parent."""
+    for a leaf, the revenue-weighted mean of the children's colour for a parent
+    (exact decimal, rounded to cents)."""
     s = _subcategory_sums(wh, labels)
     return (s.rollup("category", "subcategory")
             .agg(F.sum("revenue").alias("_rev"),
@@ -183,7 +184,9 @@ def treemap_rollup(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
                      .otherwise(F.lit(2)).alias("level"),
                     "category", "subcategory",
                     F.col("_rev").cast("double").alias("revenue"),
-                    M.float_ratio(F.col("_rev_gp"), F.col("_rev")).alias("color"))
+                    F.round(F.col("_rev_gp").cast("decimal(30,4)")
+                            / F.nullif(F.col("_rev").cast("decimal(24,2)"), F.lit(0)), 2)
+                     .cast("double").alias("color"))
             .orderBy(asc("level"), asc("category"), asc("subcategory")))
 
 
