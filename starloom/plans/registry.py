@@ -18,7 +18,7 @@ from ..operators import facts as FACT
 from ..operators import rfm as RFM
 from ..sources import testdata as TD
 from ..sources import warehouse as WH
-from . import dashboard, reports
+from . import dashboard, maintenance, reports
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,14 @@ def _on_warehouse(fn) -> QueryFn:
     return run
 
 
+def _with_source(fn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(fn(WH.for_testdata(spark, sf_dir), spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _table(name: str, drop: tuple[str, ...] = ()) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = WH.for_testdata(spark, sf_dir)[name]
@@ -75,6 +83,8 @@ def queries() -> dict[str, QueryFn]:
         "fact_rfm": _table("fact_rfm", drop=("rfm_id",)),
         "rfm_value_counts": _rfm_counts,
     }
-    for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD}.items():
+    for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD, **maintenance.ON_WAREHOUSE}.items():
         q[name] = _on_warehouse(fn)
+    for name, fn in maintenance.ON_WAREHOUSE_AND_SOURCE.items():
+        q[name] = _with_source(fn)
     return q
