@@ -81,6 +81,12 @@ def exact_avg(c: Column | str, scale: int, integral: bool = False) -> Column:
     return F.round(s / F.count(c), scale).cast("double")
 
 
+def exact_avg_from(total: Column, count: Column, scale: int) -> Column:
+    """``ROUND(total / count, scale)`` for an exact (decimal or integer) total and a
+    row count — the average rebuilt from partial sums and counts."""
+    return F.round(total.cast("decimal(30,4)") / F.nullif(count, F.lit(0)).cast("decimal(20,0)"), scale).cast("double")
+
+
 def exact_ratio_pct(num: Column, den: Column, scale: int = 1) -> Column:
     """``ROUND(num / NULLIF(den, 0) * 100, scale)`` in decimal, as DOUBLE.
 

@@ -136,33 +136,39 @@ def kpi_labels(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
 
 # ── page 2: products ──────────────────────────────────────────────────────────
 
-def _with_product(wh: Warehouse, labels: StatusLabels, *cols: str) -> DataFrame:
-    p = wh["dim_product"].select("product_key", *cols)
-    return _not_cancelled(wh, labels).join(p, "product_key")
+def _per_product(wh: Warehouse, labels: StatusLabels, *cols: str, discount_as_fraction: bool = False) -> DataFrame:
+    """Not-cancelled lines reduced to one row per product key (revenue, profit and
+    discount sums), then joined to the requested product columns: the join meets
+    one row per product instead of every order line."""
+    sums = (_not_cancelled(wh, labels).withColumn("_disc", _discount(discount_as_fraction))
+            .groupBy("product_key")
+            .agg(F.sum("revenue").alias("rev"), F.sum("gross_profit").alias("gp"),
+                 F.sum("_disc").alias("ds"), F.count("_disc").alias("dn")))
+    return sums.join(wh["dim_product"].select("product_key", *cols), "product_key")
 
 
 def d05_top_products(wh: Warehouse, labels: StatusLabels = LITERAL, limit: int = 15) -> DataFrame:
-    return (_with_product(wh, labels, "product_name", "category")
+    return (_per_product(wh, labels, "product_name", "category")
             .groupBy("product_name", "category")
-            .agg(_dsum("revenue").alias("revenue"), _dsum("gross_profit").alias("gross_profit"),
-                 M.float_ratio(F.sum("gross_profit"), F.sum("revenue"), 100).alias("margin_pct"))
+            .agg(_dsum("rev").alias("revenue"), _dsum("gp").alias("gross_profit"),
+                 M.float_ratio(F.sum("gp"), F.sum("rev"), 100).alias("margin_pct"))
             .withColumn("revenue_label", L.money_label(F.col("revenue")))
             .orderBy(desc("revenue"), asc("product_name"), asc("category"))
             .limit(limit))
 
 
 def d06_category_margin(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
-    return (_with_product(wh, labels, "category")
+    return (_per_product(wh, labels, "category")
             .groupBy("category")
-            .agg(_dsum("revenue").alias("revenue"), _dsum("gross_profit").alias("gross_profit"),
-                 M.float_ratio(F.sum("gross_profit"), F.sum("revenue"), 100).alias("margin_pct"))
+            .agg(_dsum("rev").alias("revenue"), _dsum("gp").alias("gross_profit"),
+                 M.float_ratio(F.sum("gp"), F.sum("rev"), 100).alias("margin_pct"))
             .orderBy(desc("revenue"), asc("category")))
 
 
 def _subcategory_sums(wh: Warehouse, labels: StatusLabels) -> DataFrame:
-    return (_with_product(wh, labels, "category", "subcategory")
+    return (_per_product(wh, labels, "category", "subcategory")
             .groupBy("category", "subcategory")
-            .agg(F.sum("revenue").alias("revenue"), F.sum("gross_profit").alias("gross_profit")))
+            .agg(F.sum("rev").alias("revenue"), F.sum("gp").alias("gross_profit")))
 
 
 def d07_subcategory(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
@@ -191,12 +197,11 @@ def treemap_rollup(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
 
 
 def d08_margin_tier(wh: Warehouse, labels: StatusLabels = LITERAL, discount_as_fraction: bool = False) -> DataFrame:
-    return (_with_product(wh, labels, "margin_tier")
-            .withColumn("_disc", _discount(discount_as_fraction))
+    return (_per_product(wh, labels, "margin_tier", discount_as_fraction=discount_as_fraction)
             .groupBy("margin_tier")
-            .agg(_dsum("revenue").alias("revenue"), _dsum("gross_profit").alias("gross_profit"),
-                 M.float_avg("_disc", 100).alias("avg_discount"),
-                 M.float_ratio(F.sum("gross_profit"), F.sum("revenue"), 100).alias("realized_margin"))
+            .agg(_dsum("rev").alias("revenue"), _dsum("gp").alias("gross_profit"),
+                 (F.sum("ds").cast("double") / F.sum("dn") * F.lit(100.0)).alias("avg_discount"),
+                 M.float_ratio(F.sum("gp"), F.sum("rev"), 100).alias("realized_margin"))
             .orderBy(desc("realized_margin"), asc("margin_tier")))
 
 

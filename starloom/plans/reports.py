@@ -76,15 +76,23 @@ def q02_category_revenue(wh: Warehouse) -> DataFrame:
 
 def q03_top_products(wh: Warehouse, limit: int = 20) -> DataFrame:
     """Best sellers by revenue. Grouped by name/category/sub-category/brand, so two
-    products sharing all four merge into one row."""
+    products sharing all four merge into one row.
+
+    The fact is first reduced to one row per product key (sums and counts are
+    decomposable), so the product join shuffles products, not order lines.
+    """
     keys = ["product_name", "category", "subcategory", "brand"]
+    per_product = (_completed(wh).groupBy("product_key")
+                   .agg(F.sum("quantity").alias("q"), F.sum("revenue").alias("rev"),
+                        F.sum("gross_profit").alias("gp"), F.sum("discount_pct").alias("ds"),
+                        F.count("discount_pct").alias("dn")))
     p = wh["dim_product"].select("product_key", *keys)
-    return (_completed(wh).join(p, "product_key")
+    return (per_product.join(p, "product_key")
             .groupBy(*keys)
-            .agg(_units().alias("units_sold"),
-                 M.money_sum("revenue").alias("total_revenue"),
-                 M.money_sum("gross_profit").alias("gross_profit"),
-                 M.exact_avg("discount_pct", 1).alias("avg_discount_pct"))
+            .agg(F.sum("q").cast("long").alias("units_sold"),
+                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+                 F.round(F.sum("gp"), 2).cast("double").alias("gross_profit"),
+                 M.exact_avg_from(F.sum("ds"), F.sum("dn"), 1).alias("avg_discount_pct"))
             .orderBy(desc("total_revenue"), *[asc(k) for k in keys])
             .limit(limit))
 
@@ -99,15 +107,27 @@ def q04_channel_payment(wh: Warehouse) -> DataFrame:
 
 
 def q05_top_customers(wh: Warehouse, limit: int = 20) -> DataFrame:
+    """Top customers by lifetime value.
+
+    Every grouping column is an attribute of the customer key (unique in the
+    dimension), so the fact is aggregated per customer key first and only one row
+    per customer meets the dimension.
+    """
+    per_customer = (_completed(wh).groupBy("customer_key")
+                    .agg(_orders().alias("total_orders"), _units().alias("units_bought"),
+                         F.sum("revenue").alias("rev"),
+                         F.min("order_date").alias("first_order"),
+                         F.max("order_date").alias("last_order")))
     c = (wh["dim_customer"]
          .select("customer_key", "customer_id", "state", "age_group", "is_premium",
                  X.full_name(F.col("first_name"), F.col("last_name")).alias("customer_name")))
-    return (_completed(wh).join(c, "customer_key")
+    return (per_customer.join(c, "customer_key")
             .groupBy("customer_id", "customer_name", "state", "age_group", "is_premium")
-            .agg(_orders().alias("total_orders"), _units().alias("units_bought"),
-                 M.money_sum("revenue").alias("lifetime_value"),
-                 F.min("order_date").alias("first_order"),
-                 F.max("order_date").alias("last_order"))
+            .agg(F.sum("total_orders").cast("long").alias("total_orders"),
+                 F.sum("units_bought").cast("long").alias("units_bought"),
+                 F.round(F.sum("rev"), 2).cast("double").alias("lifetime_value"),
+                 F.min("first_order").alias("first_order"),
+                 F.max("last_order").alias("last_order"))
             .orderBy(desc("lifetime_value"), asc("customer_id"))
             .limit(limit))
 
@@ -141,32 +161,48 @@ def q06_return_rates(wh: Warehouse) -> DataFrame:
             .orderBy(desc("return_rate_pct"), asc("category")))
 
 
+def _per_customer_order(fact: DataFrame) -> DataFrame:
+    """Lines reduced to one row per (customer key, order): revenue, line count and
+    discount sums. Keeping the order id in the key keeps distinct-order counts
+    exact whatever the data; the reduction is lines → orders before any join."""
+    return (fact.groupBy("customer_key", "order_id")
+            .agg(F.sum("revenue").alias("rev"), F.count("revenue").alias("rev_n"),
+                 F.count(F.lit(1)).alias("lines"),
+                 F.sum("discount_pct").alias("ds"), F.count("discount_pct").alias("dn")))
+
+
 def q07_state_revenue(wh: Warehouse) -> DataFrame:
     c = wh["dim_customer"].select("customer_key", "customer_id", "state")
-    return (_completed(wh).join(c, "customer_key")
+    return (_per_customer_order(_completed(wh)).join(c, "customer_key")
             .groupBy("state")
             .agg(F.countDistinct("customer_id").cast("long").alias("customers"),
                  _orders().alias("orders"),
-                 M.money_sum("revenue").alias("total_revenue"),
-                 M.exact_avg("revenue", 2).alias("avg_order_value"))
+                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+                 M.exact_avg_from(F.sum("rev"), F.sum("rev_n"), 2).alias("avg_order_value"))
             .orderBy(desc("total_revenue"), asc("state")))
 
 
 def q08_premium_vs_standard(wh: Warehouse) -> DataFrame:
     """Premium vs standard customers. ``avg_order_value`` averages each line's
-    order total (orders of every status), so larger orders weigh more."""
+    order total (orders of every status), so larger orders weigh more.
+
+    Completed lines are reduced per (customer, order) first; each reduced row
+    carries its line count, so the line-weighted average stays exact.
+    """
     order_totals = (wh.fact.groupBy("order_id")
                     .agg(F.sum("revenue").alias("order_revenue")))
     c = wh["dim_customer"].select("customer_key", "customer_id", "is_premium")
-    return (_completed(wh)
+    weighted = F.when(F.col("order_revenue").isNotNull(), F.col("order_revenue") * F.col("lines"))
+    weight = F.when(F.col("order_revenue").isNotNull(), F.col("lines"))
+    return (_per_customer_order(_completed(wh))
             .join(order_totals, "order_id")
             .join(c, "customer_key")
             .groupBy("is_premium")
             .agg(F.countDistinct("customer_id").cast("long").alias("customers"),
                  _orders().alias("total_orders"),
-                 M.exact_avg("order_revenue", 2).alias("avg_order_value"),
-                 M.money_sum("revenue").alias("total_revenue"),
-                 M.exact_avg("discount_pct", 1).alias("avg_discount_pct"))
+                 M.exact_avg_from(F.sum(weighted), F.sum(weight), 2).alias("avg_order_value"),
+                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+                 M.exact_avg_from(F.sum("ds"), F.sum("dn"), 1).alias("avg_discount_pct"))
             .orderBy(desc("is_premium")))
 
 
