@@ -87,6 +87,8 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
     fact = FACT.build_fact(orders, dim_customer, dim_product)
     # sale_id: unique, increasing per write task (a sequence, not gap-free).
     fact = fact.select((F.monotonically_increasing_id() + F.lit(1)).alias("sale_id"), *fact.columns)
+    # Written straight from the last join's output: AQE has already sized those
+    # partitions and split skewed keys, so no extra shuffle of the fact is added.
     fact = keep("fact_sales", S.conform(fact, S.FACT_SALES))
     rfm = RFM.build_rfm(fact.drop("sale_id"), snapshot, **rank_kw)
     rfm = rfm.select((F.monotonically_increasing_id() + F.lit(1)).alias("rfm_id"), *rfm.columns)
