@@ -18,7 +18,7 @@ from ..operators import facts as FACT
 from ..operators import rfm as RFM
 from ..sources import testdata as TD
 from ..sources import warehouse as WH
-from . import dashboard, maintenance, reports
+from . import dashboard, maintenance, reports, sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -87,4 +87,6 @@ def queries() -> dict[str, QueryFn]:
         q[name] = _on_warehouse(fn)
     for name, fn in maintenance.ON_WAREHOUSE_AND_SOURCE.items():
         q[name] = _with_source(fn)
+    for name in sql.REPORT_SQL:
+        q[name] = _on_warehouse(sql.report(name))
     return q
