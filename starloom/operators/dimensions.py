@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import money as M
 from ..functions import text as X
-from ..session import checkpoint_dir
 from ..sources import schemas as S
 from .ranking import dense_key, keep_first
+from .stage import materialize
 
 
 def _as_date(d) -> dt.date:
@@ -55,10 +55,8 @@ def build_dim_date(spark: SparkSession, start, end) -> DataFrame:
 def build_dim_customer(customers: DataFrame, **rank_kw) -> DataFrame:
     """Normalise e-mail, keep the first customer (lowest ``customer_id``) per
     e-mail, then number the survivors 1..N by ``customer_id``."""
-    spark = customers.sparkSession
-    checkpoint_dir(spark)
     cleaned = customers.withColumn("email", X.normalize_email(F.col("email")))
-    kept = keep_first(cleaned, "email", "customer_id").checkpoint(eager=True)
+    kept = materialize(keep_first(cleaned, "email", "customer_id"), "customers-kept")
     keyed = dense_key(kept, "customer_id", "customer_key", **rank_kw)
     return S.conform(keyed, S.DIM_CUSTOMER)
 

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
 from .ranking import global_rank, keep_first
+from .stage import materialize
 
 
 class DuplicateSourceKey(ValueError):
@@ -111,8 +111,7 @@ def upserted(target: DataFrame, source: DataFrame, key: str, update_cols: Sequen
     if new_key is None:
         return merged.drop("_old")
     # materialised once: both the kept rows and the newly keyed rows come from it
-    checkpoint_dir(merged.sparkSession)
-    merged = merged.checkpoint(eager=True)
+    merged = materialize(merged, "upsert-merged")
     key_col, order_col = new_key
     start = next_id(target, key_col) - 1
     old = merged.filter(F.col("_old")).drop("_old")

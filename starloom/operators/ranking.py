@@ -63,50 +63,64 @@ def _order_cols(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-def global_rank(df: DataFrame, order: OrderSpec, out: str = "rank",
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                seed: int = 7, n: int | None = None) -> tuple[DataFrame, int]:
-    """Add ``out`` = 1-based position of each row in ``order``; return (frame, row count).
-
-    ``df`` is read several times (count, sample, bucket sizes, result), so pass a
-    materialised frame (a checkpoint or a written table).
+def global_ranks(df: DataFrame, orders: dict[str, OrderSpec],
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                 seed: int = 7, n: int | None = None) -> tuple[DataFrame, int]:
+    """Add one 1-based rank column per entry of ``orders`` ({column: order}).
+
+    All orders share one row count, one key sample and one pass counting bucket
+    sizes; the numbering itself is one window per order inside the final plan.
+    ``df`` is read several times, so pass a materialised frame.
     """
     if n is None:
         n = df.count()
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    cols = [c for c, _ in order]
     if buckets == 1:
-        ranked = df.withColumn(out, F.row_number().over(Window.orderBy(*_order_cols(order))).cast("long"))
-        return ranked, n
+        out = df
+        for name, order in orders.items():
+            out = out.withColumn(name, F.row_number().over(Window.orderBy(*_order_cols(order))).cast("long"))
+        return out, n
 
+    cols = list(dict.fromkeys(c for order in orders.values() for c, _ in order))
     target = SAMPLES_PER_BUCKET * buckets
     fraction = min(1.0, 2.0 * target / n)
-    sample = df.select(*cols).sample(False, fraction, seed).limit(4 * target).collect()
-    sample = _sorted_sample(sample, order)
-    if len(sample) < buckets:
-        buckets = max(1, len(sample))
-    boundaries = [sample[(j * len(sample)) // buckets] for j in range(1, buckets)]
-    # de-duplicate (possible only if the last key were not unique) keeping order
-    dedup = []
-    for b in boundaries:
-        if not dedup or b != dedup[-1]:
-            dedup.append(b)
-    boundaries = dedup
-    bucket = _bucket_expr(order, boundaries)
-
-    with_bucket = df.withColumn("_bucket", bucket)
-    sizes = dict(with_bucket.groupBy("_bucket").count().collect())
-    offsets, running = [], 0
-    for b in range(len(boundaries) + 1):
-        offsets.append(running)
-        running += sizes.get(b, 0)
-    w = Window.partitionBy("_bucket").orderBy(*_order_cols(order))
-    ranked = (with_bucket
-              .withColumn(out, (F.row_number().over(w)
-                                + F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<long>"),
-                                               F.col("_bucket") + 1)).cast("long"))
-              .drop("_bucket"))
-    return ranked, n
+    sample = [r.asDict() for r in df.select(*cols).sample(False, fraction, seed).limit(4 * target).collect()]
+
+    bucket_cols = {}
+    for i, (name, order) in enumerate(orders.items()):
+        keyed = _sorted_sample([tuple(r[c] for c, _ in order) for r in sample], order)
+        b = max(1, min(buckets, len(keyed)))
+        bounds = []
+        for j in range(1, b):
+            k = keyed[(j * len(keyed)) // b]
+            if not bounds or k != bounds[-1]:
+                bounds.append(k)
+        bucket_cols[name] = (f"_b{i}", _bucket_expr(order, bounds) if bounds else F.lit(0), len(bounds) + 1)
+
+    with_b = df.withColumns({bc: expr for bc, expr, _ in bucket_cols.values()})
+    # bucket sizes of every order in one pass (partial counts combine map-side)
+    tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("o"), F.col(bc).alias("b"))
+                                 for i, (bc, _, _) in enumerate(bucket_cols.values())]))
+    sizes: dict[tuple[int, int], int] = {}
+    for r in with_b.select(tagged.alias("t")).groupBy("t.o", "t.b").count().collect():
+        sizes[(r["o"], r["b"])] = r["count"]
+
+    out = with_b
+    for i, (name, order) in enumerate(orders.items()):
+        bc, _, nb = bucket_cols[name]
+        offsets, running = [], 0
+        for b in range(nb):
+            offsets.append(running)
+            running += sizes.get((i, b), 0)
+        w = Window.partitionBy(bc).orderBy(*_order_cols(order))
+        offset = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<long>"), F.col(bc) + 1)
+        out = out.withColumn(name, (F.row_number().over(w) + offset).cast("long"))
+    return out.drop(*[bc for bc, _, _ in bucket_cols.values()]), n
+
+
+def global_rank(df: DataFrame, order: OrderSpec, out: str = "rank", **kw) -> tuple[DataFrame, int]:
+    """Add ``out`` = 1-based position of each row in ``order``; return (frame, row count)."""
+    return global_ranks(df, {out: order}, **kw)
 
 
 def dense_key(df: DataFrame, order_col: str, out: str, **kw) -> DataFrame:

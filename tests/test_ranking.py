@@ -64,3 +64,26 @@ def test_customer_dimension_dedup_and_keys(spark):
     dim = build_dim_customer(raw)
     assert [(r.customer_key, r.customer_id, r.email) for r in dim.orderBy("customer_key").collect()] == \
         [(1, 1, "a@b"), (2, 3, "c@d")]
+
+
+def test_several_ranks_in_one_plan_match_single_partition(spark):
+    from starloom.operators.ranking import global_ranks
+    df = _frame(spark, 2500, seed=11).checkpoint(eager=True)
+    orders = {"r1": [("f", False), ("k", True)], "r2": [("m", True), ("k", True)], "r3": [("f", True), ("m", False), ("k", True)]}
+    ranked, n = global_ranks(df, orders, rows_per_bucket=300)
+    assert n == 2500
+    for name, order in orders.items():
+        w = Window.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order])
+        exp = df.withColumn("e", F.row_number().over(w)).select("k", "e")
+        assert ranked.join(exp, "k").filter(F.col(name) != F.col("e")).count() == 0
+
+
+def test_rfm_scores_equal_with_and_without_buckets(spark):
+    from starloom.operators.rfm import build_rfm
+    from starloom.sources import warehouse as WH
+    wh = WH.for_testdata(spark, "/root/testdata/sf0.01")
+    fact = wh.fact.drop("sale_id")
+    one = build_rfm(fact, "2001-08-01")
+    many = build_rfm(fact, "2001-08-01", rows_per_bucket=100)
+    assert one.count() == many.count() > 1000
+    assert one.exceptAll(many).count() == 0
