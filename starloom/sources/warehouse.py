@@ -84,7 +84,7 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
     keep("dim_date", DIM.build_dim_date(spark, start_d, end_d))
     dim_customer = keep("dim_customer", DIM.build_dim_customer(customers, **rank_kw))
     dim_product = keep("dim_product", DIM.build_dim_product(products, **rank_kw))
-    fact = FACT.build_fact(orders, dim_customer, dim_product)
+    fact, observed = FACT.build_fact_observed(orders, dim_customer, dim_product)
     # sale_id: unique, increasing per write task (a sequence, not gap-free).
     fact = fact.select((F.monotonically_increasing_id() + F.lit(1)).alias("sale_id"), *fact.columns)
     # Written straight from the last join's output: AQE has already sized those
@@ -93,7 +93,10 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
     rfm = RFM.build_rfm(fact.drop("sale_id"), snapshot, **rank_kw)
     rfm = rfm.select((F.monotonically_increasing_id() + F.lit(1)).alias("rfm_id"), *rfm.columns)
     keep("fact_rfm", S.conform(rfm, S.FACT_RFM))
-    return Warehouse(spark, out, start_d, end_d, location)
+    wh = Warehouse(spark, out, start_d, end_d, location)
+    if materialize:   # the fact write above ran the observed plan
+        wh.dropped_rows = int(observed.get["dropped_rows"])
+    return wh
 
 
 def build_from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True, **rank_kw) -> Warehouse:
