@@ -69,13 +69,19 @@ def _orders() -> Column:
 # ── page 1: overview ──────────────────────────────────────────────────────────
 
 def d01_overview_kpi(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
-    return (_not_cancelled(wh, labels)
-            .agg(_dsum("revenue").alias("total_revenue"),
-                 _orders().alias("total_orders"),
-                 F.countDistinct("customer_key").cast("long").alias("total_customers"),
-                 M.float_ratio(F.sum("revenue"), F.countDistinct("order_id")).alias("aov"),
-                 _dsum("gross_profit").alias("total_profit"),
-                 M.float_ratio(F.sum("gross_profit"), F.sum("revenue"), 100).alias("profit_margin_pct")))
+    """Revenue, orders, customers, order value, profit and margin (one row).
+
+    Lines are first reduced to one row per (order, customer) — map-side combined —
+    so the two distinct counts expand orders, not every order line.
+    """
+    per_order = (_not_cancelled(wh, labels).groupBy("order_id", "customer_key")
+                 .agg(F.sum("revenue").alias("rev"), F.sum("gross_profit").alias("gp")))
+    return per_order.agg(_dsum("rev").alias("total_revenue"),
+                         _orders().alias("total_orders"),
+                         F.countDistinct("customer_key").cast("long").alias("total_customers"),
+                         M.float_ratio(F.sum("rev"), F.countDistinct("order_id")).alias("aov"),
+                         _dsum("gp").alias("total_profit"),
+                         M.float_ratio(F.sum("gp"), F.sum("rev"), 100).alias("profit_margin_pct"))
 
 
 def d01_overview_kpi_fixed(wh: Warehouse) -> DataFrame:
