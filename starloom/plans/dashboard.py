@@ -273,11 +273,19 @@ def d11_customer_kpi(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame
                      count_of(SC.CHAMPIONS).alias("champions"),
                      count_of(SC.LOYAL).alias("loyal"),
                      count_of(SC.AT_RISK).alias("at_risk"),
-                     F.coalesce(F.avg("ltv"), F.lit(0.0)).alias("avg_ltv"))
+                     _ordered_mean("ltv").alias("avg_ltv"))
                 .withColumn("avg_ltv_label", L.money_label(F.col("avg_ltv")))
                 .withColumn("total_customers_label", L.number_label(F.col("total_customers"))))
 
 
+def _ordered_mean(c: str) -> Column:
+    """Mean of a handful of per-segment doubles, summed in ascending order so the
+    result does not depend on partitioning; 0 when there is none."""
+    vals = F.array_sort(F.collect_list(F.col(c)))
+    total = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(F.size(vals) > 0, total / F.size(vals)).otherwise(F.lit(0.0))
+
+
 def _customer_rollup(wh: Warehouse, labels: StatusLabels, *cols: str, discount_as_fraction: bool = False) -> DataFrame:
     c = wh["dim_customer"].select("customer_key", "customer_id", *cols)
     return c.join(_per_customer(wh, labels, discount_as_fraction), "customer_key")
