@@ -89,4 +89,6 @@ def queries() -> dict[str, QueryFn]:
         q[name] = _with_source(fn)
     for name in sql.REPORT_SQL:
         q[name] = _on_warehouse(sql.report(name))
+    for name in sql.DASHBOARD_SQL:
+        q[name] = _on_warehouse(sql.dashboard_query(name))
     return q
