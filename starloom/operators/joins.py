@@ -1,4 +1,9 @@
-"""Join helpers with an explicit size guard on broadcasting."""
+"""Broadcast only behind a proof of size.
+
+Dimensions that grow with the data (customers, products) are never forced into a
+broadcast; AQE converts a join to a broadcast only from measured sizes. A side is
+broadcast explicitly only when its row count is known from how it was built.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early),
-    so it stays cheap even when the side turns out to be large. Above the bound the
-    frame is returned unchanged and the join is left to sort-merge / AQE, which can
-    still switch to a broadcast at run time from real shuffle statistics.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def broadcast_bounded_by_construction(df: DataFrame, row_bound: int, max_rows: int) -> DataFrame:
     """Broadcast a side whose row count is known from how it was built.
 
