@@ -56,6 +56,13 @@ class Warehouse:
         return broadcast_bounded_by_construction(self.tables["dim_date"], self.calendar_days,
                                                  DATE_BROADCAST_MAX_ROWS)
 
+    def with_session(self, spark: SparkSession) -> "Warehouse":
+        """The same materialised tables, read through another session."""
+        if spark is self.spark or not self.location:
+            return self
+        tables = {name: spark.read.parquet(f"{self.location}/{name}") for name in self.tables}
+        return Warehouse(spark, tables, self.start_date, self.end_date, self.location, self.dropped_rows)
+
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables.items():
             df.createOrReplaceTempView(prefix + name)
@@ -117,4 +124,4 @@ def for_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
         if wh is None:
             wh = build_from_testdata(spark, sf_dir)
             _CACHE[key] = wh
-        return wh
+        return wh.with_session(spark)
