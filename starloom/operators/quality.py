@@ -39,12 +39,15 @@ def fact_report(fact: DataFrame) -> DataFrame:
                       F.sum("revenue").alias("order_revenue"),
                       F.min("order_date").alias("dmin"), F.max("order_date").alias("dmax")))
     keyed_revenue = F.when(F.col("order_id").isNotNull(), F.col("order_revenue"))
+    def total(c: str) -> Column:   # a count: 0, not NULL, on an empty fact
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
     return per_order.agg(
-        F.sum("neg").cast("long").alias("negative_revenue"),
-        F.sum("zero").cast("long").alias("zero_quantity"),
-        F.sum("miss").cast("long").alias("missing_keys"),
-        F.sum("bad").cast("long").alias("revenue_mismatch"),
-        F.sum("rows").cast("long").alias("total_rows"),
+        total("neg").alias("negative_revenue"),
+        total("zero").alias("zero_quantity"),
+        total("miss").alias("missing_keys"),
+        total("bad").alias("revenue_mismatch"),
+        total("rows").alias("total_rows"),
         F.count("order_id").cast("long").alias("total_orders"),
         M.money_sum("order_revenue").alias("total_revenue"),
         M.exact_avg(keyed_revenue, 2).alias("avg_order_value"),

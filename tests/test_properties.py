@@ -61,3 +61,45 @@ def test_revenue_is_conserved_across_groupings(spark):
         col = "total_revenue"
         s = q(wh).agg(F.sum(col)).first()[0]
         assert abs(s - float(total)) < 0.01
+
+
+money = st.one_of(st.none(), st.decimals(min_value=-50, max_value=500, places=2, allow_nan=False, allow_infinity=False))
+fact_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 8)),      # order_id
+                               st.one_of(st.none(), st.integers(1, 3)),      # customer_key
+                               st.integers(0, 3),                            # quantity
+                               money, money), max_size=30)
+
+
+@SETTINGS
+@given(rows=fact_rows)
+def test_fact_report_model(spark, rows):
+    import datetime as dt
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from starloom.operators import quality as Q
+    d = dt.date(2022, 1, 1)
+    data = [(o, c, 1, q, p, r, d) for o, c, q, p, r in rows]
+    schema = ("order_id long, customer_key long, product_key long, quantity smallint, net_price decimal(10,2), "
+              "revenue decimal(12,2), order_date date")
+    got = Q.fact_report(spark.createDataFrame(data, schema)).first()
+    assert got.total_rows == len(rows)
+    assert got.negative_revenue == sum(1 for r in rows if r[4] is not None and r[4] < 0)
+    assert got.zero_quantity == sum(1 for r in rows if r[2] == 0)
+    assert got.missing_keys == sum(1 for r in rows if r[1] is None)
+
+    def mismatch(q, p, r):
+        if r is None or p is None:
+            return True
+        return r != (q * p).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    assert got.revenue_mismatch == sum(1 for _, _, q, p, r in rows if mismatch(q, p, r))
+    orders = {}
+    for o, _, _, _, r in rows:
+        if o is not None:
+            orders.setdefault(o, []).append(r)
+    assert got.total_orders == len(orders)
+    sums = [sum(x for x in v if x is not None) for v in orders.values() if any(x is not None for x in v)]
+    if sums:
+        exp = (sum(sums) / len(sums)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert got.avg_order_value == float(exp)
+    else:
+        assert got.avg_order_value is None
