@@ -30,15 +30,20 @@ PAYMENT_OTHER = "credit_card"
 CHANNEL_BY_CUSTKEY_MOD5 = {0: "mobile", 1: "email", 2: "social"}
 CHANNEL_OTHER = "web"
 SIGNUP_EPOCH = "1995-01-01"
-# Calendar of the test data: first and last order date, also the RFM snapshot.
-TEST_START_DATE = "1995-01-01"
-TEST_END_DATE = "2001-08-01"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple:
+    """First and last order date of the data: the calendar range of the date
+    dimension and the RFM snapshot date (one global min/max aggregate)."""
+    d = F.col("o_orderdate").cast("date")
+    row = read_table(spark, sf_dir, "orders").agg(F.min(d).alias("s"), F.max(d).alias("e")).first()
+    return row["s"], row["e"]
+
+
 def _case(col, mapping: dict, other):
     expr = None
     for k, v in mapping.items():

@@ -107,9 +107,10 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
 
 
 def build_from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True, **rank_kw) -> Warehouse:
+    """The warehouse of the test tables; calendar and snapshot span the order dates."""
+    start, end = TD.calendar_bounds(spark, sf_dir)
     return build(spark, TD.raw_customers(spark, sf_dir), TD.raw_products(spark, sf_dir),
-                 TD.raw_orders(spark, sf_dir), TD.TEST_START_DATE, TD.TEST_END_DATE,
-                 materialize=materialize, **rank_kw)
+                 TD.raw_orders(spark, sf_dir), start, end, materialize=materialize, **rank_kw)
 
 
 _CACHE: dict[tuple, Warehouse] = {}
