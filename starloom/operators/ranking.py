@@ -16,6 +16,10 @@ one range bucket:
 The last sort key must be unique, so the order is total: boundaries then split
 runs of equal values (a low-cardinality score column cannot overload a bucket)
 and the numbering is deterministic. Sort keys must be non-NULL.
+
+Buckets reach tasks through the window's hash exchange, so a task may sort a
+few buckets. Each bucket stays bounded by ``rows_per_bucket`` (up to
+``MAX_BUCKETS``), whatever the skew of the values.
 """
 
 from __future__ import annotations
