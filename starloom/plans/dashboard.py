@@ -94,7 +94,7 @@ def d02_monthly_trend(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFram
             .groupBy("_month")
             .agg(_dsum("revenue").alias("revenue"), _dsum("gross_profit").alias("gross_profit"),
                  _orders().alias("orders"))
-            .select(F.date_format("_month", "yyyy-MM").alias("month"), "revenue", "gross_profit", "orders")
+            .select(D.month_label(F.col("_month")).alias("month"), "revenue", "gross_profit", "orders")
             .orderBy(asc("month")))
 
 
@@ -418,7 +418,7 @@ def _monthly_status(wh: Warehouse) -> DataFrame:
 
 def d20_monthly_status(wh: Warehouse) -> DataFrame:
     return (_monthly_status(wh)
-            .select(F.date_format("_month", "yyyy-MM").alias("month"), "order_status",
+            .select(D.month_label(F.col("_month")).alias("month"), "order_status",
                     F.col("_revenue").cast("double").alias("revenue"))
             .orderBy(asc("month"), asc("order_status")))
 
@@ -428,7 +428,7 @@ def monthly_status_stack(wh: Warehouse) -> DataFrame:
     w = (Window.partitionBy("_month").orderBy(F.col("order_status").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (_monthly_status(wh)
-            .select(F.date_format("_month", "yyyy-MM").alias("month"), "order_status",
+            .select(D.month_label(F.col("_month")).alias("month"), "order_status",
                     F.col("_revenue").cast("double").alias("revenue"),
                     F.sum("_revenue").over(w).cast("double").alias("stacked_revenue"))
             .orderBy(asc("month"), asc("order_status")))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import money as M
 from . import schemas as S
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -52,9 +53,9 @@ def _case(col, mapping: dict, other):
 
 
 def _unit_cost(partkey, price):
-    # cost ratio 5 %..105 % of the price, by part key
-    ratio = (F.lit(5) + F.lit(5) * (partkey % 21)).cast("decimal(5,0)")
-    return F.round(price * ratio * F.lit(0.01).cast("decimal(3,2)"), 2).cast(S.MONEY)
+    # cost ratio 5 %..105 % of the price, by part key (exact decimal ratio)
+    ratio = (F.lit(5) + F.lit(5) * (partkey % 21)).cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)")
+    return M.unit_cost_from_ratio(price, ratio)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
