@@ -67,15 +67,22 @@ def _order_cols(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
+ROWS_PER_BUCKET_CONF = "spark.starloom.rank.rowsPerBucket"
+
+
 def global_ranks(df: DataFrame, orders: dict[str, OrderSpec],
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+                 rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
                  seed: int = 7, n: int | None = None) -> tuple[DataFrame, int]:
     """Add one 1-based rank column per entry of ``orders`` ({column: order}).
 
     All orders share one row count, one key sample and one pass counting bucket
     sizes; the numbering itself is one window per order inside the final plan.
-    ``df`` is read several times, so pass a materialised frame.
+    ``df`` is read several times, so pass a materialised frame. The bucket size
+    defaults to the session setting ``spark.starloom.rank.rowsPerBucket``
+    (4,000,000 rows when unset).
     """
+    if rows_per_bucket is None:
+        rows_per_bucket = int(df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
     if n is None:
         n = df.count()
     buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))

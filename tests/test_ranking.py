@@ -87,3 +87,16 @@ def test_rfm_scores_equal_with_and_without_buckets(spark):
     many = build_rfm(fact, "2001-08-01", rows_per_bucket=100)
     assert one.count() == many.count() > 1000
     assert one.exceptAll(many).count() == 0
+
+
+def test_bucket_size_from_session_setting(spark):
+    from starloom.operators.ranking import ROWS_PER_BUCKET_CONF
+    df = spark.range(400).selectExpr("id AS k", "id % 3 AS v").checkpoint(eager=True)
+    spark.conf.set(ROWS_PER_BUCKET_CONF, "50")
+    try:
+        ranked, _ = global_rank(df, [("v", True), ("k", True)], out="r")
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan
+        assert sorted(r.r for r in ranked.collect()) == list(range(1, 401))
+    finally:
+        spark.conf.unset(ROWS_PER_BUCKET_CONF)
