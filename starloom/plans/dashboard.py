@@ -3,13 +3,13 @@
 The dashboard's SQL compares ``order_status`` with capitalised labels
 (``'Cancelled'``, ``'Completed'`` …) while the warehouse stores lower case, and it
 treats ``discount_pct`` (stored in percent) as a fraction. The literal behaviour
-is the default (``LITERAL`` labels, ``discount_as_stored``); the ``*_fixed``
-variants pass the stored labels and scale the discount to a fraction.
+is the default (``LITERAL`` labels, ``discount_as_fraction=False``); the
+``*_fixed`` variants pass the stored labels and scale the discount to a fraction.
 
 Unrounded ratios and averages are DOUBLE computed from exact decimal sums.
-Customer-level pages pre-aggregate the fact to one row per customer before
-joining the customer tables (sums and counts are decomposable), so the join
-shuffles customers rather than order lines.
+Customer- and product-level pages pre-aggregate the fact to one row per customer
+or product key before joining the dimension (sums and counts are decomposable),
+so the join shuffles customers or products rather than order lines.
 """
 
 from __future__ import annotations
