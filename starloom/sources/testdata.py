@@ -6,9 +6,11 @@ lines. The test data ships TPC-H-like tables instead; the mapping below is fixed
 start from the same raw rows.
 
 Scale notes: every mapping is a per-row projection. ``customer ⋈ nation`` joins a
-25-row table (broadcast by the planner from its file size); ``lineitem ⋈ orders ⋈ part`` are
-large equi-joins left to sort-merge / AQE. ``part`` is joined last so that the
-product join of the fact build, on the same key, can reuse the partitioning.
+25-row table (broadcast by the planner from its file size). Orders are also offered
+as two parts — order headers (one row per order) and order lines priced by
+``part`` — so the fact build can resolve the customer key on headers, four times
+fewer rows than lines, and the product key on lines partitioned by the part key
+they were priced with.
 """
 
 from __future__ import annotations
@@ -96,29 +98,37 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.conform(df, S.RAW_PRODUCTS)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_discount")
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: the order-level attributes of every line."""
+    o = read_table(spark, sf_dir, "orders")
+    okey = F.col("o_orderkey")
+    return o.select(
+        okey.alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.when(okey % 5 < 3, F.lit("completed")).when(okey % 5 == 3, F.lit("returned"))
+         .otherwise(F.lit("cancelled")).alias("order_status"),
+        _case(F.col("o_orderpriority"), PRIORITY_PAYMENT, PAYMENT_OTHER).alias("payment_method"),
+        _case(F.col("o_custkey") % 5, CHANNEL_BY_CUSTKEY_MOD5, CHANNEL_OTHER).alias("channel"),
+    )
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order line with its product price and cost (line ⋈ part)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     price = F.col("p_retailprice").cast(S.MONEY)
-    # orders first, part last: the fact build's product-key lookup joins on the
-    # same key as the price lookup and can reuse its partitioning.
-    lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "inner")
-    okey = F.col("o_orderkey")
-    df = lines.select(
+    return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("l_quantity").cast("smallint").alias("quantity"),
         price.alias("unit_price"),
         _unit_cost(F.col("p_partkey"), price).alias("unit_cost"),
         (F.col("l_discount").cast("decimal(4,2)") * F.lit(250)).cast(S.PCT).alias("discount_pct"),
-        F.when(okey % 5 < 3, F.lit("completed")).when(okey % 5 == 3, F.lit("returned"))
-         .otherwise(F.lit("cancelled")).alias("order_status"),
-        _case(F.col("o_orderpriority"), PRIORITY_PAYMENT, PAYMENT_OTHER).alias("payment_method"),
-        _case(F.col("o_custkey") % 5, CHANNEL_BY_CUSTKEY_MOD5, CHANNEL_OTHER).alias("channel"),
     )
-    return S.conform(df, S.RAW_ORDERS)
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order's attributes: the flat raw input (one row per line)."""
+    lines = order_lines(spark, sf_dir).join(order_headers(spark, sf_dir), "order_id", "inner")
+    return S.conform(lines, S.RAW_ORDERS)

@@ -74,11 +74,14 @@ def _write_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders: DataFrame,
+def build(spark: SparkSession, customers: DataFrame, products: DataFrame,
+          orders: DataFrame | tuple[DataFrame, DataFrame],
           start_date, end_date, snapshot_date=None, location: str | None = None,
           materialize: bool = True, **rank_kw) -> Warehouse:
-    """Run the ETL. With ``materialize`` every table is written under ``location``
-    (default: a fresh folder below the shared checkpoint folder) and re-read."""
+    """Run the ETL. ``orders`` is either the flat order lines or a pair (order
+    headers, order lines). With ``materialize`` every table is written under
+    ``location`` (default: a fresh folder below the shared checkpoint folder) and
+    re-read."""
     start_d, end_d = DIM._as_date(start_date), DIM._as_date(end_date)
     snapshot = DIM._as_date(snapshot_date) if snapshot_date is not None else end_d
     if materialize and location is None:
@@ -97,7 +100,10 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
     step("dim_date", lambda: DIM.build_dim_date(spark, start_d, end_d))
     dim_customer = step("dim_customer", lambda: DIM.build_dim_customer(customers, **rank_kw))
     dim_product = step("dim_product", lambda: DIM.build_dim_product(products, **rank_kw))
-    fact, observed = FACT.build_fact_observed(orders, dim_customer, dim_product)
+    if isinstance(orders, tuple):   # (order headers, order lines)
+        fact, observed = FACT.build_fact_from_parts(orders[0], orders[1], dim_customer, dim_product)
+    else:
+        fact, observed = FACT.build_fact_observed(orders, dim_customer, dim_product)
     # sale_id: unique, increasing per write task (a sequence, not gap-free).
     fact = fact.select((F.monotonically_increasing_id() + F.lit(1)).alias("sale_id"), *fact.columns)
     # Written straight from the last join's output: AQE has already sized those
@@ -119,8 +125,9 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame, orders
 def build_from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True, **rank_kw) -> Warehouse:
     """The warehouse of the test tables; calendar and snapshot span the order dates."""
     start, end = TD.calendar_bounds(spark, sf_dir)
+    orders = (TD.order_headers(spark, sf_dir), TD.order_lines(spark, sf_dir))
     return build(spark, TD.raw_customers(spark, sf_dir), TD.raw_products(spark, sf_dir),
-                 TD.raw_orders(spark, sf_dir), start, end, materialize=materialize, **rank_kw)
+                 orders, start, end, materialize=materialize, **rank_kw)
 
 
 _CACHE: dict[tuple, Warehouse] = {}

@@ -31,3 +31,14 @@ def test_pipeline_runs_twice_append_duplicates_facts_dims_stay(spark, tmp_path):
     from starloom.operators import quality as Q
     fk = Q.foreign_key_violations({n: spark.table(f"{db}.{n}") for n in P.TABLE_SCHEMAS}).collect()
     assert all(r.violations == 0 for r in fk)
+
+
+def test_fact_from_order_parts_equals_flat_build(spark):
+    from starloom.operators import facts as FACT
+    from starloom.sources import testdata as TD
+    wh = WH.for_testdata(spark, SF)
+    dc, dp = wh["dim_customer"], wh["dim_product"]
+    flat, obs_flat = FACT.build_fact_observed(TD.raw_orders(spark, SF), dc, dp)
+    parts, obs_parts = FACT.build_fact_from_parts(TD.order_headers(spark, SF), TD.order_lines(spark, SF), dc, dp)
+    assert flat.exceptAll(parts).count() == 0 and parts.exceptAll(flat).count() == 0
+    assert obs_flat.get == obs_parts.get
