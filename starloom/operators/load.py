@@ -142,7 +142,7 @@ def append_to(path: str, batch: DataFrame, id_col: str | None = None) -> int:
         except Exception:  # noqa: BLE001 — empty / absent table
             start = 1
         batch = with_sequence_ids(batch, id_col, start)
-    obs = Observation("append_to")
+    obs = Observation(f"append_to_{uuid.uuid4().hex}")
     batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
     return int(obs.get["rows"])
 
