@@ -9,7 +9,8 @@ one range bucket:
    ``B − 1`` boundary keys — fixed literals, so a retried task re-derives the
    same bucket for every row;
 3. bucket = position of the row's key among the boundaries, found by a binary
-   search compiled into a nested ``CASE`` (log2 B comparisons per row);
+   search over one constant array of boundaries (log2 B struct comparisons per
+   row; the plan does not grow with B);
 4. ``row_number`` within each bucket, plus the bucket's offset (a running sum of
    the ``B`` bucket sizes, a bounded literal array).
 
@@ -24,11 +25,15 @@ few buckets. Each bucket stays bounded by ``rows_per_bucket`` (up to
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
@@ -56,6 +61,55 @@ def _bucket_expr(order: OrderSpec, boundaries: list) -> Column:
     return search(0, len(boundaries))
 
 
+def _searchable(df: DataFrame, order: OrderSpec) -> bool:
+    """Descending keys must be numeric so they can be negated into an ascending struct."""
+    return all(asc or isinstance(df.schema[c].dataType, T.NumericType) for c, asc in order)
+
+
+def _json_value(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, Decimal)):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v)
+    if isinstance(v, (dt.date, dt.datetime)):
+        return json.dumps(v.isoformat())
+    return json.dumps(v)
+
+
+def _bucket_search(df: DataFrame, order: OrderSpec, boundaries: list) -> Column:
+    """Bucket = number of boundaries ≤ the row key, by binary search.
+
+    The boundaries travel as one JSON string literal parsed by ``from_json`` —
+    a single constant the optimizer folds into an array, so plan size and planning
+    time do not grow with the number of buckets — and the search is a fixed-length
+    ``aggregate`` loop of ⌈log2(B)⌉+1 struct comparisons. Descending numeric keys
+    are negated so that plain (ascending) struct ordering applies.
+    """
+    types = [df.schema[c].dataType for c, _ in order]
+    key = F.struct(*[(F.col(c) if asc else -F.col(c)).cast(t).alias(f"k{i}")
+                     for i, ((c, asc), t) in enumerate(zip(order, types))])
+    rows = []
+    for b in boundaries:
+        vals = [v if asc else -v for (_, asc), v in zip(order, b)]
+        rows.append("{" + ",".join(f'"k{i}":{_json_value(v)}' for i, v in enumerate(vals)) + "}")
+    schema = "array<struct<" + ",".join(f"k{i}:{t.simpleString()}" for i, t in enumerate(types)) + ">>"
+    bounds = F.from_json(F.lit("[" + ",".join(rows) + "]"), schema)
+    n_b = len(boundaries)
+    steps = max(1, math.ceil(math.log2(n_b + 1)) + 1)
+
+    def step(acc: Column, _i: Column) -> Column:
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.shiftright(lo + hi, 1)
+        left = F.struct(lo.alias("lo"), mid.alias("hi"))
+        right = F.struct((mid + 1).alias("lo"), hi.alias("hi"))
+        return F.when(lo < hi, F.when(key < F.element_at(bounds, mid + 1), left).otherwise(right)).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n_b).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
+
+
 def _sorted_sample(rows: list, order: OrderSpec) -> list:
     rows = [tuple(r) for r in rows]
     for i in reversed(range(len(order))):
@@ -106,7 +160,13 @@ def global_ranks(df: DataFrame, orders: dict[str, OrderSpec],
             k = keyed[(j * len(keyed)) // b]
             if not bounds or k != bounds[-1]:
                 bounds.append(k)
-        bucket_cols[name] = (f"_b{i}", _bucket_expr(order, bounds) if bounds else F.lit(0), len(bounds) + 1)
+        if not bounds:
+            expr = F.lit(0)
+        elif _searchable(df, order):
+            expr = _bucket_search(df, order, bounds)
+        else:   # a descending non-numeric key: nested CASE (plan grows with the bucket count)
+            expr = _bucket_expr(order, bounds)
+        bucket_cols[name] = (f"_b{i}", expr, len(bounds) + 1)
 
     with_b = df.withColumns({bc: expr for bc, expr, _ in bucket_cols.values()})
     # bucket sizes of every order in one pass (partial counts combine map-side)

@@ -100,3 +100,11 @@ def test_bucket_size_from_session_setting(spark):
         assert sorted(r.r for r in ranked.collect()) == list(range(1, 401))
     finally:
         spark.conf.unset(ROWS_PER_BUCKET_CONF)
+
+
+def test_descending_string_key_uses_fallback_and_stays_exact(spark):
+    rows = [(i, f"s{(i * 37) % 50:03d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, s string").checkpoint(eager=True)
+    ranked, _ = global_rank(df, [("s", False), ("k", True)], out="r", rows_per_bucket=60)
+    exp = df.withColumn("e", F.row_number().over(Window.orderBy(F.col("s").desc(), F.col("k"))))
+    assert ranked.join(exp, "k").filter(F.col("r") != F.col("e")).count() == 0
