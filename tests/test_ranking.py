@@ -108,3 +108,18 @@ def test_descending_string_key_uses_fallback_and_stays_exact(spark):
     ranked, _ = global_rank(df, [("s", False), ("k", True)], out="r", rows_per_bucket=60)
     exp = df.withColumn("e", F.row_number().over(Window.orderBy(F.col("s").desc(), F.col("k"))))
     assert ranked.join(exp, "k").filter(F.col("r") != F.col("e")).count() == 0
+
+
+def test_date_and_decimal_keys_in_bucket_search(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=(i * 13) % 40), Decimal(f"{(i * 7) % 23}.{i % 100:02d}"))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, d date, m decimal(12,2)").checkpoint(eager=True)
+    from starloom.operators.ranking import global_ranks
+    orders = {"r1": [("d", True), ("k", True)], "r2": [("m", False), ("d", True), ("k", True)]}
+    ranked, _ = global_ranks(df, orders, rows_per_bucket=50)
+    for name, order in orders.items():
+        w = Window.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order])
+        exp = df.withColumn("e", F.row_number().over(w)).select("k", "e")
+        assert ranked.join(exp, "k").filter(F.col(name) != F.col("e")).count() == 0
