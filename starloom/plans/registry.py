@@ -65,7 +65,8 @@ def _line_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fact_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = WH.for_testdata(spark, sf_dir)
-    return FACT.fact_dropped_rows(TD.raw_orders(spark, sf_dir), wh["dim_customer"], wh["dim_product"])
+    return FACT.fact_dropped_rows_from_parts(TD.order_headers(spark, sf_dir), TD.order_lines(spark, sf_dir),
+                                             wh["dim_customer"], wh["dim_product"])
 
 
 def _rfm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
