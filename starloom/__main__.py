@@ -1,7 +1,7 @@
 """Command line: run a named query, or SQL text, over the warehouse of a data folder.
 
     python -m starloom --list
-    python -m starloom q01_monthly [--sf-dir DIR] [--rows N]
+    python -m starloom q01_monthly [--sf-dir DIR] [--rows N] [--explain]
     python -m starloom --sql "SELECT segment, COUNT(*) AS n FROM fact_rfm GROUP BY segment"
 
 The warehouse is built from the folder's tables once per run (see
@@ -23,6 +23,7 @@ def main(argv=None) -> int:
     ap.add_argument("--sf-dir", default=DEFAULT_SF_DIR)
     ap.add_argument("--rows", type=int, default=50, help="rows to show")
     ap.add_argument("--list", action="store_true", help="list the registered queries")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of rows")
     args = ap.parse_args(argv)
 
     from .plans import registry
@@ -45,7 +46,10 @@ def main(argv=None) -> int:
         df = run_sql(WH.for_testdata(spark, args.sf_dir), args.sql)
     else:
         df = names[args.query](spark, args.sf_dir)
-    df.show(args.rows, truncate=False)
+    if args.explain:
+        df.explain("formatted")
+    else:
+        df.show(args.rows, truncate=False)
     return 0
 
 
