@@ -42,3 +42,13 @@ def test_fact_from_order_parts_equals_flat_build(spark):
     parts, obs_parts = FACT.build_fact_from_parts(TD.order_headers(spark, SF), TD.order_lines(spark, SF), dc, dp)
     assert flat.exceptAll(parts).count() == 0 and parts.exceptAll(flat).count() == 0
     assert obs_flat.get == obs_parts.get
+
+
+def test_cached_warehouse_is_served_through_the_callers_session(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    a = q["q10_row_counts"](spark, SF).collect()
+    other = spark.newSession()
+    df = q["q10_row_counts"](other, SF)
+    assert df.sparkSession is other
+    assert sorted(df.collect()) == sorted(a)
