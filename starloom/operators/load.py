@@ -6,8 +6,9 @@ result for plain Parquet tables (no transactional table format is assumed):
 
 * ``append_to`` appends files — like the warehouse's fact load it is not
   idempotent; a second run of the same batch duplicates the rows;
-* ``replace_with`` writes the merged contents to a new version folder and then
-  repoints the table, never overwriting a path that is still being read.
+* ``replace_with`` writes the merged contents to a new version folder; the caller
+  repoints the table to it (the pipeline uses ``ALTER TABLE … SET LOCATION``), so a
+  path that is still being read is never overwritten.
 
 Upserts reject a source that holds a key twice (a database upsert fails on
 "cannot affect row a second time"); the check reads only the source.
