@@ -1,8 +1,10 @@
 """Incremental fact loading with Structured Streaming.
 
-New order-line files arriving in a folder are turned into fact rows by the same
-operator as the batch build (line metrics, surrogate-key lookups, drop of lines
-without keys) — a stream-static join against the dimensions — and appended to a
+New order-line files arriving in a folder are turned into fact rows by the fact
+operator in its flat-lines form (:func:`build_fact`: line metrics, surrogate-key
+lookups, drop of lines without keys — the batch build's rules; the batch build
+uses the header-keyed form of the same rules) — a stream-static join against the
+dimensions — and appended to a
 Parquet table through Spark's file sink, whose commit log makes every micro-batch
 land exactly once even when a batch is retried after an executor loss.
 
