@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quality
+from . import bpe, chat, embed_join, quality
 from .storage import table
 
 
@@ -27,6 +27,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_chat_formatting, op9_byte_bpe)}
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
