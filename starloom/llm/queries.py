@@ -6,14 +6,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_join, quality
-from .storage import table
+from . import bpe, chat, embed_join, html_text, mixing, quality, tokens, url_filter
+from .storage import scratch, table
+
+
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, no source more than twice: one row for each time that a document is shown."""
+    docs = table(spark, sf_dir, "documents")
+    tokens_in = docs.agg(F.sum(mixing.n_tokens(F.col("text")))).first()[0] or 0
+    shown = mixing.mix(docs, mixing.Target(repetition=2.0, budget=float(tokens_in)))
+    return shown.select(F.col("row.doc_id").alias("doc_id"), "source", F.col("pass").cast("long").alias("pass"), F.round("weight", 9).alias("weight"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("line_chars", "ngram_chars", "failed")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to token files in the shared folder, and their checksums read back."""
+    path = scratch(spark, "tokens")
+    tokens.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.checksums(tokens.read(spark, path))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -31,6 +57,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filters, op2_source_mixing, op3_quality_rules, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
