@@ -161,12 +161,12 @@ def near_pairs(boxes: DataFrame, n: int, epsilon: float, top: int) -> DataFrame:
         bounds = [F.min(F.col("lo")[i]).alias(f"l{i}") for i in range(n)] + [F.max(F.col("hi")[i]).alias(f"h{i}") for i in range(n)]
         up = levels[-1].groupBy(F.floor(F.col("node") / FANOUT).cast("long").alias("node")).agg(*bounds)
         levels.append(up.select("node", F.array(*[f"l{i}" for i in range(n)]).alias("lo"), F.array(*[f"h{i}" for i in range(n)]).alias("hi")))
-    pairs = None
+    pairs = boxes.sparkSession.range(1).select(F.col("id").alias("pa"), F.col("id").alias("pb"))
     for level in reversed(levels):
-        up = F.floor(F.col("node") / FANOUT).cast("long") if pairs is not None else F.lit(0).cast("long")
+        up = F.floor(F.col("node") / FANOUT).cast("long")
         a = level.select(up.alias("pa"), F.col("node").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
         b = level.select(up.alias("pb"), F.col("node").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
-        pairs = a.join(b, F.col("pa") == F.col("pb")) if pairs is None else pairs.join(a, "pa").join(b, "pb")
+        pairs = pairs.join(a, "pa").join(b, "pb")
         pairs = pairs.where((F.col("a") <= F.col("b")) & (_apart(n) <= F.lit(epsilon * epsilon + 1e-9))).select(F.col("a").alias("pa"), F.col("b").alias("pb"))
     return pairs.select(F.col("pa").alias("a"), F.col("pb").alias("b"))
 

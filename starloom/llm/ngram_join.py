@@ -5,9 +5,10 @@ a class, and one set of each class goes on. Two sets of sizes a and b with Jacca
 t * max(a, b) elements, so under any global order of the elements their prefixes share some. Three orders
 filter the pairs, one after the other:
 
-* by hash: prefixes that must share ``k`` elements. How many sets hold an element in this prefix
-  is counted; a set with too few elements that others hold leaves, whatever they are;
-* by that count, rare ones first: the shortened prefixes must share one element;
+* by hash: prefixes that must share several elements. How many sets hold an element in this prefix
+  is counted, and a set with too few elements that others hold leaves. The rest fetch their
+  whole sets, and all their elements are counted: again a set leaves if too few are held by others;
+* by that count, rare ones first: the prefixes must share one element;
 * by the count's power of two, then another hash: they must share one under this order too.
 
 A pair must pass them all. Passing is followed as groups, not as lists of pairs: sets that share
@@ -41,7 +42,7 @@ from .textnum import Roller, byte_values, chunks, text_column, word_bounds
 
 GROUP = 256
 CHUNK = 128
-PIVOTS = 96
+PIVOTS = 256
 
 
 @dataclass(frozen=True)
@@ -114,21 +115,28 @@ def _whole(measure: Measure, name: str, n: Column) -> Column:
     return F.least(F.floor((F.lit(100 - measure.percent) * shared + 199) / 200).cast("long") + 1, _whole(measure, "shared", shared))
 
 
-def candidates(sets: DataFrame, measure: Measure) -> DataFrame:
-    """(id, n, rare, mixed): ids of sets that may have partners, with their prefixes under the second and third order."""
-    held = sets.select("id", "n", F.explode("prefix").alias("token"))
-    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = held.join(counts, "token").groupBy("id", "n").agg(F.collect_list(F.struct("df", "token")).alias("held"))
-    least = _whole(measure, "least", F.col("n"))
-    # Elements that no other set holds come first under both orders; these are what is left of the prefixes.
-    left = (F.size("held") - least + 1).cast("int")
+def held_by_others(sets: DataFrame, tokens: str, least: Column) -> DataFrame:
+    """(id, n, held array<struct<df, token>>): the sets with ``least`` or more tokens that other sets hold too, and these tokens."""
+    each = sets.select("id", "n", F.explode(tokens).alias("token"))
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = each.join(counts, "token").groupBy("id", "n").agg(F.collect_list(F.struct("df", "token")).alias("held"))
+    return held.where(F.size("held") >= least)
+
+
+def prefixed(sets: DataFrame, measure: Measure) -> DataFrame:
+    """(id, rare, mixed): prefixes of whole sets (id, n, elements) under the second and third order.
+
+    Elements that no other set holds come first under both; the rest of a prefix is listed.
+    """
+    shared = _whole(measure, "shared", F.col("n"))
+    left = (F.size("held") - shared + 1).cast("int")
 
     def prefix(first, salt: int) -> Column:
         ordered = F.array_sort(F.transform("held", lambda h: F.struct(first(h["df"]).alias("f"), F.xxhash64(F.lit(salt), h["token"]).alias("h"), h["token"].alias("token"))))
         return F.transform(F.slice(ordered, F.lit(1), left), lambda h: h["token"])
 
     rare, mixed = prefix(lambda df: df, 1), prefix(lambda df: F.floor(F.log2(df)).cast("long"), 2)
-    return shared.where(F.size("held") >= least).select("id", "n", rare.alias("rare"), mixed.alias("mixed"))
+    return held_by_others(sets, "elements", shared).select("id", rare.alias("rare"), mixed.alias("mixed"))
 
 
 def grouped(sets: DataFrame) -> DataFrame:
@@ -177,7 +185,7 @@ def linked(sizes_x: np.ndarray, sizes_y: np.ndarray, inter: np.ndarray, percent:
 def whole_sets(docs: DataFrame, wanted: DataFrame, measure: Measure, id_col: str, text_col: str) -> DataFrame:
     """``wanted`` (doc, digest, ...) with ``elements``: the whole set of a document of that id with the set's digest."""
     names = wanted.columns
-    schema = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in names) + ", elements binary"
+    schema = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in names) + ", elements array<long>"
 
     def run(batches):
         for batch in batches:
@@ -186,7 +194,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, measure: Measure, id_col: str
                 part = batch.slice(a, b - a)
                 sets = list(sets_of(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], measure.words))
                 same = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, part.column("digest").to_pylist())], pa.bool_())
-                out = [part.column(c) for c in names] + [pa.array([s.tobytes() for s in sets], pa.binary())]
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+                out = [part.column(c) for c in names] + [lists]
                 yield pa.RecordBatch.from_arrays(out, names=[*names, "elements"]).filter(same)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
@@ -194,7 +204,10 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, measure: Measure, id_col: str
 
 
 def _sets(column) -> list[np.ndarray]:
-    return [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
+    """Lists of hashes as sorted unsigned arrays."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    at, flat = np.asarray(column.offsets), column.values.to_numpy().view(np.uint64)
+    return [np.sort(flat[a:b]) for a, b in zip(at[:-1], at[1:])]
 
 
 def verified(members: DataFrame, measure: Measure) -> DataFrame:
@@ -207,7 +220,7 @@ def verified(members: DataFrame, measure: Measure) -> DataFrame:
         ids, table = ids[order], table.take(pa.array(order))
         passes = np.ones((len(ids), len(ids)), bool)
         for c in ("rare", "mixed"):
-            prefixes = [np.sort(np.array(p, np.int64)) for p in table.column(c).to_pylist()]
+            prefixes = _sets(table.column(c))
             passes &= overlaps(prefixes, prefixes) > 0
         np.fill_diagonal(passes, False)
         some = np.flatnonzero(passes.any(1))
@@ -250,28 +263,25 @@ def by_pivots(members: DataFrame, measure: Measure) -> DataFrame:
     spark = members.sparkSession
     members = stored(members.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / CHUNK))), "large-groups")
     edges = spark.createDataFrame([], "a long, b long")
-    asked = spark.createDataFrame([], "id long")
+    asked, turn = spark.createDataFrame([], "id long"), 0
     while True:
         label = components(edges, "pivot-labels")
-        state = (members.select("group", "id").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-                 .join(asked.withColumn("asked", F.lit(True)), "id", "left"))
-        state = stored(state, "pivot-state")
+        state = members.select("group", "id").join(label, "id", "left").join(asked.withColumn("asked", F.lit(True)), "id", "left")
+        state = stored(state.withColumn("component", F.coalesce("component", "id")), "pivot-state")
         sizes = state.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-        open_ = (state.join(largest, "group").where((F.col("component") != F.col("largest")) & F.col("asked").isNull())
-                 .withColumn("order", F.xxhash64("id")))
-        waiting = open_.groupBy("group").agg(F.count(F.lit(1)).alias("waiting"))
-        # about PIVOTS of a group's waiting sets, by the hash of their ids: all of them once few are left
-        share = F.least(F.lit(1.0), F.lit(0.75 * PIVOTS) / F.col("waiting"))
-        chosen = open_.join(waiting, "group").where((F.col("order") / 2.0**64 + 0.5 <= share) | (F.col("waiting") <= PIVOTS))
-        chosen = chosen.unionByName(  # at least one in each group
-            open_.join(waiting, "group").join(open_.groupBy("group").agg(F.min("order").alias("least")), "group").where("order = least").drop("least")).select("group", "id").distinct()
-        chosen = stored(chosen, "pivots")
+        waiting = state.join(largest, "group").where((F.col("component") != F.col("largest")) & F.col("asked").isNull())
+        # about PIVOTS of a group's waiting sets, in another random order each round; the first is always among them
+        waiting = waiting.withColumn("order", F.xxhash64(F.lit(turn), "id"))
+        most = waiting.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("order").alias("first"))
+        share = F.lit(PIVOTS) / F.col("n")
+        chosen = waiting.join(most, "group").where((F.col("order") / 2.0**64 + 0.5 <= share) | (F.col("order") == F.col("first")))
+        chosen = stored(chosen.select("group", "id"), "pivots")
         if chosen.isEmpty():
             return edges
         pivots = members.select("group", "id", "elements").join(chosen, ["group", "id"])
-        edges = stored(edges.unionByName(against_pivots(members, pivots, measure)), "pivot-edges")
-        asked = stored(asked.unionByName(chosen.select("id")), "pivots-asked")
+        edges = edges.unionByName(stored(against_pivots(members, pivots, measure), "pivot-edges"))
+        asked, turn = asked.unionByName(chosen.select("id")), turn + 1
 
 
 def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,10 +291,12 @@ def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     # a class is known by 64 bits of its digest; doc is its smallest document
     classes = full.groupBy("digest", "n").agg(F.min("id").alias("doc"), F.first("prefix").alias("prefix"))
     classes = stored(classes.withColumn("id", F.xxhash64("digest")), "classes")
-    groups = stored(grouped(stored(candidates(classes, measure), "candidates")), "groups")
+    some = held_by_others(classes, "prefix", _whole(measure, "least", F.col("n"))).select("id")
+    some = stored(some.join(classes.select("id", "doc", "digest", "n"), "id"), "survivors")
+    sets = stored(whole_sets(docs, some, measure, id_col, text_col).select("id", "n", "elements").dropDuplicates(["id"]), "sets")
+    groups = stored(grouped(stored(prefixed(sets, measure), "prefixes")), "groups")
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    wanted = groups.join(sizes, "group").join(classes.select("id", "doc", "digest"), "id").select("id", "doc", "digest", "group", "size", "rare", "mixed")
-    members = stored(whole_sets(docs, wanted, measure, id_col, text_col).dropDuplicates(["id"]), "members")
+    members = stored(groups.join(sizes, "group").join(sets.select("id", "elements"), "id"), "members")
     edges = verified(members.where(F.col("size") <= GROUP), measure)
     large = members.where(F.col("size") > GROUP)
     if not large.isEmpty():
