@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_join, html_text, mixing, ngram_join, quality, tokens, url_filter
+from . import bpe, chat, embed_join, html_text, mixing, ngram_join, quality, suffix_dedup, tokens, url_filter
 from .storage import scratch, table
 
 
@@ -29,6 +29,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("line_chars", "ngram_chars", "failed")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), ngram_join.Measure(words=3, percent=90))
 
@@ -62,6 +67,6 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_source_mixing, op3_quality_rules, op5_ngram_jaccard_join, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
+    op1_url_filters, op2_source_mixing, op3_quality_rules, op4_suffix_dedup, op5_ngram_jaccard_join, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
