@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORD = 24
+# Log odds that a verdict of block needs; words of one letter say nothing.
+CLEAR = 0.9
 # Labelled names the classifier is fitted on; a parameter, to be replaced by a site's own list.
 SEEDS: tuple[tuple[str, str], ...] = tuple(
     [(f"{n}.example", "block") for n in (
@@ -68,10 +70,10 @@ def fit(seeds: Sequence[tuple[str, str]]) -> tuple[dict[str, float], float, Coun
         for ch in text.lower() + " ":
             if ch.isalpha():
                 word += ch
-            elif word:
-                counts[label][word] += 1
+            else:
+                counts[label][word] += len(word) > 1
                 word = ""
-    every = counts["block"] + counts["allow"]
+    every = counts["block"] + counts["allow"]  # drops what was not counted
     size = {k: sum(c.values()) + len(every) for k, c in counts.items()}
     odds = {w: math.log((counts["block"][w] + 1) / size["block"]) - math.log((counts["allow"][w] + 1) / size["allow"]) for w in every}
     labels = Counter(label for _, label in seeds)
@@ -141,4 +143,4 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[tu
     scored = parts.join(url_scores, ["host", "path"], "left")
     score = F.lit(prior) + F.coalesce("s", F.lit(0.0))
     return scored.select(id_col, "host", "path", rule.alias("rule"), F.round(score, 9).alias("score"),
-                         F.coalesce(said, F.when(score > 0, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
+                         F.coalesce(said, F.when(score > CLEAR, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
