@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from .storage import stored
 
 
-def _print(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-    return int(row[0]), int(row[1])
+def _unsettled(edges: DataFrame) -> bool:
+    """Whether a node has two neighbours above it, or one above and one below: the edges are not all stars yet."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+    counts = ends.groupBy("e.id").agg(F.sum("e.up").alias("up"), F.sum("e.down").alias("down"))
+    return not counts.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -20,15 +23,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     node with many edges; rounds grow with the logarithm of the longest path, not with its length.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    before, seen = None, _print(now)
-    while seen != before and seen[0]:
-        before = seen
+    while _unsettled(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(small.unionByName(root.select("a", F.col("m").alias("b"))).distinct(), name)
-        seen = _print(now)
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+        now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -11,13 +11,13 @@ filter the pairs, one after the other:
 * by that count, rare ones first: the prefixes must share one element;
 * by the count's power of two, then another hash: they must share one under this order too.
 
-A pair must pass them all. Passing is followed as groups, not as lists of pairs: sets that share
-an element are tied to the smallest of them, groups are the connected components, and the next
-order ties only sets of one group. Within a group of up to ``GROUP`` sets, the pairs that pass both
-later orders are verified on their whole sets in one task. A larger group is cut into
-chunks that meet a few pivot sets at a time: whoever links with a linked pivot needs no
+A pair must pass them all before it is verified on the whole sets. Under the second order, sets
+that share an element are tied to the smallest of them, and the connected components are groups;
+no pair is listed. In a group of up to ``GROUP`` sets, one task finds the pairs that pass the
+second and third order and verifies them. A larger group is cut into chunks that meet the same filters
+against a bounded number of pivot sets at a time: whoever links with a linked pivot needs no
 further look, and rounds go on until every set outside the group's largest component has
-been a pivot. So all links between components are looked for, and nothing is listed in pairs.
+been a pivot. So no link between components is lost, and work grows with the group, not with its pairs.
 
 Defined results for odd input: a text without words, empty or null, has an empty set, and is a
 component of its own; with fewer words than an n-gram, the whole sequence is the one element;
@@ -40,9 +40,9 @@ from .forest import roots
 from .storage import stored
 from .textnum import Roller, byte_values, chunks, text_column, word_bounds
 
-GROUP = 256
-CHUNK = 128
-PIVOTS = 256
+GROUP = 512
+CHUNK = 512
+PIVOTS = 1024
 
 
 @dataclass(frozen=True)
@@ -140,23 +140,25 @@ def prefixed(sets: DataFrame, measure: Measure) -> DataFrame:
 
 
 def grouped(sets: DataFrame) -> DataFrame:
-    """``sets`` with the group that each belongs to after both orders; sets alone in theirs are left out."""
-
-    def tied(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-        least = rows.groupBy(*keys).agg(F.min("id").alias("b"))
-        return components(rows.join(least, keys).where("id <> b").select(F.col("id").alias("a"), "b"), name)
-
-    by_rare = tied(sets.select("id", F.explode("rare").alias("token")), ["token"], "rare")
-    again = sets.select("id", F.explode("mixed").alias("token")).join(by_rare.withColumnRenamed("component", "tie"), "id")
-    by_both = tied(again, ["tie", "token"], "mixed")
-    return sets.join(by_both.withColumnRenamed("component", "group"), "id")
+    """``sets`` with the group that each belongs to under the second order; sets alone in theirs are left out."""
+    tokens = sets.select("id", F.explode("rare").alias("token"))
+    least = tokens.groupBy("token").agg(F.min("id").alias("b"))
+    ties = tokens.join(least, "token").where("id <> b").select(F.col("id").alias("a"), "b")
+    return sets.join(components(ties, "rare").withColumnRenamed("component", "group"), "id")
 
 
 def overlaps(x: list[np.ndarray], y: list[np.ndarray], columns: int = 1 << 13) -> np.ndarray:
-    """Sizes of all intersections of sorted distinct sets, from matrix products over slices of the elements."""
+    """Sizes of all intersections of sorted distinct sets, from matrix products over slices of the elements.
+
+    Of a list with itself, sizes off the diagonal only.
+    """
     flat_x, flat_y = np.concatenate(x) if x else np.empty(0, np.uint64), np.concatenate(y) if y else np.empty(0, np.uint64)
     row_x, row_y = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
-    common = np.intersect1d(flat_x, flat_y)
+    if x is y:  # what one set holds alone counts for nothing beside the diagonal
+        common, times = np.unique(flat_x, return_counts=True)
+        common = common[times > 1]
+    else:
+        common = np.intersect1d(flat_x, flat_y)
     out = np.zeros((len(x), len(y)), np.int64)
     if not len(common):
         return out
@@ -210,51 +212,54 @@ def _sets(column) -> list[np.ndarray]:
     return [np.sort(flat[a:b]) for a, b in zip(at[:-1], at[1:])]
 
 
+def links_of(x: dict, y: dict, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of x and y that link: those that share elements under both later orders, verified on the whole sets."""
+    passes = (overlaps(x["rare"], y["rare"]) > 0) & (overlaps(x["mixed"], y["mixed"]) > 0)
+    if x is y:
+        np.fill_diagonal(passes, False)
+    i, j = np.flatnonzero(passes.any(1)), np.flatnonzero(passes.any(0))
+    left = [x["elements"][k] for k in i]
+    right = left if x is y else [y["elements"][k] for k in j]
+    n, m = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+    p, q = np.nonzero(linked(n, m, overlaps(left, right), percent) & passes[np.ix_(i, j)]) if len(i) else (i, j)
+    return i[p], j[q]
+
+
+def _columns(table) -> dict:
+    return {c: _sets(table.column(c)) for c in ("rare", "mixed", "elements")}
+
+
 def verified(members: DataFrame, measure: Measure) -> DataFrame:
     """Edges (a, b) that span the links inside each group of ``members`` (group, id, rare, mixed, elements)."""
     percent = measure.percent
 
     def run(table):
         ids = table.column("id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, table = ids[order], table.take(pa.array(order))
-        passes = np.ones((len(ids), len(ids)), bool)
-        for c in ("rare", "mixed"):
-            prefixes = _sets(table.column(c))
-            passes &= overlaps(prefixes, prefixes) > 0
-        np.fill_diagonal(passes, False)
-        some = np.flatnonzero(passes.any(1))
-        if not len(some):
-            return pa.table({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        sets = _sets(table.column("elements").take(pa.array(some)))
-        sizes = np.array([len(s) for s in sets])
-        i, j = np.nonzero(linked(sizes, sizes, overlaps(sets, sets), percent) & passes[np.ix_(some, some)])
-        root = roots(len(some), i, j)
-        on = np.flatnonzero(root != np.arange(len(some)))
-        return pa.table({"a": ids[some[on]], "b": ids[some[root[on]]]})
+        own = _columns(table)
+        root = roots(len(ids), *links_of(own, own, percent))
+        on = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": ids[on], "b": ids[root[on]]})
 
     return members.select("group", "id", "rare", "mixed", "elements").groupBy("group").applyInArrow(run, "a long, b long")
 
 
 def against_pivots(members: DataFrame, pivots: DataFrame, measure: Measure) -> DataFrame:
-    """Edges that span the links between ``members`` (group, chunk, id, elements) and the pivots (group, id, elements)."""
+    """Edges that span the links between ``members`` (group, chunk, id and sets) and the pivots (group, id and sets)."""
     percent = measure.percent
 
     def run(table):
-        ids = table.column("id").to_numpy()
         pivot = table.column("pivot").to_numpy(zero_copy_only=False).astype(bool)
-        sets = _sets(table.column("elements"))
-        sizes = np.array([len(s) for s in sets])
+        ids = table.column("id").to_numpy()
         m, p = np.flatnonzero(~pivot), np.flatnonzero(pivot)
-        inter = overlaps([sets[k] for k in m], [sets[k] for k in p])
-        i, j = np.nonzero(linked(sizes[m], sizes[p], inter, percent))
+        i, j = links_of(_columns(table.take(pa.array(m))), _columns(table.take(pa.array(p))), percent)
         every, place = np.unique(ids, return_inverse=True)
         root = roots(len(every), place[m[i]], place[p[j]])
         on = np.flatnonzero(root != np.arange(len(every)))
         return pa.table({"a": every[on], "b": every[root[on]]})
 
-    sent = members.select("group", "chunk").distinct().join(pivots, "group").select("group", "chunk", "id", "elements", F.lit(True).alias("pivot"))
-    rows = members.select("group", "chunk", "id", "elements", F.lit(False).alias("pivot")).unionByName(sent)
+    names = ["group", "chunk", "id", "rare", "mixed", "elements"]
+    sent = members.select("group", "chunk").distinct().join(pivots, "group").select(*names, F.lit(True).alias("pivot"))
+    rows = members.select(*names, F.lit(False).alias("pivot")).unionByName(sent)
     return rows.groupBy("group", "chunk").applyInArrow(run, "a long, b long")
 
 
@@ -279,7 +284,7 @@ def by_pivots(members: DataFrame, measure: Measure) -> DataFrame:
         chosen = stored(chosen.select("group", "id"), "pivots")
         if chosen.isEmpty():
             return edges
-        pivots = members.select("group", "id", "elements").join(chosen, ["group", "id"])
+        pivots = members.select("group", "id", "rare", "mixed", "elements").join(chosen, ["group", "id"])
         edges = edges.unionByName(stored(against_pivots(members, pivots, measure), "pivot-edges"))
         asked, turn = asked.unionByName(chosen.select("id")), turn + 1
 
