@@ -1,8 +1,8 @@
 """Money arithmetic and report metrics.
 
 Amounts stay DECIMAL end to end, so sums are exact and rounding is HALF_UP as in a
-SQL NUMERIC column. Rounded report metrics are computed in decimal and only then
-turned into DOUBLE; unrounded ratios are computed in DOUBLE from exact sums.
+SQL NUMERIC column; rounded metrics are DECIMAL too. Only unrounded ratios and
+averages are DOUBLE, computed from exact sums.
 """
 
 from __future__ import annotations
@@ -61,9 +61,9 @@ def margin_tier(m: Column) -> Column:
 # ── aggregate metrics ─────────────────────────────────────────────────────────
 
 def money_sum(c: Column | str, scale: int = 2) -> Column:
-    """``ROUND(SUM(c), scale)`` as DOUBLE (the sum itself is exact)."""
+    """``ROUND(SUM(c), scale)``, exact."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(F.sum(c), scale).cast("double")
+    return F.round(F.sum(c), scale)
 
 
 def exact_avg(c: Column | str, scale: int, integral: bool = False) -> Column:
@@ -78,21 +78,21 @@ def exact_avg(c: Column | str, scale: int, integral: bool = False) -> Column:
     s = F.sum(c)
     if integral:
         s = s.cast("decimal(20,0)")
-    return F.round(s / F.count(c), scale).cast("double")
+    return F.round(s / F.count(c), scale)
 
 
 def exact_avg_from(total: Column, count: Column, scale: int) -> Column:
     """``ROUND(total / count, scale)`` for an exact (decimal or integer) total and a
     row count — the average rebuilt from partial sums and counts."""
-    return F.round(total.cast("decimal(30,4)") / F.nullif(count, F.lit(0)).cast("decimal(20,0)"), scale).cast("double")
+    return F.round(total.cast("decimal(32,4)") / F.nullif(count, F.lit(0)).cast("decimal(20,0)"), scale)
 
 
 def exact_ratio_pct(num: Column, den: Column, scale: int = 1) -> Column:
-    """``ROUND(num / NULLIF(den, 0) * 100, scale)`` in decimal, as DOUBLE.
+    """``ROUND(num / NULLIF(den, 0) * 100, scale)`` in decimal.
 
     ``num`` and ``den`` are exact aggregates (decimal or integer).
     """
-    return F.round((num * F.lit(100)) / F.nullif(den, F.lit(0)), scale).cast("double")
+    return F.round((num * F.lit(100)) / F.nullif(den, F.lit(0)), scale)
 
 
 def float_ratio(num: Column, den: Column, factor: float | None = None) -> Column:

@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 CHAMPIONS, LOYAL, AT_RISK, LOST = "Champions", "Loyal", "At Risk", "Lost"
 
 
-def quartile_score(rank: str, n: int) -> Column:
-    """Score 1–4 of the unique 1-based rank in column ``rank`` among ``n`` rows.
+def quartile_cuts(n: int) -> list[int]:
+    """The last 1-based rank of the scores 1, 2 and 3 among ``n`` rows.
 
     Equal to cutting the ranks into four bins at the interpolated quartile
-    edges ``1 + k(n−1)/4``: score = max(1, ⌈4(rank−1)/(n−1)⌉), in integer
-    arithmetic. A single row scores 1.
+    edges ``1 + k(n−1)/4``; a single row scores 1.
     """
-    if n <= 1:
-        return F.lit(1).cast("smallint")
-    return F.expr(f"CAST(GREATEST(1, (4 * (`{rank}` - 1) + {n - 2}) DIV {n - 1}) AS SMALLINT)")
+    return [1 + k * (n - 1) // 4 for k in (1, 2, 3)] if n else []
+
+
+def quartile_score(beyond: list[Column]) -> Column:
+    """Score 1–4: one more for each cut that the row lies beyond."""
+    total = F.lit(1)
+    for b in beyond:
+        total = total + b.cast("int")
+    return total.cast("smallint")
 
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:

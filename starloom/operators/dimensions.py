@@ -12,7 +12,6 @@ from ..functions import money as M
 from ..functions import text as X
 from ..sources import schemas as S
 from .ranking import dense_key, keep_first
-from .stage import materialize
 
 
 def _as_date(d) -> dt.date:
@@ -52,20 +51,19 @@ def build_dim_date(spark: SparkSession, start, end) -> DataFrame:
     return S.conform(df, S.DIM_DATE)
 
 
-def build_dim_customer(customers: DataFrame, **rank_kw) -> DataFrame:
+def build_dim_customer(customers: DataFrame) -> DataFrame:
     """Normalise e-mail, keep the first customer (lowest ``customer_id``) per
     e-mail, then number the survivors 1..N by ``customer_id``."""
     cleaned = customers.withColumn("email", X.normalize_email(F.col("email")))
-    kept = materialize(keep_first(cleaned, "email", "customer_id"), "customers-kept")
-    keyed = dense_key(kept, "customer_id", "customer_key", **rank_kw)
+    keyed = dense_key(keep_first(cleaned, "email", "customer_id"), "customer_id", "customer_key")
     return S.conform(keyed, S.DIM_CUSTOMER)
 
 
-def build_dim_product(products: DataFrame, **rank_kw) -> DataFrame:
+def build_dim_product(products: DataFrame) -> DataFrame:
     """Add margin % and tier, number products 1..N by ``product_id``."""
     m = M.margin_pct(F.col("unit_price"), F.col("unit_cost"))
     df = (products
           .withColumn("margin_pct", m)
           .withColumn("margin_tier", M.margin_tier(F.col("margin_pct"))))
-    keyed = dense_key(df, "product_id", "product_key", **rank_kw)
+    keyed = dense_key(df, "product_id", "product_key")
     return S.conform(keyed, S.DIM_PRODUCT)

@@ -10,19 +10,22 @@ result for plain Parquet tables (no transactional table format is assumed):
   repoints the table to it (the pipeline uses ``ALTER TABLE … SET LOCATION``), so a
   path that is still being read is never overwritten.
 
-Upserts reject a source that holds a key twice (a database upsert fails on
-"cannot affect row a second time"); the check reads only the source.
+Merges reject a source without a key, upserts also one that holds a key twice (a
+database upsert fails on "cannot affect row a second time"); the checks read only
+the source.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import files
 from .ranking import global_rank, keep_first
 from .stage import materialize
 
@@ -31,6 +34,10 @@ class DuplicateSourceKey(ValueError):
     pass
 
 
+class NullSourceKey(ValueError):
+    pass
+
+
 # ── identifiers ───────────────────────────────────────────────────────────────
 
 def next_id(target: DataFrame, id_col: str) -> int:
@@ -55,26 +62,32 @@ def appended(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch.select(*target.columns))
 
 
-def inserted_if_absent(target: DataFrame, source: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+def inserted_if_absent(target: DataFrame, source: DataFrame, key: str, order_col: str) -> DataFrame:
     """Insert source rows whose ``key`` is not in the target; existing rows stay as
-    they are. Within the source the first row per key wins (lowest ``order_col``,
-    default the key itself, i.e. any one of identical-key rows)."""
-    src = source.select(*target.columns)
-    src = keep_first(src, key, order_col or key) if order_col else _one_per_key(src, key)
-    new_rows = src.join(target.select(key), key, "left_anti")
-    return target.unionByName(new_rows)
+    they are. Within the source the first row per key wins: the one with the lowest
+    ``order_col``, which must be unique among the rows of a key. A NULL key raises."""
+    assert_no_null_key(source, key)
+    src = keep_first(source.select(*target.columns), key, order_col)
+    return target.unionByName(src.join(target.select(key), key, "left_anti"))
 
 
-def _one_per_key(df: DataFrame, key: str) -> DataFrame:
-    others = [c for c in df.columns if c != key]
-    if not others:
-        return df.select(key).distinct()
-    first = df.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in others])).alias("_r"))
-    return first.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
+def replaced_dates(target: DataFrame, batch: DataFrame, date_col: str) -> DataFrame:
+    """The repeat-safe append: target rows of the batch's dates make way for the batch, so that
+    loading a batch again changes nothing."""
+    dates = batch.select(date_col).where(F.col(date_col).isNotNull()).distinct()
+    return target.join(dates, date_col, "left_anti").select(*target.columns).unionByName(batch.select(*target.columns))
+
+
+def assert_no_null_key(df: DataFrame, key: str | Sequence[str]) -> None:
+    keys = [key] if isinstance(key, str) else list(key)
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    if not df.where(missing).isEmpty():
+        raise NullSourceKey(f"source holds a row without {', '.join(keys)}")
 
 
 def assert_unique_key(df: DataFrame, key: str | Sequence[str]) -> None:
     keys = [key] if isinstance(key, str) else list(key)
+    assert_no_null_key(df, keys)
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).limit(1).collect()
     if dup:
         raise DuplicateSourceKey(f"source holds key {tuple(dup[0][k] for k in keys)} more than once")
@@ -126,22 +139,18 @@ def upserted(target: DataFrame, source: DataFrame, key: str, update_cols: Sequen
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Create an empty Parquet table with ``schema`` unless ``path`` holds one."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 — absent path
+    if not files.exists(spark, path):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_to(path: str, batch: DataFrame, id_col: str | None = None) -> int:
     """Append ``batch`` to the table at ``path``; with ``id_col``, assign sequence ids
-    after the largest stored one. Returns the number of rows written."""
+    after the largest stored one. Returns the number of rows written. A table that
+    exists and cannot be read raises; only an absent one starts at 1."""
     spark = batch.sparkSession
     if id_col:
-        try:
-            start = next_id(spark.read.parquet(path), id_col)
-        except Exception:  # noqa: BLE001 — empty / absent table
-            start = 1
+        start = next_id(spark.read.parquet(path), id_col) if files.exists(spark, path) else 1
         batch = with_sequence_ids(batch, id_col, start)
     obs = Observation(f"append_to_{uuid.uuid4().hex}")
     batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)

@@ -16,7 +16,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import money as M
 from ..sources import schemas as S
@@ -66,10 +65,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 # Primary / unique keys of the warehouse (natural and surrogate).
 UNIQUE_KEYS = [("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_customer", "customer_id"),
-               ("dim_product", "product_key"), ("dim_product", "product_id"), ("fact_rfm", "customer_key")]
+               ("dim_product", "product_key"), ("dim_product", "product_id"), ("fact_rfm", "customer_key"),
+               ("fact_sales", "sale_id"), ("fact_rfm", "rfm_id")]
 NOT_NULL = [("dim_date", "date_key"), ("dim_date", "full_date"), ("dim_customer", "customer_key"),
             ("dim_customer", "customer_id"), ("dim_product", "product_key"), ("dim_product", "product_id"),
-            ("fact_rfm", "snapshot_date")]
+            ("fact_rfm", "snapshot_date"), ("fact_sales", "sale_id"), ("fact_rfm", "rfm_id")]
 FOREIGN_KEYS = [("fact_sales", "date_key", "dim_date"), ("fact_sales", "customer_key", "dim_customer"),
                 ("fact_sales", "product_key", "dim_product"), ("fact_rfm", "customer_key", "dim_customer")]
 
@@ -124,17 +124,20 @@ def foreign_key_violations(tables: dict[str, DataFrame], fks=FOREIGN_KEYS) -> Da
     return _union(parts)
 
 
-def fit_violations(tables: dict[str, DataFrame], limits=S.VARCHAR_LIMITS) -> DataFrame:
-    """Values that would not fit the declared VARCHAR(n) / NUMERIC(p, s) columns
-    (one scan per table)."""
+def fit_violations(tables: dict[str, DataFrame], limits=S.VARCHAR_LIMITS, numeric=S.NUMERIC_LIMITS) -> DataFrame:
+    """Values that do not fit the declared VARCHAR(n) / NUMERIC(p, s) columns (one scan per table).
+
+    The frames may hold wider types than declared, as a batch does before it is cast: a number
+    fits if it can be cast to the declared type.
+    """
     parts = []
     for table, cols in limits.items():
         df = tables[table]
         aggs = {c: (f"varchar({n})", F.count_if(F.length(c) > n)) for c, n in cols.items() if c in df.columns}
-        for f in df.schema.fields:
-            if isinstance(f.dataType, T.DecimalType):
-                bound = F.lit(10 ** (f.dataType.precision - f.dataType.scale)).cast("decimal(38,0)")
-                aggs[f.name] = ("numeric_range", F.count_if(F.abs(F.col(f.name)) >= bound))
+        for c, (precision, scale) in numeric.get(table, {}).items():
+            if c in df.columns:
+                fits = F.col(c).try_cast(f"decimal({precision},{scale})").isNotNull()
+                aggs[c] = ("numeric_range", F.count_if(F.col(c).isNotNull() & ~fits))
         if aggs:
             parts.append(_per_table_counts(table, df, aggs))
     return _union(parts)

@@ -1,214 +1,94 @@
-"""Exact global ordering operators that stay distributed.
-
-``row_number()`` over a window without ``partitionBy`` moves every row into one
-task. ``global_rank`` gives the same 1-based numbering while each task sorts only
-one range bucket:
-
-1. count the rows (``n``) and choose ``B`` buckets of bounded size;
-2. sample a bounded number of sort keys, sort that sample on the driver and take
-   ``B − 1`` boundary keys — fixed literals, so a retried task re-derives the
-   same bucket for every row;
-3. bucket = position of the row's key among the boundaries, found by a binary
-   search over one constant array of boundaries (log2 B struct comparisons per
-   row; the plan does not grow with B);
-4. ``row_number`` within each bucket, plus the bucket's offset (a running sum of
-   the ``B`` bucket sizes, a bounded literal array).
-
-The last sort key must be unique, so the order is total: boundaries then split
-runs of equal values (a low-cardinality score column cannot overload a bucket)
-and the numbering is deterministic. Sort keys must be non-NULL.
-
-Buckets reach tasks through the window's hash exchange, so a task may sort a
-few buckets. Each bucket stays bounded by ``rows_per_bucket`` (up to
-``MAX_BUCKETS``), whatever the skew of the values.
+"""Exact global ordering operators that stay distributed, at every size.
+
+``global_rank`` numbers rows 1..N in a total order with one range shuffle: Spark
+range-partitions and sorts the rows, they are staged with their partition number
+and their place in it, and the sizes of the partitions before (one row per
+partition) turn that place into the rank. No window, no row limit, no special
+case for small inputs.
+
+``cut_keys`` finds the keys at given positions of an order without numbering the
+rows for good: callers that only need to know on which side of a few positions a
+row lies compare it with a handful of literals, and their rows are not shuffled.
+
+The last sort key must be unique, so that the order is total. Sort keys must be
+non-NULL.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-import math
 from collections.abc import Sequence
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
-
-DEFAULT_ROWS_PER_BUCKET = 4_000_000
-MAX_BUCKETS = 2048
-SAMPLES_PER_BUCKET = 64
-
-
-def _key_lt(order: OrderSpec, boundary: Sequence) -> Column:
-    """Row key strictly before ``boundary`` in the lexicographic order."""
-    expr = None
-    for (name, asc), value in reversed(list(zip(order, boundary))):
-        c, v = F.col(name), F.lit(value)
-        before = (c < v) if asc else (c > v)
-        expr = before if expr is None else (before | ((c == v) & expr))
-    return expr
-
 
-def _bucket_expr(order: OrderSpec, boundaries: list) -> Column:
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_key_lt(order, boundaries[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-    return search(0, len(boundaries))
-
-
-def _searchable(df: DataFrame, order: OrderSpec) -> bool:
-    """Descending keys must be numeric so they can be negated into an ascending struct."""
-    return all(asc or isinstance(df.schema[c].dataType, T.NumericType) for c, asc in order)
-
-
-def _json_value(v) -> str:
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (int, Decimal)):
-        return str(v)
-    if isinstance(v, float):
-        return repr(v)
-    if isinstance(v, (dt.date, dt.datetime)):
-        return json.dumps(v.isoformat())
-    return json.dumps(v)
+from .stage import materialize
 
+OrderSpec = Sequence[tuple[str, bool]]  # (column, ascending)
 
-def _bucket_search(df: DataFrame, order: OrderSpec, boundaries: list) -> Column:
-    """Bucket = number of boundaries ≤ the row key, by binary search.
-
-    The boundaries travel as one JSON string literal parsed by ``from_json`` —
-    a single constant the optimizer folds into an array, so plan size and planning
-    time do not grow with the number of buckets — and the search is a fixed-length
-    ``aggregate`` loop of ⌈log2(B)⌉+1 struct comparisons. Descending numeric keys
-    are negated so that plain (ascending) struct ordering applies.
-    """
-    types = [df.schema[c].dataType for c, _ in order]
-    key = F.struct(*[(F.col(c) if asc else -F.col(c)).cast(t).alias(f"k{i}")
-                     for i, ((c, asc), t) in enumerate(zip(order, types))])
-    rows = []
-    for b in boundaries:
-        vals = [v if asc else -v for (_, asc), v in zip(order, b)]
-        rows.append("{" + ",".join(f'"k{i}":{_json_value(v)}' for i, v in enumerate(vals)) + "}")
-    schema = "array<struct<" + ",".join(f"k{i}:{t.simpleString()}" for i, t in enumerate(types)) + ">>"
-    bounds = F.from_json(F.lit("[" + ",".join(rows) + "]"), schema)
-    n_b = len(boundaries)
-    steps = max(1, math.ceil(math.log2(n_b + 1)) + 1)
-
-    def step(acc: Column, _i: Column) -> Column:
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.shiftright(lo + hi, 1)
-        left = F.struct(lo.alias("lo"), mid.alias("hi"))
-        right = F.struct((mid + 1).alias("lo"), hi.alias("hi"))
-        return F.when(lo < hi, F.when(key < F.element_at(bounds, mid + 1), left).otherwise(right)).otherwise(acc)
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(n_b).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-
-
-def _sorted_sample(rows: list, order: OrderSpec) -> list:
-    rows = [tuple(r) for r in rows]
-    for i in reversed(range(len(order))):
-        rows.sort(key=lambda r, i=i: r[i], reverse=not order[i][1])  # stable
-    return rows
+_PART, _PLACE = "_part", "_place"
 
 
 def _order_cols(order: OrderSpec) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-ROWS_PER_BUCKET_CONF = "spark.starloom.rank.rowsPerBucket"
-
+def _placed(df: DataFrame, order: OrderSpec, label: str) -> tuple[DataFrame, list[tuple[int, int]], int]:
+    """``df`` staged in order with partition and 0-based place, the first 0-based rank of each
+    partition, and the row count."""
+    keys = _order_cols(order)
+    low_bits = F.lit((1 << 33) - 1)  # monotonically_increasing_id counts within a partition in its low 33 bits
+    ordered = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+               .select("*", F.spark_partition_id().alias(_PART),
+                       F.monotonically_increasing_id().bitwiseAND(low_bits).alias(_PLACE)))
+    staged = materialize(ordered, label)
+    firsts, n = [], 0
+    for part, size in sorted(staged.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).collect()):
+        firsts.append((part, n))
+        n += size
+    return staged, firsts, n
 
-def global_ranks(df: DataFrame, orders: dict[str, OrderSpec],
-                 rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
-                 seed: int = 7, n: int | None = None) -> tuple[DataFrame, int]:
-    """Add one 1-based rank column per entry of ``orders`` ({column: order}).
 
-    All orders share one row count, one key sample and one pass counting bucket
-    sizes; the numbering itself is one window per order inside the final plan.
-    ``df`` is read several times, so pass a materialised frame. The bucket size
-    defaults to the session setting ``spark.starloom.rank.rowsPerBucket``
-    (4,000,000 rows when unset).
-    """
-    if rows_per_bucket is None:
-        rows_per_bucket = int(df.sparkSession.conf.get(ROWS_PER_BUCKET_CONF, str(DEFAULT_ROWS_PER_BUCKET)))
-    if n is None:
-        n = df.count()
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets == 1:
-        out = df
-        for name, order in orders.items():
-            out = out.withColumn(name, F.row_number().over(Window.orderBy(*_order_cols(order))).cast("long"))
-        return out, n
-
-    cols = list(dict.fromkeys(c for order in orders.values() for c, _ in order))
-    target = SAMPLES_PER_BUCKET * buckets
-    fraction = min(1.0, 2.0 * target / n)
-    sample = [r.asDict() for r in df.select(*cols).sample(False, fraction, seed).limit(4 * target).collect()]
-
-    bucket_cols = {}
-    for i, (name, order) in enumerate(orders.items()):
-        keyed = _sorted_sample([tuple(r[c] for c, _ in order) for r in sample], order)
-        b = max(1, min(buckets, len(keyed)))
-        bounds = []
-        for j in range(1, b):
-            k = keyed[(j * len(keyed)) // b]
-            if not bounds or k != bounds[-1]:
-                bounds.append(k)
-        if not bounds:
-            expr = F.lit(0)
-        elif _searchable(df, order):
-            expr = _bucket_search(df, order, bounds)
-        else:   # a descending non-numeric key: nested CASE (plan grows with the bucket count)
-            expr = _bucket_expr(order, bounds)
-        bucket_cols[name] = (f"_b{i}", expr, len(bounds) + 1)
-
-    with_b = df.withColumns({bc: expr for bc, expr, _ in bucket_cols.values()})
-    # bucket sizes of every order in one pass (partial counts combine map-side)
-    tagged = F.explode(F.array(*[F.struct(F.lit(i).alias("o"), F.col(bc).alias("b"))
-                                 for i, (bc, _, _) in enumerate(bucket_cols.values())]))
-    sizes: dict[tuple[int, int], int] = {}
-    for r in with_b.select(tagged.alias("t")).groupBy("t.o", "t.b").count().collect():
-        sizes[(r["o"], r["b"])] = r["count"]
-
-    out = with_b
-    for i, (name, order) in enumerate(orders.items()):
-        bc, _, nb = bucket_cols[name]
-        offsets, running = [], 0
-        for b in range(nb):
-            offsets.append(running)
-            running += sizes.get((i, b), 0)
-        w = Window.partitionBy(bc).orderBy(*_order_cols(order))
-        offset = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<long>"), F.col(bc) + 1)
-        out = out.withColumn(name, (F.row_number().over(w) + offset).cast("long"))
-    return out.drop(*[bc for bc, _, _ in bucket_cols.values()]), n
-
-
-def global_rank(df: DataFrame, order: OrderSpec, out: str = "rank", **kw) -> tuple[DataFrame, int]:
+def global_rank(df: DataFrame, order: OrderSpec, out: str = "rank") -> tuple[DataFrame, int]:
     """Add ``out`` = 1-based position of each row in ``order``; return (frame, row count)."""
-    return global_ranks(df, {out: order}, **kw)
+    staged, firsts, n = _placed(df, order, "ranked")
+    first = df.sparkSession.createDataFrame(firsts or [(0, 0)], f"{_PART} int, _first long")
+    ranked = staged.join(F.broadcast(first), _PART)   # one row per partition
+    return ranked.select(*df.columns, (F.col("_first") + F.col(_PLACE) + 1).cast("long").alias(out)), n
+
+
+def cut_keys(df: DataFrame, order: OrderSpec, positions: Sequence[int]) -> list[tuple]:
+    """The sort keys at the given 1-based positions of ``order`` (positions beyond the rows are left out)."""
+    names = [c for c, _ in order]
+    staged, firsts, n = _placed(df.select(*names), order, "cuts")
+    found = {}
+    for position in {p for p in positions if 1 <= p <= n}:
+        part, first = max((f, p) for p, f in firsts if f < position)[::-1]
+        row = staged.where((F.col(_PART) == part) & (F.col(_PLACE) == position - 1 - first)).first()
+        found[position] = tuple(row[c] for c in names)
+    return [found[p] for p in positions if p in found]
+
+
+def after(order: OrderSpec, key: Sequence) -> Column:
+    """True for rows that come after ``key`` in ``order``."""
+    expr = F.lit(False)
+    for (name, asc), value in reversed(list(zip(order, key))):
+        c, v = F.col(name), F.lit(value)
+        expr = ((c > v) if asc else (c < v)) | ((c == v) & expr)
+    return expr
 
 
-def dense_key(df: DataFrame, order_col: str, out: str, **kw) -> DataFrame:
+def dense_key(df: DataFrame, order_col: str, out: str) -> DataFrame:
     """Surrogate key 1..N in ascending ``order_col`` (unique), placed first."""
-    ranked, _ = global_rank(df, [(order_col, True)], out=out, **kw)
-    return ranked.select(out, *[c for c in df.columns])
+    ranked, _ = global_rank(df, [(order_col, True)], out=out)
+    return ranked.select(out, *df.columns)
 
 
 def keep_first(df: DataFrame, key: str | Column, order_col: str) -> DataFrame:
     """Keep, per ``key`` value, the row with the smallest ``order_col`` (unique).
 
-    One aggregation of ``min(struct(order_col, …))``: partial aggregation runs
-    before the shuffle, so a key holding a large share of rows is collapsed on the
-    map side instead of landing whole in one task. NULL keys form one group.
+    Only (key, order_col) is aggregated — hash-based, with partial aggregation before the
+    shuffle — and the rows are found again by ``order_col``. NULL keys form one group.
     """
     key_col = F.col(key) if isinstance(key, str) else key
-    others = [c for c in df.columns if c != order_col]
-    first = (df.groupBy(key_col.alias("_k"))
-               .agg(F.min(F.struct(F.col(order_col), *[F.col(c) for c in others])).alias("_first")))
-    return first.select(*[F.col(f"_first.{c}").alias(c) for c in df.columns])
+    first = df.groupBy(key_col.alias("_k")).agg(F.min(order_col).alias("_first")).select("_first")
+    return df.join(first, F.col(order_col) == F.col("_first"), "left_semi")

@@ -59,7 +59,7 @@ def _not_cancelled(wh: Warehouse, labels: StatusLabels) -> DataFrame:
 
 
 def _dsum(c: str) -> Column:
-    return F.sum(c).cast("double")
+    return F.sum(c)
 
 
 def _orders() -> Column:
@@ -105,7 +105,7 @@ def _channel_sums(wh: Warehouse, labels: StatusLabels) -> DataFrame:
 
 def d03_channel_revenue(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     return (_channel_sums(wh, labels)
-            .select("channel", F.col("_revenue").cast("double").alias("revenue"))
+            .select("channel", F.col("_revenue").alias("revenue"))
             .orderBy(desc("revenue"), asc("channel")))
 
 
@@ -117,15 +117,15 @@ def _share(value: str) -> Column:
 def channel_share(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     """Donut slices: each channel's share of revenue."""
     return (_channel_sums(wh, labels)
-            .select("channel", F.col("_revenue").cast("double").alias("revenue"),
+            .select("channel", F.col("_revenue").alias("revenue"),
                     _share("_revenue").alias("share_pct"))
             .orderBy(desc("revenue"), asc("channel")))
 
 
 def d04_channel_profit(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     return (_channel_sums(wh, labels)
-            .select("channel", F.col("_revenue").cast("double").alias("revenue"),
-                    F.col("_gross_profit").cast("double").alias("gross_profit"))
+            .select("channel", F.col("_revenue").alias("revenue"),
+                    F.col("_gross_profit").alias("gross_profit"))
             .orderBy(desc("revenue"), asc("channel")))
 
 
@@ -179,8 +179,7 @@ def _subcategory_sums(wh: Warehouse, labels: StatusLabels) -> DataFrame:
 
 def d07_subcategory(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     s = _subcategory_sums(wh, labels)
-    return s.select("category", "subcategory", F.col("revenue").cast("double").alias("revenue"),
-                    F.col("gross_profit").cast("double").alias("gross_profit"))
+    return s.select("category", "subcategory", "revenue", "gross_profit")
 
 
 def treemap_rollup(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
@@ -190,15 +189,13 @@ def treemap_rollup(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
     s = _subcategory_sums(wh, labels)
     return (s.rollup("category", "subcategory")
             .agg(F.sum("revenue").alias("_rev"),
-                 F.sum(F.col("revenue") * F.col("gross_profit")).alias("_rev_gp"),
+                 F.sum((F.col("revenue") * F.col("gross_profit")).cast("decimal(38,4)")).alias("_rev_gp"),
                  F.grouping_id().alias("_gid"))
             .select(F.when(F.col("_gid") == 3, F.lit(0)).when(F.col("_gid") == 1, F.lit(1))
                      .otherwise(F.lit(2)).alias("level"),
                     "category", "subcategory",
-                    F.col("_rev").cast("double").alias("revenue"),
-                    F.round(F.col("_rev_gp").cast("decimal(30,4)")
-                            / F.nullif(F.col("_rev").cast("decimal(24,2)"), F.lit(0)), 2)
-                     .cast("double").alias("color"))
+                    F.col("_rev").alias("revenue"),
+                    F.round(F.col("_rev_gp") / F.nullif(F.col("_rev"), F.lit(0)), 2).alias("color"))
             .orderBy(asc("level"), asc("category"), asc("subcategory")))
 
 
@@ -355,7 +352,7 @@ def _status_sums(wh: Warehouse) -> DataFrame:
 
 
 def d16_status(wh: Warehouse) -> DataFrame:
-    return (_status_sums(wh).select("order_status", "orders", F.col("_revenue").cast("double").alias("revenue"))
+    return (_status_sums(wh).select("order_status", "orders", F.col("_revenue").alias("revenue"))
             .orderBy(desc("orders"), asc("order_status")))
 
 
@@ -419,7 +416,7 @@ def _monthly_status(wh: Warehouse) -> DataFrame:
 def d20_monthly_status(wh: Warehouse) -> DataFrame:
     return (_monthly_status(wh)
             .select(D.month_label(F.col("_month")).alias("month"), "order_status",
-                    F.col("_revenue").cast("double").alias("revenue"))
+                    F.col("_revenue").alias("revenue"))
             .orderBy(asc("month"), asc("order_status")))
 
 
@@ -429,8 +426,8 @@ def monthly_status_stack(wh: Warehouse) -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (_monthly_status(wh)
             .select(D.month_label(F.col("_month")).alias("month"), "order_status",
-                    F.col("_revenue").cast("double").alias("revenue"),
-                    F.sum("_revenue").over(w).cast("double").alias("stacked_revenue"))
+                    F.col("_revenue").alias("revenue"),
+                    F.sum("_revenue").over(w).alias("stacked_revenue"))
             .orderBy(asc("month"), asc("order_status")))
 
 

@@ -16,6 +16,7 @@ system. It is derived from the same test tables (no ids are sampled):
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +24,16 @@ from pyspark.sql import functions as F
 from ..functions import money as M
 from ..functions import text as X
 from ..operators import dimensions as DIM
+from ..operators import facts as FACT
 from ..operators import load as LD
 from ..operators import quality as Q
 from ..operators import rfm as RFM
 from ..session import checkpoint_dir
+from ..sources import files
 from ..sources import testdata as TD
 from ..sources.warehouse import Warehouse
 
+# The columns that an upsert of each table may change.
 CUSTOMER_UPDATES = ["first_name", "last_name", "email", "city", "state", "is_premium"]
 PRODUCT_UPDATES = ["unit_price", "unit_cost", "margin_pct", "margin_tier", "is_active"]
 RFM_UPDATES = ["snapshot_date", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
@@ -66,7 +70,33 @@ def load_append(wh: Warehouse) -> DataFrame:
 def load_insert_absent(wh: Warehouse) -> DataFrame:
     """The date dimension after loading a calendar that runs a year further."""
     longer = DIM.build_dim_date(wh.spark, wh.start_date, wh.end_date + dt.timedelta(days=EXTEND_CALENDAR_DAYS))
-    return LD.inserted_if_absent(wh["dim_date"], longer, "date_key")
+    return LD.inserted_if_absent(wh["dim_date"], longer, "date_key", "full_date")
+
+
+def load_insert_absent_conflict(wh: Warehouse) -> DataFrame:
+    """A stored calendar of weekdays with other month names, after loading the whole calendar: stored rows stay."""
+    stored = wh["dim_date"].where(~F.col("is_weekend")).withColumn("month_name", F.upper("month_name"))
+    return LD.inserted_if_absent(stored, wh["dim_date"], "date_key", "full_date")
+
+
+def load_replaced_dates(wh: Warehouse) -> DataFrame:
+    """The fact after loading the first ten days of each month again, with every channel restated."""
+    fact = wh.fact.drop("sale_id")
+    batch = fact.where(F.dayofmonth("order_date") <= 10).withColumn("channel", F.upper("channel"))
+    return LD.replaced_dates(LD.replaced_dates(fact, batch, "order_date"), batch, "order_date")
+
+
+def load_append_ids(wh: Warehouse) -> DataFrame:
+    """Two batches of the fact appended one after the other to a new table: rows, distinct ids and the smallest id."""
+    spark = wh.spark
+    path = f"{checkpoint_dir(spark)}/starloom-appends/{uuid.uuid4().hex}"
+    fact = wh.fact.drop("sale_id")
+    LD.append_to(path, fact.where("order_status = 'completed'"), "sale_id")
+    LD.append_to(path, fact.where("order_status <> 'completed'"), "sale_id")
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sale_id").alias("ids"), F.min("sale_id").alias("first_id"))
+    result = spark.createDataFrame(rows.collect(), "rows long, ids long, first_id long")
+    files.remove(spark, path)
+    return result
 
 
 def upsert_customer(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +119,84 @@ def upsert_rfm(wh: Warehouse) -> DataFrame:
     return LD.upserted(wh["fact_rfm"].drop("rfm_id"), src, "customer_key", RFM_UPDATES)
 
 
+def upsert_product_inserts(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product upsert into a store that lacks every seventh product."""
+    src = next_product_extract(TD.raw_products(spark, sf_dir))
+    return LD.upserted(wh["dim_product"].where("product_key % 7 <> 0"), src, "product_id", PRODUCT_UPDATES,
+                       new_key=("product_key", "product_id"))
+
+
+def upsert_rfm_partial(wh: Warehouse) -> DataFrame:
+    """The RFM upsert into a store that lacks every fifth customer, from a source that lacks every third."""
+    src = RFM.build_rfm(wh.fact.drop("sale_id").where("customer_key % 3 <> 0"), wh.end_date)
+    return LD.upserted(wh["fact_rfm"].drop("rfm_id").where("customer_key % 5 <> 0"), src, "customer_key", RFM_UPDATES)
+
+
+# ── lines that go astray ─────────────────────────────────────────────────────
+
+# Fixed scenario parameters: an id that nothing has.
+ASTRAY = 1_000_000_000_000
+
+
+def fact_lost_lines(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fact build loses when every 40th order and every 50th product is unknown."""
+    order, product = F.col("order_id"), F.col("product_id")
+    lines = TD.order_lines(spark, sf_dir).withColumn("order_id", F.when(order % 40 == 3, order + ASTRAY).otherwise(order))
+    lines = lines.withColumn("product_id", F.when(product % 50 == 7, product + ASTRAY).otherwise(product))
+    return FACT.fact_lost_lines(TD.order_headers(spark, sf_dir), lines, wh["dim_customer"], wh["dim_product"])
+
+
+def dirty_tables(wh: Warehouse) -> dict[str, DataFrame]:
+    """The warehouse with faults of every kind that the checks look for, as a batch has them before it is cast."""
+    order, key = F.col("order_id"), F.col("product_key")
+    fact = (wh.fact.withColumn("sale_id", F.when(order % 23 != 0, order))
+            .withColumn("revenue", F.when(order % 11 == 0, -F.col("revenue")).when(order % 29 != 0, F.col("revenue")).cast("decimal(30,2)"))
+            .withColumn("quantity", F.when(order % 13 == 0, F.lit(0)).otherwise(F.col("quantity")).cast("smallint"))
+            .withColumn("customer_key", F.when(order % 17 != 0, F.col("customer_key")))
+            .withColumn("product_key", F.when(order % 19 == 0, key + ASTRAY).otherwise(key))
+            .withColumn("unit_price", F.col("unit_price").cast("decimal(30,2)") * F.when(order % 31 == 0, F.lit(ASTRAY)).otherwise(F.lit(1)))
+            .withColumn("channel", F.when(order % 37 == 0, F.repeat("channel", F.lit(9))).otherwise(F.col("channel"))))
+    customer = (wh["dim_customer"].withColumn("customer_id", F.col("customer_id") - F.col("customer_id") % 2)
+                .withColumn("customer_key", F.when(F.col("customer_key") % 41 != 0, F.col("customer_key")))
+                .withColumn("city", F.repeat("city", F.lit(12))))
+    product = wh["dim_product"].withColumn("margin_pct", F.col("margin_pct").cast("string"))
+    product = product.withColumn("margin_pct", F.when(F.col("product_key") % 43 == 0, F.lit("much")).otherwise(F.col("margin_pct")))
+    rfm = wh["fact_rfm"].withColumn("rfm_id", F.when(F.col("customer_key") % 3 != 0, F.col("customer_key") % 100))
+    rfm = rfm.withColumn("customer_key", F.when(F.col("customer_key") % 10 == 0, F.col("customer_key") + ASTRAY).otherwise(F.col("customer_key")))
+    return {**wh.tables, "fact_sales": fact, "dim_customer": customer, "dim_product": product, "fact_rfm": rfm}
+
+
+def dq_report_dirty(wh: Warehouse) -> DataFrame:
+    return Q.fact_report(dirty_tables(wh)["fact_sales"])
+
+
+def dq_unique_dirty(wh: Warehouse) -> DataFrame:
+    return Q.unique_violations(dirty_tables(wh))
+
+
+def dq_not_null_dirty(wh: Warehouse) -> DataFrame:
+    return Q.not_null_violations(dirty_tables(wh))
+
+
+def dq_fk_dirty(wh: Warehouse) -> DataFrame:
+    return Q.foreign_key_violations(dirty_tables(wh))
+
+
+def dq_fit_dirty(wh: Warehouse) -> DataFrame:
+    return Q.fit_violations(dirty_tables(wh))
+
+
+# ── text functions ───────────────────────────────────────────────────────────
+
+def text_functions(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name functions over every part: singular, capitalised, first word, and the name built of them."""
+    part = TD.read_table(spark, sf_dir, "part")
+    word = X.first_token(F.col("p_name"))
+    return part.select("p_partkey", X.singular(F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, "s").otherwise(""))).alias("singular"),
+                       X.capitalize(F.col("p_type")).alias("capitalized"), word.alias("word"),
+                       X.product_name(word, F.concat("p_type", F.lit("s"))).alias("name"))
+
+
 # ── quality reports ───────────────────────────────────────────────────────────
 
 def dq_report(wh: Warehouse) -> DataFrame:
@@ -117,11 +225,23 @@ ON_WAREHOUSE = {
     "dq_not_null": dq_not_null,
     "dq_fk": dq_fk,
     "dq_fit": dq_fit,
+    "dq_report_dirty": dq_report_dirty,
+    "dq_unique_dirty": dq_unique_dirty,
+    "dq_not_null_dirty": dq_not_null_dirty,
+    "dq_fk_dirty": dq_fk_dirty,
+    "dq_fit_dirty": dq_fit_dirty,
     "load_append": load_append,
+    "load_append_ids": load_append_ids,
     "load_insert_absent": load_insert_absent,
+    "load_insert_absent_conflict": load_insert_absent_conflict,
+    "load_replaced_dates": load_replaced_dates,
     "upsert_rfm": upsert_rfm,
+    "upsert_rfm_partial": upsert_rfm_partial,
 }
 ON_WAREHOUSE_AND_SOURCE = {
     "upsert_customer": upsert_customer,
     "upsert_product": upsert_product,
+    "upsert_product_inserts": upsert_product_inserts,
+    "fact_lost_lines": fact_lost_lines,
+    "text_functions": text_functions,
 }

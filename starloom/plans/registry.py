@@ -8,6 +8,7 @@ engines whose client libraries map those types differently.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from pyspark.sql import types as T
 
 from ..operators import facts as FACT
 from ..operators import rfm as RFM
+from ..session import checkpoint_dir
+from ..sources import files
 from ..sources import testdata as TD
 from ..sources import warehouse as WH
 from . import dashboard, maintenance, reports, sql
@@ -73,6 +76,19 @@ def _rfm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RFM.segment_counts(WH.for_testdata(spark, sf_dir)["fact_rfm"])
 
 
+def etl_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole pipeline run into a new database: each created table with its columns and the rows loaded."""
+    from . import pipeline
+
+    database = f"etl_{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark)}/{database}"
+    summary = pipeline.run_testdata(spark, sf_dir, database=database, root=root)
+    rows = [(name, ",".join(spark.table(f"{database}.{name}").columns), n) for name, n in sorted(summary["row_counts"].items())]
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    files.remove(spark, root)
+    return spark.createDataFrame(rows, "table_name string, columns string, rows long")
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "dim_date": _table("dim_date"),
@@ -83,13 +99,12 @@ def queries() -> dict[str, QueryFn]:
         "fact_dropped_rows": _fact_dropped,
         "fact_rfm": _table("fact_rfm", drop=("rfm_id",)),
         "rfm_value_counts": _rfm_counts,
+        "etl_run": etl_run,
     }
     for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD, **maintenance.ON_WAREHOUSE}.items():
         q[name] = _on_warehouse(fn)
     for name, fn in maintenance.ON_WAREHOUSE_AND_SOURCE.items():
         q[name] = _with_source(fn)
-    for name in sql.REPORT_SQL:
-        q[name] = _on_warehouse(sql.report(name))
-    for name in sql.DASHBOARD_SQL:
-        q[name] = _on_warehouse(sql.dashboard_query(name))
+    for name in sql.SAMPLES:
+        q[name] = _on_warehouse(sql.sample(name))
     return q

@@ -2,8 +2,8 @@
 
 Conventions shared by every report:
 
-* rounded money and averages are computed exactly (decimal sums, one HALF_UP
-  rounding) and returned as DOUBLE; counts are BIGINT;
+* rounded money and averages are exact DECIMALs (decimal sums, one HALF_UP
+  rounding); counts are BIGINT;
 * ``ORDER BY`` keys that can tie are followed by the group keys, so LIMIT results
   are deterministic; NULL placement is explicit (ASC → last, DESC → first);
 * joins to ``dim_date`` broadcast it (row count known from the calendar range);
@@ -90,8 +90,8 @@ def q03_top_products(wh: Warehouse, limit: int = 20) -> DataFrame:
     return (per_product.join(p, "product_key")
             .groupBy(*keys)
             .agg(F.sum("q").cast("long").alias("units_sold"),
-                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
-                 F.round(F.sum("gp"), 2).cast("double").alias("gross_profit"),
+                 F.round(F.sum("rev"), 2).alias("total_revenue"),
+                 F.round(F.sum("gp"), 2).alias("gross_profit"),
                  M.exact_avg_from(F.sum("ds"), F.sum("dn"), 1).alias("avg_discount_pct"))
             .orderBy(desc("total_revenue"), *[asc(k) for k in keys])
             .limit(limit))
@@ -125,7 +125,7 @@ def q05_top_customers(wh: Warehouse, limit: int = 20) -> DataFrame:
             .groupBy("customer_id", "customer_name", "state", "age_group", "is_premium")
             .agg(F.sum("total_orders").cast("long").alias("total_orders"),
                  F.sum("units_bought").cast("long").alias("units_bought"),
-                 F.round(F.sum("rev"), 2).cast("double").alias("lifetime_value"),
+                 F.round(F.sum("rev"), 2).alias("lifetime_value"),
                  F.min("first_order").alias("first_order"),
                  F.max("last_order").alias("last_order"))
             .orderBy(desc("lifetime_value"), asc("customer_id"))
@@ -177,7 +177,7 @@ def q07_state_revenue(wh: Warehouse) -> DataFrame:
             .groupBy("state")
             .agg(F.countDistinct("customer_id").cast("long").alias("customers"),
                  _orders().alias("orders"),
-                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+                 F.round(F.sum("rev"), 2).alias("total_revenue"),
                  M.exact_avg_from(F.sum("rev"), F.sum("rev_n"), 2).alias("avg_order_value"))
             .orderBy(desc("total_revenue"), asc("state")))
 
@@ -201,7 +201,7 @@ def q08_premium_vs_standard(wh: Warehouse) -> DataFrame:
             .agg(F.countDistinct("customer_id").cast("long").alias("customers"),
                  _orders().alias("total_orders"),
                  M.exact_avg_from(F.sum(weighted), F.sum(weight), 2).alias("avg_order_value"),
-                 F.round(F.sum("rev"), 2).cast("double").alias("total_revenue"),
+                 F.round(F.sum("rev"), 2).alias("total_revenue"),
                  M.exact_avg_from(F.sum("ds"), F.sum("dn"), 1).alias("avg_discount_pct"))
             .orderBy(desc("is_premium")))
 
@@ -214,7 +214,6 @@ def q09_discount_impact(wh: Warehouse) -> DataFrame:
                  M.money_sum("revenue").alias("net_revenue"),
                  M.money_sum("gross_profit").alias("gross_profit"),
                  _margin().alias("margin_pct"))
-            .withColumn("discount_pct", F.col("discount_pct").cast("double"))
             .orderBy(asc("discount_pct")))
 
 
@@ -238,7 +237,7 @@ def q11_segments(wh: Warehouse) -> DataFrame:
     return (g.withColumn("pct_of_customers",
                          M.exact_ratio_pct(F.col("customers").cast("decimal(20,0)"),
                                            F.sum("customers").over(everything).cast("decimal(20,0)"), 1))
-             .withColumn("total_revenue", F.round("_monetary", 2).cast("double"))
+             .withColumn("total_revenue", F.round("_monetary", 2))
              .withColumn("pct_of_revenue",
                          M.exact_ratio_pct(F.col("_monetary"), F.sum("_monetary").over(everything), 1))
              .select("segment", "customers", "pct_of_customers", "avg_recency_days", "avg_orders",

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Column names, types and lengths are those of the warehouse that this one replaces.
 MONEY = T.DecimalType(10, 2)       # unit prices, discount amount, net price
 AMOUNT = T.DecimalType(12, 2)      # revenue, cogs, gross profit, monetary
+TOTAL = T.DecimalType(22, 2)       # a customer's money over all time
 PCT = T.DecimalType(5, 2)          # discount_pct
 MARGIN = T.DecimalType(6, 1)       # product margin_pct
 
@@ -92,7 +94,7 @@ FACT_RFM = _s(
     ("snapshot_date", T.DateType(), False),
     ("recency_days", T.IntegerType(), True),
     ("frequency", T.IntegerType(), True),
-    ("monetary", AMOUNT, True),
+    ("monetary", TOTAL, True),
     ("r_score", T.ShortType(), True),
     ("f_score", T.ShortType(), True),
     ("m_score", T.ShortType(), True),
@@ -154,6 +156,13 @@ VARCHAR_LIMITS = {
     "fact_rfm": {"segment": 20},
 }
 
+# Declared NUMERIC(p, s) columns.
+NUMERIC_LIMITS = {
+    table: {f.name: (f.dataType.precision, f.dataType.scale) for f in schema.fields if isinstance(f.dataType, T.DecimalType)}
+    for table, schema in (("dim_date", DIM_DATE), ("dim_customer", DIM_CUSTOMER), ("dim_product", DIM_PRODUCT),
+                          ("fact_sales", FACT_SALES), ("fact_rfm", FACT_RFM))
+}
+
 
 def conform(df: DataFrame, schema: T.StructType, drop_extra: bool = True) -> DataFrame:
     """Cast ``df`` to ``schema`` column by column (name-based), in schema order."""

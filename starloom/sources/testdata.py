@@ -7,10 +7,9 @@ start from the same raw rows.
 
 Scale notes: every mapping is a per-row projection. ``customer ⋈ nation`` joins a
 25-row table (broadcast by the planner from its file size). Orders are also offered
-as two parts — order headers (one row per order) and order lines priced by
-``part`` — so the fact build can resolve the customer key on headers, four times
-fewer rows than lines, and the product key on lines partitioned by the part key
-they were priced with.
+as two parts — order headers (one row per order) and order lines — so the fact
+build can resolve the customer key on headers, four times fewer rows than lines,
+and price, cost and product key in one join of the lines with the stored product.
 """
 
 from __future__ import annotations
@@ -114,21 +113,17 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order line with its product price and cost (line ⋈ part)."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    price = F.col("p_retailprice").cast(S.MONEY)
-    return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
+    """One row per order line as it is ordered; its price and cost are the product's."""
+    return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("smallint").alias("quantity"),
-        price.alias("unit_price"),
-        _unit_cost(F.col("p_partkey"), price).alias("unit_cost"),
         (F.col("l_discount").cast("decimal(4,2)") * F.lit(250)).cast(S.PCT).alias("discount_pct"),
     )
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their order's attributes: the flat raw input (one row per line)."""
-    lines = order_lines(spark, sf_dir).join(order_headers(spark, sf_dir), "order_id", "inner")
+    prices = raw_products(spark, sf_dir).select("product_id", "unit_price", "unit_cost")
+    lines = order_lines(spark, sf_dir).join(prices, "product_id", "left").join(order_headers(spark, sf_dir), "order_id", "left")
     return S.conform(lines, S.RAW_ORDERS)

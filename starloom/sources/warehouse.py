@@ -23,6 +23,7 @@ from ..operators import facts as FACT
 from ..operators import rfm as RFM
 from ..operators.joins import broadcast_bounded_by_construction
 from ..session import checkpoint_dir
+from . import files
 from . import schemas as S
 from . import testdata as TD
 
@@ -77,7 +78,7 @@ def _write_read(df: DataFrame, path: str) -> DataFrame:
 def build(spark: SparkSession, customers: DataFrame, products: DataFrame,
           orders: DataFrame | tuple[DataFrame, DataFrame],
           start_date, end_date, snapshot_date=None, location: str | None = None,
-          materialize: bool = True, **rank_kw) -> Warehouse:
+          materialize: bool = True) -> Warehouse:
     """Run the ETL. ``orders`` is either the flat order lines or a pair (order
     headers, order lines). With ``materialize`` every table is written under
     ``location`` (default: a fresh folder below the shared checkpoint folder) and
@@ -98,8 +99,8 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame,
         return out[name]
 
     step("dim_date", lambda: DIM.build_dim_date(spark, start_d, end_d))
-    dim_customer = step("dim_customer", lambda: DIM.build_dim_customer(customers, **rank_kw))
-    dim_product = step("dim_product", lambda: DIM.build_dim_product(products, **rank_kw))
+    dim_customer = step("dim_customer", lambda: DIM.build_dim_customer(customers))
+    dim_product = step("dim_product", lambda: DIM.build_dim_product(products))
     if isinstance(orders, tuple):   # (order headers, order lines)
         fact, observed = FACT.build_fact_from_parts(orders[0], orders[1], dim_customer, dim_product)
     else:
@@ -111,7 +112,7 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame,
     fact = step("fact_sales", lambda: S.conform(fact, S.FACT_SALES))
 
     def rfm_table() -> DataFrame:
-        rfm = RFM.build_rfm(fact.drop("sale_id"), snapshot, **rank_kw)
+        rfm = RFM.build_rfm(fact.drop("sale_id"), snapshot)
         rfm = rfm.select((F.monotonically_increasing_id() + F.lit(1)).alias("rfm_id"), *rfm.columns)
         return S.conform(rfm, S.FACT_RFM)
     step("fact_rfm", rfm_table)
@@ -122,21 +123,25 @@ def build(spark: SparkSession, customers: DataFrame, products: DataFrame,
     return wh
 
 
-def build_from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True, **rank_kw) -> Warehouse:
+def build_from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
     """The warehouse of the test tables; calendar and snapshot span the order dates."""
     start, end = TD.calendar_bounds(spark, sf_dir)
     orders = (TD.order_headers(spark, sf_dir), TD.order_lines(spark, sf_dir))
     return build(spark, TD.raw_customers(spark, sf_dir), TD.raw_products(spark, sf_dir),
-                 orders, start, end, materialize=materialize, **rank_kw)
+                 orders, start, end, materialize=materialize)
 
 
 _CACHE: dict[tuple, Warehouse] = {}
 _LOCK = threading.Lock()
 
 
+SOURCES = ("customer", "nation", "part", "orders", "lineitem")
+
+
 def for_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of ``sf_dir``, built once per Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """The warehouse of ``sf_dir``, built once per Spark application and state of its files."""
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, folder, *(files.fingerprint(spark, f"{folder}/{t}.parquet") for t in SOURCES))
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:

@@ -4,6 +4,6 @@ from starloom.__main__ import main
 def test_list_and_unknown_query(capsys):
     assert main(["--list"]) == 0
     out = capsys.readouterr().out.split()
-    assert "q01_monthly" in out and "sql_d20_monthly_status" in out and len(out) == 92
+    assert "q01_monthly" in out and "sql_brand_places" in out and len(out) == 78
     assert main(["no_such_query"]) == 2
     assert main([]) == 2

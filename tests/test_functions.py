@@ -52,19 +52,22 @@ def test_line_metrics(spark):
 
 @pytest.mark.parametrize("n", list(range(2, 61)) + [101, 397, 1500])
 def test_quartile_score_equals_quantile_cut_of_ranks(spark, n):
-    df = spark.range(1, n + 1).withColumnRenamed("id", "rank")
-    got = [r[0] for r in df.select(SC.quartile_score("rank", n)).orderBy("rank").collect()]
+    cuts = SC.quartile_cuts(n)
+    got = [1 + sum(rank > c for c in cuts) for rank in range(1, n + 1)]
     expected = pd.qcut(pd.Series(range(1, n + 1), dtype=float), q=4, labels=[1, 2, 3, 4]).astype(int).tolist()
     assert got == expected
 
 
 def test_quartile_score_six_rows(spark):
-    df = spark.range(1, 7).withColumnRenamed("id", "rank")
-    assert [r[0] for r in df.select(SC.quartile_score("rank", 6)).collect()] == [1, 1, 2, 3, 4, 4]
+    df = spark.range(1, 7)
+    beyond = [F.col("id") > c for c in SC.quartile_cuts(6)]
+    assert [r[0] for r in df.select(SC.quartile_score(beyond)).collect()] == [1, 1, 2, 3, 4, 4]
 
 
 def test_single_row_scores_one(spark):
-    assert spark.range(1, 2).withColumnRenamed("id", "rank").select(SC.quartile_score("rank", 1)).first()[0] == 1
+    beyond = [F.col("id") > c for c in SC.quartile_cuts(1)]
+    assert spark.range(1, 2).select(SC.quartile_score(beyond)).first()[0] == 1
+    assert SC.quartile_cuts(0) == []
 
 
 def test_segment_rule_first_match_wins(spark):

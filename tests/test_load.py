@@ -61,8 +61,8 @@ def test_upsert_is_idempotent(spark):
 def test_insert_if_absent_leaves_existing_rows_unchanged(spark):
     tgt = spark.createDataFrame([(20220101, "old")], "date_key int, v string")
     src = spark.createDataFrame([(20220101, "new"), (20220102, "x"), (20220102, "y")], "date_key int, v string")
-    out = sorted(tuple(r) for r in LD.inserted_if_absent(tgt, src, "date_key").collect())
-    assert out[0] == (20220101, "old") and len(out) == 2 and out[1][0] == 20220102
+    out = sorted(tuple(r) for r in LD.inserted_if_absent(tgt, src, "date_key", "v").collect())
+    assert out == [(20220101, "old"), (20220102, "x")]
 
 
 def test_append_is_not_idempotent_and_ids_are_unique(spark, tmp_path):
@@ -83,3 +83,38 @@ def test_replace_writes_a_new_version(spark, tmp_path):
     p2 = LD.replace_with(str(tmp_path / "t"), df.union(df))
     assert p1 != p2
     assert spark.read.parquet(p1).count() == 3 and spark.read.parquet(p2).count() == 6
+
+
+def test_null_keys_raise(spark):
+    tgt = spark.createDataFrame([(1, "a")], "k long, v string")
+    src = spark.createDataFrame([(None, "b"), (2, "c")], "k long, v string")
+    with pytest.raises(LD.NullSourceKey):
+        LD.upserted(tgt, src, "k", ["v"])
+    with pytest.raises(LD.NullSourceKey):
+        LD.inserted_if_absent(tgt, src, "k", "v")
+
+
+def test_an_unreadable_table_is_not_an_empty_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    batch = spark.range(5).selectExpr("id AS x")
+    LD.append_to(path, batch, id_col="sale_id")
+
+    def broken(target, id_col):
+        raise OSError("no answer")
+
+    with monkeypatch.context() as m:
+        m.setattr(LD, "next_id", broken)
+        with pytest.raises(OSError):
+            LD.append_to(path, batch, id_col="sale_id")
+    LD.append_to(path, batch, id_col="sale_id")
+    ids = [r.sale_id for r in spark.read.parquet(path).collect()]
+    assert len(ids) == len(set(ids)) == 10
+
+
+def test_replaced_dates_can_be_loaded_again(spark):
+    tgt = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "d int, v string")
+    batch = spark.createDataFrame([(2, "c"), (2, "d"), (3, "e")], "d int, v string")
+    once = LD.replaced_dates(tgt, batch, "d")
+    rows = sorted(once.collect(), key=str)
+    assert rows == sorted(LD.replaced_dates(once, batch, "d").collect(), key=str)
+    assert sorted(r.v for r in rows) == ["a", "c", "d", "e", "n"]

@@ -1,9 +1,12 @@
+import datetime as dt
 import random
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.ranking import dense_key, global_rank, keep_first
+from starloom.operators.ranking import _placed, after, cut_keys, dense_key, global_rank, keep_first
 
 
 def _frame(spark, n, seed=3, distinct=7):
@@ -12,25 +15,60 @@ def _frame(spark, n, seed=3, distinct=7):
     return spark.createDataFrame(rows, "k long, f int, m double")
 
 
-def test_bucketed_rank_equals_single_partition_row_number(spark):
-    df = _frame(spark, 3000).checkpoint(eager=True)
-    order = [("f", False), ("m", True), ("k", True)]
-    ranked, n = global_rank(df, order, out="r", rows_per_bucket=200)
+@pytest.mark.parametrize("order", [[("f", False), ("m", True), ("k", True)], [("m", True), ("k", True)], [("f", True), ("m", False), ("k", True)]])
+def test_rank_equals_single_partition_row_number(spark, order):
+    df = _frame(spark, 3000)
+    ranked, n = global_rank(df, order, out="r")
     assert n == 3000
-    w = Window.orderBy(F.col("f").desc(), F.col("m").asc(), F.col("k").asc())
+    w = Window.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order])
     expected = df.withColumn("e", F.row_number().over(w))
-    bad = ranked.join(expected, "k").filter(F.col("r") != F.col("e")).count()
-    assert bad == 0
+    assert ranked.join(expected, "k").filter(F.col("r") != F.col("e")).count() == 0
     assert sorted(r[0] for r in ranked.select("r").collect()) == list(range(1, 3001))
 
 
-def test_low_cardinality_value_does_not_overload_a_bucket(spark):
+def test_one_value_in_most_rows_is_spread(spark):
     # a third of all rows share one value; the unique tie key still splits them
-    rows = [(i, 1 if i % 3 == 0 else i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "k long, v long").checkpoint(eager=True)
-    ranked, _ = global_rank(df, [("v", True), ("k", True)], out="r", rows_per_bucket=300)
-    sizes = ranked.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r[1] for r in sizes) < 1500
+    df = spark.range(30_000).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions are merged otherwise
+    try:
+        staged, firsts, n = _placed(df, [("v", True), ("k", True)], "test")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r[1] for r in staged.groupBy("_part").count().collect()]
+    assert n == 30_000 and max(sizes) < 15_000 and len(firsts) == len(sizes)
+
+
+def test_cut_keys(spark):
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=(i * 13) % 40), Decimal(f"{(i * 7) % 23}.{i % 100:02d}"), f"s{i % 9}") for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, d date, m decimal(12,2), s string").repartition(5)
+    for order in ([("d", True), ("k", True)], [("m", False), ("d", True), ("k", True)], [("s", False), ("k", True)]):
+        names = [c for c, _ in order]
+        ordered = [tuple(r) for r in df.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order]).select(*names).collect()]
+        positions = [1, 175, 350, 700, 701]
+        cuts = cut_keys(df, order, positions)
+        assert cuts == [ordered[p - 1] for p in positions if p <= 700]
+        assert df.where(after(order, cuts[1])).count() == 700 - 175
+
+
+def test_no_build_plan_gathers_rows_in_one_partition(spark):
+    """Also not for a handful of rows."""
+    for n in (4, 1000):
+        df = spark.range(n).selectExpr("id AS k", "id % 7 AS v", "string(id) AS s")
+        ranked, _ = global_rank(df, [("v", True), ("k", True)], out="r")
+        for frame in (ranked, dense_key(df, "k", "key"), keep_first(df, "s", "k")):
+            assert "SinglePartition" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dimension_and_rfm_plans_have_no_single_partition(spark):
+    from starloom.operators.dimensions import build_dim_customer, build_dim_product
+    from starloom.operators.rfm import build_rfm
+    from starloom.sources import testdata as TD
+    from starloom.sources import warehouse as WH
+    sf = "/root/testdata/sf0.001"
+    frames = [build_dim_customer(TD.raw_customers(spark, sf)), build_dim_product(TD.raw_products(spark, sf)),
+              build_rfm(WH.for_testdata(spark, sf).fact.drop("sale_id"), "2001-08-01")]
+    for frame in frames:
+        assert "SinglePartition" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rank_ties_descending_go_to_lower_key_first(spark):
@@ -41,7 +79,7 @@ def test_rank_ties_descending_go_to_lower_key_first(spark):
 
 def test_dense_key(spark):
     df = spark.createDataFrame([(30, "c"), (10, "a"), (20, "b")], "id long, x string")
-    out = dense_key(df, "id", "key", rows_per_bucket=1)
+    out = dense_key(df, "id", "key")
     assert [(r.key, r.id) for r in out.orderBy("key").collect()] == [(1, 10), (2, 20), (3, 30)]
     assert out.columns == ["key", "id", "x"]
 
@@ -66,60 +104,16 @@ def test_customer_dimension_dedup_and_keys(spark):
         [(1, 1, "a@b"), (2, 3, "c@d")]
 
 
-def test_several_ranks_in_one_plan_match_single_partition(spark):
-    from starloom.operators.ranking import global_ranks
-    df = _frame(spark, 2500, seed=11).checkpoint(eager=True)
-    orders = {"r1": [("f", False), ("k", True)], "r2": [("m", True), ("k", True)], "r3": [("f", True), ("m", False), ("k", True)]}
-    ranked, n = global_ranks(df, orders, rows_per_bucket=300)
-    assert n == 2500
-    for name, order in orders.items():
-        w = Window.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order])
-        exp = df.withColumn("e", F.row_number().over(w)).select("k", "e")
-        assert ranked.join(exp, "k").filter(F.col(name) != F.col("e")).count() == 0
-
-
-def test_rfm_scores_equal_with_and_without_buckets(spark):
-    from starloom.operators.rfm import build_rfm
+def test_rfm_scores_equal_ranks_cut_at_quartiles(spark):
+    from starloom.operators.rfm import ORDERS, build_rfm
     from starloom.sources import warehouse as WH
-    wh = WH.for_testdata(spark, "/root/testdata/sf0.01")
-    fact = wh.fact.drop("sale_id")
-    one = build_rfm(fact, "2001-08-01")
-    many = build_rfm(fact, "2001-08-01", rows_per_bucket=100)
-    assert one.count() == many.count() > 1000
-    assert one.exceptAll(many).count() == 0
-
-
-def test_bucket_size_from_session_setting(spark):
-    from starloom.operators.ranking import ROWS_PER_BUCKET_CONF
-    df = spark.range(400).selectExpr("id AS k", "id % 3 AS v").checkpoint(eager=True)
-    spark.conf.set(ROWS_PER_BUCKET_CONF, "50")
-    try:
-        ranked, _ = global_rank(df, [("v", True), ("k", True)], out="r")
-        plan = ranked._jdf.queryExecution().executedPlan().toString()
-        assert "SinglePartition" not in plan
-        assert sorted(r.r for r in ranked.collect()) == list(range(1, 401))
-    finally:
-        spark.conf.unset(ROWS_PER_BUCKET_CONF)
-
-
-def test_descending_string_key_uses_fallback_and_stays_exact(spark):
-    rows = [(i, f"s{(i * 37) % 50:03d}") for i in range(600)]
-    df = spark.createDataFrame(rows, "k long, s string").checkpoint(eager=True)
-    ranked, _ = global_rank(df, [("s", False), ("k", True)], out="r", rows_per_bucket=60)
-    exp = df.withColumn("e", F.row_number().over(Window.orderBy(F.col("s").desc(), F.col("k"))))
-    assert ranked.join(exp, "k").filter(F.col("r") != F.col("e")).count() == 0
-
-
-def test_date_and_decimal_keys_in_bucket_search(spark):
-    import datetime as dt
-    from decimal import Decimal
-    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=(i * 13) % 40), Decimal(f"{(i * 7) % 23}.{i % 100:02d}"))
-            for i in range(700)]
-    df = spark.createDataFrame(rows, "k long, d date, m decimal(12,2)").checkpoint(eager=True)
-    from starloom.operators.ranking import global_ranks
-    orders = {"r1": [("d", True), ("k", True)], "r2": [("m", False), ("d", True), ("k", True)]}
-    ranked, _ = global_ranks(df, orders, rows_per_bucket=50)
-    for name, order in orders.items():
+    fact = WH.for_testdata(spark, "/root/testdata/sf0.01").fact.drop("sale_id")
+    rfm = build_rfm(fact, "2001-08-01").cache()
+    n = rfm.count()
+    assert n > 1000
+    for name, order in ORDERS.items():
         w = Window.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in order])
-        exp = df.withColumn("e", F.row_number().over(w)).select("k", "e")
-        assert ranked.join(exp, "k").filter(F.col(name) != F.col("e")).count() == 0
+        rank = F.row_number().over(w) - 1
+        wrong = rfm.withColumn("e", F.greatest(F.lit(1), F.ceil(4 * rank / (n - 1)))).where(F.col("e") != F.col(name))
+        assert wrong.count() == 0
+    rfm.unpersist()
