@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_join, html_text, mixing, ngram_join, quality, suffix_dedup, tokens, url_filter
+from . import bpe, chat, embed_join, html_text, mixing, ngram_join, oracles, quality, suffix_dedup, tokens, url_filter
 from .storage import scratch, table
 
 
@@ -69,4 +69,9 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_source_mixing, op3_quality_rules, op4_suffix_dedup, op5_ngram_jaccard_join, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": oracles.quality(quality.Limits()),
+    "op5_ngram_jaccard_join": oracles.jaccard(3, 90),
+    "op8_chat_formatting": oracles.CHAT,
+    "op10_embedding_near_dedup": oracles.EMBEDDINGS,
+}
