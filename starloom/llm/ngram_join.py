@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .forest import roots
-from .storage import stored
+from .storage import discard, stored
 from .textnum import Roller, byte_values, chunks, text_column, word_bounds
 
 GROUP = 512
@@ -291,13 +291,17 @@ def by_pivots(members: DataFrame, measure: Measure) -> DataFrame:
 
 def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, n_shingles, component_id) of every row of ``docs``."""
-    seen = stored(sketches(docs, measure, id_col, text_col), "sketches")
-    full = seen.where("n > 0 and id is not null")
+    sketched = stored(sketches(docs, measure, id_col, text_col), "sketches")
     # a class is known by 64 bits of its digest; doc is its smallest document
-    classes = full.groupBy("digest", "n").agg(F.min("id").alias("doc"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.withColumn("id", F.xxhash64("digest")), "classes")
-    some = held_by_others(classes, "prefix", _whole(measure, "least", F.col("n"))).select("id")
-    some = stored(some.join(classes.select("id", "doc", "digest", "n"), "id"), "survivors")
+    classed = sketched.where("n > 0 and id is not null").groupBy("digest", "n").agg(F.min("id").alias("doc"), F.first("prefix").alias("prefix"))
+    classed = stored(classed.withColumn("id", F.xxhash64("digest")), "classes")
+    seen = stored(sketched.select("id", "n", "digest"), "sizes")
+    discard(sketched)  # the prefixes are read once: they need no place while whole sets are compared
+    some = held_by_others(classed, "prefix", _whole(measure, "least", F.col("n"))).select("id")
+    some = stored(some.join(classed.select("id", "doc", "digest", "n"), "id"), "survivors")
+    classes = stored(classed.select("id", "doc", "digest", "n"), "class-ids")
+    discard(classed)
+    full = seen.where("n > 0 and id is not null")
     sets = stored(whole_sets(docs, some, measure, id_col, text_col).select("id", "n", "elements").dropDuplicates(["id"]), "sets")
     groups = stored(grouped(stored(prefixed(sets, measure), "prefixes")), "groups")
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))

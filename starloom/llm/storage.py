@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
+from ..sources import files
 
 # Spark drops the shuffle files of a write once it has ended, if this is on.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -36,3 +37,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         else:
             spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a :func:`stored` frame that nothing will read again."""
+    for path in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        files.remove(df.sparkSession, path)
