@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import by_key, components
 from .forest import roots
 from .storage import discard, stored
 from .textnum import Roller, byte_values, chunks, text_column, word_bounds
@@ -118,7 +118,7 @@ def _whole(measure: Measure, name: str, n: Column) -> Column:
 def held_by_others(sets: DataFrame, tokens: str, least: Column) -> DataFrame:
     """(id, n, held array<struct<df, token>>): the sets with ``least`` or more tokens that other sets hold too, and these tokens."""
     each = sets.select("id", "n", F.explode(tokens).alias("token"))
-    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    counts = by_key(each, "token", F.count(F.lit(1)), "df").where("df > 1")
     held = each.join(counts, "token").groupBy("id", "n").agg(F.collect_list(F.struct("df", "token")).alias("held"))
     return held.where(F.size("held") >= least)
 
@@ -142,7 +142,7 @@ def prefixed(sets: DataFrame, measure: Measure) -> DataFrame:
 def grouped(sets: DataFrame) -> DataFrame:
     """``sets`` with the group that each belongs to under the second order; sets alone in theirs are left out."""
     tokens = sets.select("id", F.explode("rare").alias("token"))
-    least = tokens.groupBy("token").agg(F.min("id").alias("b"))
+    least = by_key(tokens, "token", F.min("id"), "b")
     ties = tokens.join(least, "token").where("id <> b").select(F.col("id").alias("a"), "b")
     return sets.join(components(ties, "rare").withColumnRenamed("component", "group"), "id")
 
@@ -316,7 +316,7 @@ def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     edges = edges.unionByName(same.select(F.xxhash64("digest").alias("a"), F.xxhash64("least").alias("b")))
     links = components(edges, "links").withColumnRenamed("component", "tie")
     place = classes.select("digest", "id", "doc").join(links, "id", "left").withColumn("tie", F.coalesce("tie", "id"))
-    place = place.join(place.groupBy("tie").agg(F.min("doc").alias("component")), "tie").select("digest", "component")
+    place = place.join(by_key(place, "tie", F.min("doc"), "component"), "tie").select("digest", "component")
     return (seen.select("id", "n", "digest").join(place, "digest", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id")))
