@@ -370,11 +370,11 @@ def _cut(partitions: int, as_text: bool):
     return run
 
 
-def _deduplicated(docs: DataFrame, id_col: str, text_col: str, as_text: bool) -> DataFrame:
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str, as_text: bool, block_bytes: int) -> DataFrame:
     """(rest, n_bytes, n_removed, n_spans, kept): ``rest`` is a struct of the other columns of ``docs``."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    blocks = max(-(-total // BLOCK_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (1 << 20))), 1)
+    blocks = max(-(-total // block_bytes), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (1 << 20))), 1)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     whole = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block"),
                         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct(*others).alias("rest"))
@@ -389,13 +389,17 @@ def _deduplicated(docs: DataFrame, id_col: str, text_col: str, as_text: bool) ->
             .applyInArrow(_cut(blocks, as_text), f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, n_bytes, n_removed, n_spans, kept): what is left of each whole text, as bytes."""
-    out = _deduplicated(docs.select(id_col, text_col), id_col, text_col, False)
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(``id_col``, n_bytes, n_removed, n_spans, kept): what is left of each whole text, as bytes.
+
+    Blocks and partitions exchange a message a pair, so ``block_bytes`` should grow with the input as far as
+    an executor's memory allows: a task needs about ten times that for its block.
+    """
+    out = _deduplicated(docs.select(id_col, text_col), id_col, text_col, False, block_bytes)
     return out.select(F.col(f"rest.`{id_col}`").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts; a character that lost some of its bytes goes whole."""
-    out = _deduplicated(docs, id_col, text_col, True)
+    out = _deduplicated(docs, id_col, text_col, True, block_bytes)
     return out.select(*[F.col("kept").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
