@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 
 SHALLOW = 16
-ROWS = 1 << 17
+ROWS = 1 << 14
 
 
 def _eight(buffer: np.ndarray, at: np.ndarray, keep: int) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def text_column(col) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textnum import CHUNK_BYTES, Roller, chunks, mix, text_column
+from .textnum import Roller, chunks, mix, text_column
 
 TABLE = 0x250  # code points below this have a class here: Basic Latin to Latin Extended-B
 CACHE = 1 << 20
@@ -254,7 +254,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, layo
         encoder, part, offset = worker_encoder(tokenizer_file), TaskContext.get().partitionId(), 0
         for batch in batches:
             data, offsets = text_column(batch.column(1))
-            for a, b in chunks(offsets, CHUNK_BYTES // 2):
+            for a, b in chunks(offsets):
                 ids, n = encoder.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 flat = np.full(len(ids) + (b - a), end_id, np.int32)
                 ends = np.cumsum(n)
