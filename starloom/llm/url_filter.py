@@ -1,10 +1,13 @@
 """URL filters: rules on host and path, and a naive Bayes verdict on segmented names for the rest.
 
 Host and path are cut at everything but letters; concatenated names are then split into words by
-Viterbi over a unigram model. The model counts, over all URLs, the hosts that use a name as a
-whole word (a name's use of itself is not counted), plus the words of the labelled seeds. Which
-pieces of a name are words is found by a join of its substrings with the counts, so no dictionary
-has to fit in a task. Multinomial naive Bayes, fitted on the seeds, scores the words.
+Viterbi over a unigram model. The model counts, over all URLs, the sites that use a name as a
+whole word (a name's use of itself is not counted), plus the words of the labelled seeds. The
+subdomains and endings of one site count once. A concatenation of other words is no word, however
+often it is counted: names made of seed words, and names that are rarer than their parts (than the
+geometric mean of their counts, as Koehn and Knight split compounds); two parts need three letters
+or more. Which pieces of a name are words is found by a join of its substrings with the counts, so
+no dictionary has to fit in a task. Multinomial naive Bayes, fitted on the seeds, scores the words.
 
 Defined results for odd input: a null URL or one without ``://`` has an empty host and path, no
 rule and the verdict of the class prior; endless names are split like others, with words of at
@@ -16,13 +19,17 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Container, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORD = 24
+# Decisions that a task remembers on which names are concatenations.
+REMEMBERED = 100_000
+# The ending of a host: one label, or two as in co.uk; a port goes with it.
+ENDING = r"(?:\.(?:ac|co|com|edu|gov|net|org)\.[a-z]{2}|\.[^.]*)\.?(?::\d*)?$"
 # Log odds that a verdict of block needs; words of one letter say nothing.
 CLEAR = 0.9
 # Labelled names the classifier is fitted on; a parameter, to be replaced by a site's own list.
@@ -97,12 +104,80 @@ def viterbi(name: str, known: dict[tuple[int, int], float], total: float) -> lis
     return out[::-1]
 
 
+def parts_of(name: str, known: dict[tuple[int, int], float], total: float, words: Container[str] | None = None) -> list[str]:
+    """The likeliest split into known pieces of two letters or more, two of them of three; empty if there is none. ``words``: the pieces allowed."""
+    size, log_total = len(name), math.log(total)
+    # best[end][k]: (cost, start, k before) with k pieces of three letters or more, two standing for all above
+    best: list[list[tuple[float, int, int] | None]] = [[(0.0, 0, 0), None, None]] + [[None] * 3 for _ in range(size)]
+    for end in range(2, size + 1):
+        for start in range(max(0, end - MAX_WORD), end - 1):
+            n = known.get((start, end - start), 0.0)
+            if n <= 0 or end - start == size or (words is not None and name[start:end] not in words):
+                continue
+            for k, before in enumerate(best[start]):
+                if before is not None:
+                    to, cost = min(2, k + (end - start > 2)), before[0] + log_total - math.log(n)
+                    if best[end][to] is None or cost < best[end][to][0]:
+                        best[end][to] = (cost, start, k)
+    out, end, k = [], size, 2
+    while end and best[end][k] is not None:
+        _, start, k = best[end][k]
+        out.append(name[start:end])
+        end = start
+    return out[::-1]
+
+
+def concatenation(name: str, own: float, known: dict[tuple[int, int], float], total: float, seeds: Container[str]) -> list[str]:
+    """The words that ``name``, counted ``own`` times, is made of; empty if it is a word itself."""
+    if name in seeds:
+        return []
+    if made := parts_of(name, known, total, seeds):
+        return made
+    made, at, logs = parts_of(name, known, total), 0, 0.0
+    for part in made:
+        logs += math.log(known[at, len(part)])
+        at += len(part)
+    return made if made and logs / len(made) >= math.log(max(own, 1.0)) else []
+
+
+def segment(name: str, pieces: Sequence[dict], total: float, seeds: Container[str], seen: dict[str, list[str]]) -> list[str]:
+    """The words of ``name``. ``pieces``: its substrings that are counted (start from 1, length, n); ``seen``: decisions on other names."""
+    known: dict[tuple[int, int], float] = {}
+    for p in sorted(pieces, key=lambda p: p["length"]):  # what a piece is made of is known before the piece
+        at, size = p["start"] - 1, p["length"]
+        piece = name[at:at + size]
+        if piece not in seen:
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            inner = {(a - at, n): known[a, n] for a in range(at, at + size) for n in range(2, at + size - a + 1) if (a, n) in known}
+            seen[piece] = concatenation(piece, p["n"], inner, total, seeds)
+        if not seen[piece]:
+            known[at, size] = p["n"]
+        elif size == len(name):
+            return seen[piece]
+    whole = (0, len(name))
+    if whole in known:  # its own use says nothing on whether it is one word
+        known[whole] -= 1.0
+    return viterbi(name, known, total)
+
+
+def uses(urls: DataFrame) -> DataFrame:
+    """(name, place), distinct: a name in a host is used by its label and those behind it but for the ending, one in a path by the host."""
+    host = F.col("host")
+    labels = urls.select("host").distinct().select(F.split(host, r"\.").alias("labels"), F.size(F.split(F.regexp_replace(host, ENDING, ""), r"\.")).alias("m"))
+    labels = labels.select("labels", "m", F.posexplode("labels").alias("at", "label"))
+    size = F.greatest(F.lit(0), F.least(F.lit(4), F.col("m") - F.col("at")))
+    site = F.concat_ws(".", F.slice("labels", F.col("at") + 1, size))
+    in_host = labels.select(F.explode(names(F.col("label"))).alias("name"), F.concat(F.lit("site "), site).alias("place"))
+    in_path = urls.select(F.explode(names(F.col("path"))).alias("name"), F.concat(F.lit("path "), host).alias("place"))
+    return in_host.unionByName(in_path).distinct()
+
+
 def segmented(urls: DataFrame, seeds: Sequence[tuple[str, str]] = SEEDS) -> DataFrame:
     """(name, words, score) of each distinct name in ``urls`` (host, path)."""
     odds, _, seed_counts = fit(seeds)
     spark = urls.sparkSession
-    used = urls.select("host", F.explode(F.concat(names(F.col("host")), names(F.col("path")))).alias("name")).distinct()
-    own = used.groupBy("name").agg(F.count(F.lit(1)).cast("double").alias("hosts"))
+    own = uses(urls).groupBy("name").agg(F.count(F.lit(1)).cast("double").alias("hosts"))
     prior = spark.createDataFrame([(w, float(n)) for w, n in sorted(seed_counts.items())], "name string, hosts double")
     words = own.unionByName(prior).where(F.length("name") <= MAX_WORD).groupBy("name").agg(F.sum("hosts").alias("n"))
     total = 10.0 + (own.unionByName(prior).agg(F.sum("hosts")).first()[0] or 0.0)
@@ -115,15 +190,10 @@ def segmented(urls: DataFrame, seeds: Sequence[tuple[str, str]] = SEEDS) -> Data
     known = found.groupBy("name").agg(F.collect_list(F.struct("start", "length", "n")).alias("known"))
 
     def run(batches):
+        seen: dict[str, list[str]] = {}
         for batch in batches:
             got = batch.to_pydict()
-            split = []
-            for name, pieces in zip(got["name"], got["known"]):
-                have = {(p["start"] - 1, p["length"]): p["n"] for p in pieces or ()}
-                whole = (0, len(name))
-                if whole in have:  # its own use says nothing on whether it is one word
-                    have[whole] -= 1.0
-                split.append(viterbi(name, have, total))
+            split = [segment(name, pieces or (), total, odds, seen) for name, pieces in zip(got["name"], got["known"])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(got["name"], pa.string()), pa.array(split, pa.list_(pa.string())), pa.array([sum(odds.get(w, 0.0) for w in s) for s in split], pa.float64())],
                 names=["name", "words", "score"])

@@ -40,6 +40,27 @@ def test_url_rules_and_parts(spark):
     assert url_filter.judge(rows.limit(0), RULES).count() == 0
 
 
+@pytest.mark.parametrize("hosts", [
+    ["cheappills.net"], ["www.cheappills.net", "m.cheappills.net"], ["cheappills.net", "cheappills.com", "cheappills.co.uk"],
+    [f"s{i}.cheappills.{e}" for i in range(12) for e in ("net", "com")] + [f"cheappills.shop{c}.org:80" for c in "abcdefgh"]])
+def test_concatenated_name_on_several_hosts(spark, hosts):
+    urls = [f"http://{h}/en/{i}" for i, h in enumerate(hosts)] + ["http://buycheappills.org/x"]
+    # common words that end like a block word stay whole
+    urls += [f"http://{h}.net/{p}/1" for h in ("alder", "birch", "cedar", "maple") for p in ("threads", "uploads")]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(rows, ()).collect()}
+    assert [got[i] for i in range(len(urls))] == ["block"] * (len(hosts) + 1) + ["allow"] * 8
+
+
+def test_concatenations():
+    seeds = {"cheap", "pills", "ads"}
+    known = {(0, 5): 2.0, (5, 5): 3.0}
+    assert url_filter.concatenation("cheappills", 1e6, known, 1e9, seeds) == ["cheap", "pills"]
+    assert url_filter.concatenation("cheappills", 2.0, known, 1e9, ()) == ["cheap", "pills"]
+    assert url_filter.concatenation("cheappills", 3.0, known, 1e9, ()) == []  # more common than its parts
+    assert url_filter.concatenation("heads", 2.0, {(0, 2): 50.0, (2, 3): 50.0}, 1e3, seeds) == []  # one part of three letters
+
+
 def test_viterbi():
     known = {(0, 5): 4.0, (5, 5): 3.0, (0, 10): 0.0}
     assert url_filter.viterbi("cheappills", known, 100.0) == ["cheap", "pills"]
