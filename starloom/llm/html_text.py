@@ -7,6 +7,13 @@ rest is undecided. Pass two gives undecided blocks the label of their nearest de
 within the article element if there is one: there, a block with text on either side is text. A
 page with an article (or main) element has its text there; without one, blocks anywhere count.
 
+Class and id only hint at what a container is. Words that wrappers of whole articles have too (widget,
+search, share) set it apart only if it has no block that passes for text; words of the layout (sidebar,
+menu) unless it has as much text as the page has outside such containers. A main element ends the marks
+around it. So does an article, if what is in such articles is at least as much as the text elsewhere;
+where there is text elsewhere they count as any other part of the page. Comments are the
+exception, as theirs are articles too. Adverts, cookie notices and comments are always set apart otherwise.
+
 Text is decoded (character references), white space inside a block becomes one space, blocks are
 trimmed and joined by one line feed.
 
@@ -46,6 +53,11 @@ MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs byline cookie cookies consent comment comments commentlist disqus disclaimer footer form gdpr header login "
     "masthead menu menubar modal nav navbar navigation newsletter notice notices notification alert popup promo promoted promotion related reply replies respond search share sharing sidebar sidebars signup social "
     "sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets complementary contentinfo".split())
+# Of these, words that wrappers of articles have too, words of the layout, and words for what readers say.
+DOUBTFUL = frozenset(
+    "alert banner disclaimer form header login modal notice notices notification promo promoted promotion related search share sharing social subscribe subscription toolbar widget widgets".split())
+LAYOUT = frozenset("footer masthead menu nav navbar navigation newsletter sidebar sidebars topbar".split())
+DISCUSSION = frozenset("comment comments commentlist disqus reply replies respond".split())
 AUTO_CLOSE = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 # An opened block of these kinds ends an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "head"}
@@ -64,6 +76,8 @@ class Block:
     article: int
     heading: bool
     listed: bool
+    box: int = 0  # the innermost marked container around it, within the article if that ended the marks around it
+    shed: int = 0  # the innermost container whose mark an article around the block ended
     label: str = "undecided"
 
 
@@ -82,26 +96,46 @@ class _Open:
     listed: bool
     header: bool = False
     hidden: bool = field(default=False)
+    box: int = 0
+    shed: int = 0
+
+
+@dataclass
+class Box:
+    """A container that its class or id marks: doubtful, layout, discussion or firm."""
+    kind: str
+    parent: int
 
 
-def _marked(attributes: str) -> bool:
+def _kind(marks: set[str]) -> str:
+    rest = marks - DOUBTFUL
+    return "discussion" if rest & DISCUSSION else "firm" if rest - LAYOUT else "layout" if rest else "doubtful"
+
+
+def _marked(attributes: str) -> str:
+    """"outside" by role or as hidden, the kind of mark that class and id make, or nothing."""
+    marks: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "outside"
         for token in value.split() if name != "aria-hidden" else ():
             parts = _MARK.findall(token)
             # "ad", "ad-box", "site-header", but not "article-header" or "has-sidebar"
-            if parts and parts[0] not in ("article", "entry", "post", "content", "has", "with", "no", "main") and not MARKS.isdisjoint(parts):
-                return True
-            if parts and parts[0] in ("article", "entry", "post", "content") and not MARKS.isdisjoint(parts[1:]) and "header" not in parts:
-                return True
-    return False
+            found = MARKS.intersection(parts)
+            if found and (parts[0] not in ("article", "entry", "post", "content", "has", "with", "no", "main")
+                          or (parts[0] in ("article", "entry", "post", "content") and "header" not in parts)):
+                if name == "role":
+                    return "outside"
+                marks |= found
+    return _kind(marks) if marks else ""
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str) -> tuple[list[Block], list[Box]]:
+    """The blocks, and the marked containers that they name by number; the first stands for none."""
     out: list[Block] = []
+    boxes = [Box("", 0)]
     stack = [_Open("", False, 0, False)]
     text: list[str] = []
     linked = [0, 0]  # open links, characters in links of this block
@@ -114,7 +148,7 @@ def blocks(page: str) -> list[Block]:
         if words:
             top = stack[-1]
             outside = top.outside or (top.header and not heading)
-            out.append(Block(words, min(linked[1], len(words)), outside, top.article, heading > 0, top.listed))
+            out.append(Block(words, min(linked[1], len(words)), outside, top.article, heading > 0, top.listed, top.box, top.shed))
         text.clear()
         linked[1] = 0
 
@@ -173,26 +207,79 @@ def blocks(page: str) -> list[Block]:
             if tag in ("article", "main") and not top.article:
                 articles += 1
             article = top.article or (articles if tag in ("article", "main") else 0)
-            mark = tag in OUTSIDE or (tag not in ("html", "body") and tag not in HEADINGS and _marked(m[3]))
+            mark = "outside" if tag in OUTSIDE else "" if tag in ("html", "body") or tag in HEADINGS else _marked(m[3])
             header = top.header or (tag == "header" and article > 0)
-            outside = top.outside or (mark and not (tag in ("article", "main"))) or (tag == "header" and not article)
-            stack.append(_Open(tag, outside, article, top.listed or tag in ("ul", "ol", "menu"), header))
+            outside = top.outside or (mark == "outside" and not (tag in ("article", "main"))) or (tag == "header" and not article)
+            box, shed = top.box, top.shed
+            if tag == "main":
+                box = shed = 0
+            elif tag == "article":
+                if box and boxes[box].kind != "discussion":
+                    box, shed = 0, box
+            elif mark and mark != "outside" and boxes[box].kind not in ("firm", "discussion"):  # all is apart in those
+                boxes.append(Box(mark, box))
+                box = len(boxes) - 1
+            stack.append(_Open(tag, outside, article, top.listed or tag in ("ul", "ol", "menu"), header, box=box, shed=shed))
             if tag in HEADINGS:
                 heading += 1
     flush()
-    return out
+    return out, boxes
 
 
-def classify(found: list[Block], rules: Rules = Rules()) -> list[bool]:
-    """Which blocks are page text."""
+def _passes(b: Block, rules: Rules) -> bool:
+    """A long block with few links and enough stop words."""
+    if len(b.words) < rules.long_chars or b.links > rules.link_density * len(b.words):
+        return False
+    words = _WORD.findall(b.words.lower())
+    return sum(map(STOP_WORDS.__contains__, words)) >= rules.stop_density * len(words)
+
+
+def set_apart(found: list[Block], boxes: list[Box], good: list[bool]) -> None:
+    """Sets ``outside`` where the mark of a container holds, and ``article`` to 0 where an article counts as any other part."""
+    inside = [0] * len(boxes)  # characters of text in each container
+    free = layout = 0
+    for b, ok in zip(found, good):
+        if ok and not b.outside:
+            inside[b.box] += len(b.words)
+            inside[b.shed] += len(b.words)
+    for k in range(len(boxes) - 1, 0, -1):
+        inside[boxes[k].parent] += inside[k] if boxes[k].kind in ("doubtful", "layout") else 0
+    apart, in_layout = [False] * len(boxes), [False] * len(boxes)
+    for k in range(1, len(boxes)):
+        up, kind = boxes[k].parent, boxes[k].kind
+        in_layout[k] = in_layout[up] or kind == "layout"
+        apart[k] = apart[up] or kind in ("firm", "discussion") or (kind == "doubtful" and not inside[k])
+    shed = 0
+    for b, ok in zip(found, good):
+        if ok and not b.outside and not apart[b.box]:
+            if b.shed:
+                shed += len(b.words)
+            elif in_layout[b.box]:
+                layout += len(b.words)
+            else:
+                free += len(b.words)
+    if not 0 < layout >= free:
+        apart = [a or i for a, i in zip(apart, in_layout)]
+    else:
+        free += layout
     for b in found:
+        if apart[b.box] or (b.shed and shed < free and apart[b.shed]):
+            b.outside = True
+        elif b.shed and free:
+            b.article = 0
+
+
+def classify(found: list[Block], rules: Rules = Rules(), boxes: list[Box] | None = None) -> list[bool]:
+    """Which blocks are page text."""
+    good = [_passes(b, rules) for b in found]
+    if boxes and len(boxes) > 1:
+        set_apart(found, boxes, good)
+    for b, ok in zip(found, good):
         density = b.links / len(b.words)
         if b.outside or (density > rules.link_density and (b.listed or not b.article)):
             b.label = "boilerplate"
-        elif len(b.words) >= rules.long_chars and density <= rules.link_density:
-            words = _WORD.findall(b.words.lower())
-            if sum(map(STOP_WORDS.__contains__, words)) >= rules.stop_density * len(words):
-                b.label = "text"
+        elif ok:
+            b.label = "text"
     whole = any(b.article and b.label != "boilerplate" for b in found)
     order = [i for i, b in enumerate(found) if not whole or b.article]
     left: dict[int, str] = {}
@@ -226,8 +313,8 @@ def classify(found: list[Block], rules: Rules = Rules()) -> list[bool]:
 def main_text(page: str | None, rules: Rules = Rules()) -> str:
     if not page:
         return ""
-    found = blocks(page)
-    return "\n".join(b.words for b, keep in zip(found, classify(found, rules)) if keep)
+    found, boxes = blocks(page)
+    return "\n".join(b.words for b, keep in zip(found, classify(found, rules, boxes)) if keep)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: Rules = Rules()) -> DataFrame:

@@ -84,6 +84,28 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    # wrappers of the whole article
+    (f"<nav><a href=x>Home</a></nav><div class='widget Blog' id='Blog1'><h1>Head</h1><p>{LONG}</p><p>Tiny.</p><p>{LONG}</p></div><footer>{LONG}</footer>", f"Head\n{LONG}\nTiny.\n{LONG}"),
+    (f"<div class='elementor-widget elementor-widget-theme-post-content'><p>{LONG}</p></div><div class='elementor-widget elementor-share'><p>Share it</p></div>", LONG),
+    (f"<main><div class='elementor-widget'><p>{LONG}</p></div><div class='elementor-widget'><p>{LONG}</p></div></main>", f"{LONG}\n{LONG}"),
+    (f"<div class='search-results'><p>{LONG}</p></div>", LONG), (f"<div id='page-share-wrap'><article><p>One.<p>{LONG}</article></div>", f"One.\n{LONG}"),
+    ("<div class=widget><article><p>one<p>two</article></div>", "one\ntwo"), (f"<div class=ad-supported><main><p>{LONG}</main></div>", LONG),
+    (f"<div class='layout sidebar-right'><div><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div></div>", f"{LONG}\n{LONG}\n{LONG}"),
+    # side boxes, comments and what is hidden stay apart
+    (f"<article><p>{LONG}</article><div class=related><article><p>{LONG}</article></div>", LONG),
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar><article><p>{LONG}</article></div>", f"{LONG}\n{LONG}"),
+    (f"<div><p>{LONG}</p></div><div class=comments><article class=comment-body><p>{LONG}</article><article><p>{LONG}</article></div>", LONG),
+    (f"<article><p>{LONG}<div class=share><p>Tell a friend</div><p>{LONG}</article>", f"{LONG}\n{LONG}"),
+    (f"<div hidden><article><p>{LONG}</article></div><div role=search><p>{LONG}</p></div><p>{LONG}</p>", LONG),
+    # text outside the articles is not lost by them
+    (f"<div><p>{LONG}</p></div><div class=related><article><p>{LONG}</article><article><p>{LONG}</article></div>", f"{LONG}\n{LONG}\n{LONG}"),
+    ("<div class=widget>" * 5000 + LONG, LONG),
+])
+def test_marked_containers(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_extract(spark):
     rows = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, "t")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in html_text.extract(rows).collect())
