@@ -4,7 +4,10 @@ A page is cut into blocks at block elements. Pass one decides blocks on their ow
 navigation, header, footer, sidebar, notice, advert, form and comment containers and blocks that are
 mostly links are boilerplate; long blocks with enough stop words and few links are text; the
 rest is undecided. Pass two gives undecided blocks the label of their nearest decided neighbours,
-within the article element if there is one: there, a block with text on either side is text. A
+within the article element if there is one: there, a block is text unless it lies between boilerplate.
+What a container sets apart says nothing on its neighbours. Stop words are those of English, French, German and
+Spanish; on a page where no block passes (of another language, of short paragraphs, a listing), blocks with few
+links that follow one another are text if they are long together. A
 page with an article (or main) element has its text there; without one, blocks anywhere count.
 
 Class and id only hint at what a container is. Words that wrappers of whole articles have too (widget,
@@ -234,6 +237,23 @@ def _passes(b: Block, rules: Rules) -> bool:
     return sum(map(STOP_WORDS.__contains__, words)) >= rules.stop_density * len(words)
 
 
+def _long_runs(found: list[Block], rules: Rules) -> list[bool]:
+    """Which blocks belong to a long run of blocks with few links, in one container and article."""
+    out, start = [False] * len(found), 0
+    while start < len(found):
+        first, end, chars = found[start], start, 0
+        while end < len(found):
+            b = found[end]
+            if b.outside or b.links > rules.link_density * len(b.words) or (b.box, b.shed, b.article) != (first.box, first.shed, first.article):
+                break
+            chars += len(b.words)
+            end += 1
+        if chars >= rules.long_chars:
+            out[start:end] = [True] * (end - start)
+        start = max(end, start + 1)
+    return out
+
+
 def set_apart(found: list[Block], boxes: list[Box], good: list[bool]) -> None:
     """Sets ``outside`` where the mark of a container holds, and ``article`` to 0 where an article counts as any other part."""
     inside = [0] * len(boxes)  # characters of text in each container
@@ -273,13 +293,18 @@ def classify(found: list[Block], rules: Rules = Rules(), boxes: list[Box] | None
     """Which blocks are page text."""
     good = [_passes(b, rules) for b in found]
     if boxes and len(boxes) > 1:
-        set_apart(found, boxes, good)
+        sure = any(ok and not b.outside and boxes[b.box].kind not in ("firm", "discussion") for b, ok in zip(found, good))
+        set_apart(found, boxes, good if sure else _long_runs(found, rules))
     for b, ok in zip(found, good):
         density = b.links / len(b.words)
         if b.outside or (density > rules.link_density and (b.listed or not b.article)):
             b.label = "boilerplate"
         elif ok:
             b.label = "text"
+    if all(b.label != "text" for b in found):
+        for b, ok in zip(found, _long_runs(found, rules)):
+            if ok and b.label == "undecided":
+                b.label = "text"
     whole = any(b.article and b.label != "boilerplate" for b in found)
     order = [i for i, b in enumerate(found) if not whole or b.article]
     left: dict[int, str] = {}
@@ -292,7 +317,7 @@ def classify(found: list[Block], rules: Rules = Rules(), boxes: list[Box] | None
                 near, region = "", b.article
             if b.label == "undecided":
                 labels[i] = near
-            elif not (whole and b.outside):  # what is set apart inside an article says nothing on its text
+            elif not b.outside:  # what is set apart says nothing on the text around it
                 near = b.label
     keep = [False] * len(found)
     for i in order:
@@ -300,7 +325,7 @@ def classify(found: list[Block], rules: Rules = Rules(), boxes: list[Box] | None
         if b.label == "undecided":
             sides = {left[i], right[i]}
             if whole:
-                keep[i] = "text" in sides or sides == {""} or "boilerplate" not in sides
+                keep[i] = sides != {"boilerplate"}
             elif len(b.words) >= rules.long_chars or b.heading:
                 keep[i] = "text" in sides or sides == {""}
             else:

@@ -106,6 +106,29 @@ def test_marked_containers(page, want):
     assert html_text.main_text(page) == want
 
 
+IT = "Il gatto dorme tutto il giorno vicino alla finestra mentre fuori piove, e nessuno osa svegliarlo prima di cena."
+RU = "Кошка весь день спит у окна, пока на улице идёт дождь, и никто не решается разбудить её раньше ужина."
+ZH = "猫整天睡在窗边，外面下着雨，没有人敢在晚饭前叫醒它。" * 4
+NAV, FOOT = "<nav><ul><li><a href=x>Home</a></ul></nav>", "<footer>Copyright</footer>"
+LIST = "<ul><li><a href=x>one thing</a><li><a href=x>another thing</a></ul>"
+POEM = [f"Riga breve numero {n}" for n in ("uno", "due", "tre", "quattro", "cinque")]
+
+
+@pytest.mark.parametrize("page, want", [
+    *[(f"<body>{NAV}<div><h1>Gatto</h1><p>{t}</p><p>Bis.</p><p>{t}</p></div>{FOOT}", f"Gatto\n{t}\nBis.\n{t}") for t in (IT, RU, ZH, LONG)],
+    (f"<body>{NAV}{''.join(f'<p>{x}' for x in POEM)}</p>{FOOT}", "\n".join(POEM)),
+    (f"<body>{LIST}<div>{''.join(f'<p>{x}' for x in POEM)}</p></div>{LIST}", "\n".join(POEM)),
+    (f"<body>{LIST}<div><p>{RU}</p></div>{LIST}", RU),
+    (f"{NAV}<article><p>{RU}</p>{LIST}<p>{IT}</p></article>{FOOT}", f"{RU}\n{IT}"), ("<article><p>Prima." + LIST + "<p>Dopo.</article>", "Prima.\nDopo."),
+    (f"{NAV}<div class='widget Blog'><p>{RU}</p><p>{RU}</p></div><div class='widget share'><p>Делиться</p></div><div class=cookies>{LONG}</div>{FOOT}", f"{RU}\n{RU}"),
+    # what is set apart stays apart
+    (f"<body><nav>{IT}</nav><p>{IT}</p><div class=comments><p>{RU}</p></div><aside>{RU}</aside><footer>{IT}</footer>", IT),
+    (f"<body>{LIST}<p>Su.</p>{LIST}{FOOT}", ""),
+])
+def test_text_without_known_stop_words(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_extract(spark):
     rows = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, "t")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in html_text.extract(rows).collect())
