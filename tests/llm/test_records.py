@@ -52,6 +52,15 @@ def test_concatenated_name_on_several_hosts(spark, hosts):
     assert [got[i] for i in range(len(urls))] == ["block"] * (len(hosts) + 1) + ["allow"] * 8
 
 
+def test_block_words_alone(spark):
+    block = ["poker", "escort", "warez", "lottery", "jackpot", "payday", "sex", "keygen", "slots", "replica"]
+    allow = ["mail", "download", "girls", "uploads", "threads", "essex", "middlesex"]
+    urls = [f"http://{w}.net/" for w in block + allow] + [f"http://{w}.org/" for w in ("pay", "day", "jack", "pot")] * 2
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(rows, ()).collect()}
+    assert [got[i] for i in range(len(urls))] == ["block"] * len(block) + ["allow"] * (len(urls) - len(block))
+
+
 def test_concatenations():
     seeds = {"cheap", "pills", "ads"}
     known = {(0, 5): 2.0, (5, 5): 3.0}
