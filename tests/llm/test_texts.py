@@ -180,6 +180,25 @@ def test_mixing(spark, docs, texts, target):
         assert max(counts) - min(counts) <= 1
 
 
+def test_mixing_order(spark, docs, texts):
+    target = mixing.Target(repetition=2.0, budget=9000.0)
+    sizes = {k: len(reference.WORD.findall(t or "")) for k, t in texts}
+    plan = {r.source: r for r in mixing.plan(docs, target).collect()}
+    rows = mixing.mix(docs, target).select("row.doc_id", "source", "pass", "block", "place").collect()
+    order = sorted(rows, key=lambda r: (r["pass"], r.block, r.place))
+    assert {r["pass"] for r in rows} == set(range(1, max(p.passes for p in plan.values()) + 2))
+    for s, p in plan.items():
+        own = {k: [(r.block, r.place, r.doc_id) for r in order if r.source == s and r["pass"] == k] for k in range(1, p.passes + 2)}
+        whole = sorted({(b, c, d) for x in own.values() for b, c, d in x})
+        assert all([(b, c, d) for b, c, d in own[k]] == own[1] for k in range(1, p.passes + 1))
+        part = own[p.passes + 1]  # the beginning of the same order, up to the quota
+        assert sorted(set(part)) == whole[:len(set(part))]
+        shown, last = sum(sizes[d] for _, _, d in part), part[-1][1] if part else None
+        assert shown >= p.rest > shown - sum(sizes[d] for _, c, d in part if c == last) or not p.rest
+    first = [r.source for r in order if r["pass"] == 1]
+    assert sum(a != b for a, b in zip(first, first[1:])) > len(plan)  # blocks of all sources are shuffled with one another
+
+
 def test_mixing_odd_tables(spark):
     assert mixing.mixed_rows(empty(spark), mixing.Target(repetition=2.0)).count() == 0
     rows = spark.createDataFrame([(1, None, "a"), (2, "x y", None), (2, "x y", None), (None, "z", "")], "doc_id long, text string, source string")
