@@ -18,7 +18,8 @@ where there is text elsewhere they count as any other part of the page. Comments
 exception, as theirs are articles too. Adverts, cookie notices and comments are always set apart otherwise.
 
 Text is decoded (character references), white space inside a block becomes one space, blocks are
-trimmed and joined by one line feed.
+trimmed and joined by one line feed. Formulas (math) are text in their line, without the annotations in
+other notations that are not displayed; the content of xmp is a block of literal text.
 
 Defined results for odd input: a null or empty page has the empty text; markup that ends early or
 is never closed is closed by the end of the page; text without any markup is one block; a page of
@@ -45,12 +46,13 @@ STOP_WORDS = frozenset(
 # Elements that start and end a block.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend "
-    "li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
+    "li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # Elements whose text is never page text.
 OUTSIDE = frozenset("head nav aside footer form menu dialog fieldset select button textarea search".split())
 # Elements whose content is not markup.
-RAW = frozenset("script style textarea title noscript template svg math iframe object audio video canvas xmp noembed noframes".split())
+NOTES = frozenset("annotation annotation-xml".split())  # in math only: what the formula is in another notation, not displayed
+RAW = frozenset("script style textarea title noscript template svg iframe object audio video canvas noembed noframes".split())
 # Words in class, id and role attributes that mark what surrounds a text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs byline cookie cookies consent comment comments commentlist disqus disclaimer footer form gdpr header login "
@@ -67,6 +69,7 @@ ENDS_P = BLOCKS - {"body", "html", "head"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>?""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_XMP_END = re.compile(r"</xmp(?=[\s/>]|\Z)[^>]*>?", re.I)
 _MARK = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -144,6 +147,7 @@ def blocks(page: str) -> tuple[list[Block], list[Box]]:
     linked = [0, 0]  # open links, characters in links of this block
     articles = 0
     heading = 0
+    math = False
 
     def flush() -> None:
         joined = "".join(text)
@@ -180,6 +184,8 @@ def blocks(page: str) -> tuple[list[Block], list[Box]]:
         if m[1]:
             if tag == "a":
                 linked[0] = 0
+            elif tag == "math":
+                math = False
             elif tag in BLOCKS:
                 flush()
                 for k in range(len(stack) - 1, 0, -1):
@@ -188,13 +194,15 @@ def blocks(page: str) -> tuple[list[Block], list[Box]]:
                         break
                 linked[0] = 0
             continue
-        if tag in RAW and not m[3].endswith("/"):
+        if (tag in RAW or (math and tag in NOTES)) and not m[3].endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else size
             text.append(" ")
             continue
         if tag == "a":
             linked[0] = 1
+        elif tag == "math":
+            math = not m[3].endswith("/")
         elif tag == "br":
             text.append(" ")
         elif tag in OUTSIDE or tag in BLOCKS:
@@ -225,6 +233,12 @@ def blocks(page: str) -> tuple[list[Block], list[Box]]:
             stack.append(_Open(tag, outside, article, top.listed or tag in ("ul", "ol", "menu"), header, box=box, shed=shed))
             if tag in HEADINGS:
                 heading += 1
+            if tag == "xmp":  # what it holds is literal text
+                stop = _XMP_END.search(page, at)
+                text.append(html.escape(page[at:stop.start() if stop else size]))
+                at = stop.end() if stop else size
+                flush()
+                close(len(stack) - 1)
     flush()
     return out, boxes
 

@@ -138,6 +138,16 @@ def test_text_without_known_stop_words(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p>{LONG} So <math display=block class=eq><semantics><mrow><mi>x</mi><mo>&lt;</mo><mn>2</mn></mrow><annotation encoding=tex>x \\lt 2</annotation></semantics></math> holds.</article>", f"{LONG} So x<2 holds."),
+    (f"<article><p>{LONG}<xmp class=code><b>if</b> a &amp;&amp; b:\n  <p>x</xmp>After.<p>{LONG}</article>", f"{LONG}\n<b>if</b> a &amp;&amp; b: <p>x\nAfter.\n{LONG}"),
+    (f"<article><p>{LONG}<XMP hidden>no</XMP><p>{LONG}<xmp>to the <i>end", f"{LONG}\n{LONG}\nto the <i>end"),
+    (f"<article><p>{LONG}<svg><text>no</text></svg><template>no</template><math><mi>y</math> <annotation>yes</annotation>", f"{LONG} y yes"),
+])
+def test_math_and_xmp(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_extract(spark):
     rows = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, "t")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in html_text.extract(rows).collect())
