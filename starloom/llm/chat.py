@@ -15,8 +15,11 @@ start of that turn in the formatted string: one span for each assistant turn wit
 
 Defined results for odd input: a null text, role or part is empty; a null turn comes first;
 equal turns are ordered by role, then content; repeated rows are repeated turns; an unknown kind
-of part is an attachment of that kind with no tokens; a null conversation id is a conversation;
+of part is an attachment of that kind with no tokens; a null conversation id is a conversation, as
+GROUP BY has it (nothing else says which of its turns belong together);
 an empty table gives an empty result; extra columns are not read.
+
+A conversation is one row, so it has to fit in the memory of one task; the README has figures.
 """
 
 from __future__ import annotations
