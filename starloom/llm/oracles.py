@@ -80,6 +80,25 @@ SELECT conv_id, CAST(COUNT(*) AS BIGINT) AS n_turns, sha256(string_agg(role || c
        CAST(SUM(4 + role_size + 2 + escaped + 8) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
 
+def ranked_search(k: int) -> str:
+    """The k best documents of each benchmark item."""
+    terms = rf"regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH docs AS (SELECT doc_id, {terms} AS ts FROM documents),
+sizes AS (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n FROM docs),
+totals AS (SELECT CAST(COUNT(*) FILTER (n > 0) AS BIGINT) AS docs_n, CAST(SUM(n) AS BIGINT) AS terms_n FROM sizes),
+asked AS (SELECT DISTINCT item_id, unnest({terms}) AS t FROM benchmark),
+held AS (SELECT doc_id, t, COUNT(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs_n + 2) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM held, totals GROUP BY t, docs_n),
+worth AS (
+  SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs_n) // terms_n))) AS v
+  FROM held JOIN sizes USING (doc_id) JOIN weights USING (t), totals),
+scores AS (SELECT item_id, doc_id, CAST(SUM(v) AS BIGINT) AS score FROM asked JOIN worth USING (t) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= {k}"""
+
+
 EMBEDDINGS = f"""
 WITH RECURSIVE good AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embed_join, html_text, mixing, ngram_join, oracles, quality, suffix_dedup, tokens, url_filter
+from . import bpe, chat, embed_join, html_text, mixing, ngram_join, oracles, quality, ranked_search, suffix_dedup, tokens, url_filter, whitening, word_bpe
 from .storage import scratch, table
 
 
@@ -66,12 +66,26 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8).drop("multiplicity")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_source_mixing, op3_quality_rules, op4_suffix_dedup, op5_ngram_jaccard_join, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup)}
+    op1_url_filters, op2_source_mixing, op3_quality_rules, op4_suffix_dedup, op5_ngram_jaccard_join, op6_html_extraction, op7_token_files, op8_chat_formatting, op9_byte_bpe, op10_embedding_near_dedup,
+    op11_ranked_search, op12_embedding_whitening, op13_word_bpe)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.quality(quality.Limits()),
     "op5_ngram_jaccard_join": oracles.jaccard(3, 90),
     "op8_chat_formatting": oracles.CHAT,
     "op10_embedding_near_dedup": oracles.EMBEDDINGS,
+    "op11_ranked_search": oracles.ranked_search(10),
 }
