@@ -94,14 +94,15 @@ def assert_unique_key(df: DataFrame, key: str | Sequence[str]) -> None:
 
 
 def upserted(target: DataFrame, source: DataFrame, key: str, update_cols: Sequence[str],
-             new_key: tuple[str, str] | None = None, check_unique: bool = True) -> DataFrame:
+             new_key: tuple[str, str] | None = None, check_unique: bool = True, start: int | None = None) -> DataFrame:
     """Insert-or-update on ``key``.
 
     Matched rows take ``update_cols`` from the source and keep every other column
     of the target; unmatched source rows are inserted whole; target rows absent
     from the source stay unchanged. ``new_key=(key_col, order_col)`` gives inserted
     rows a surrogate key after the largest stored one, numbered by ``order_col``
-    (instead of trusting a key computed against another snapshot).
+    (instead of trusting a key computed against another snapshot); ``start`` is the first such key
+    where the caller knows it, so that the target is not read for it.
     One full outer join on the key; no per-row lookups.
     """
     if check_unique:
@@ -127,7 +128,7 @@ def upserted(target: DataFrame, source: DataFrame, key: str, update_cols: Sequen
     # materialised once: both the kept rows and the newly keyed rows come from it
     merged = materialize(merged, "upsert-merged")
     key_col, order_col = new_key
-    start = next_id(target, key_col) - 1
+    start = (next_id(target, key_col) if start is None else start) - 1
     old = merged.filter(F.col("_old")).drop("_old")
     new = merged.filter(~F.col("_old")).drop("_old", key_col)
     ranked, _ = global_rank(new, [(order_col, True)], out="_n")

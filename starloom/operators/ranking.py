@@ -9,6 +9,9 @@ case for small inputs.
 ``cut_keys`` finds the keys at given positions of an order without numbering the
 rows for good: callers that only need to know on which side of a few positions a
 row lies compare it with a handful of literals, and their rows are not shuffled.
+``counted_cut_keys`` does so without sorting anything, for keys that are whole numbers,
+decimals or dates: rows are counted in equal bins of a key's range, the bin of each position is
+divided into bins again, and so on; all positions of all orders go through one pass a round.
 
 The last sort key must be unique, so that the order is total. Sort keys must be
 non-NULL.
@@ -17,9 +20,12 @@ non-NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .stage import materialize
 
@@ -68,6 +74,108 @@ def cut_keys(df: DataFrame, order: OrderSpec, positions: Sequence[int]) -> list[
     return [found[p] for p in positions if p in found]
 
 
+# Bins of a range in one round; the driver gets at most that many rows for each position that is still open.
+BINS = 4096
+
+
+def _whole(column: str, kind: T.DataType) -> Column:
+    """The column as a whole number in the same order."""
+    if isinstance(kind, T.IntegralType):
+        return F.col(column).cast("long")
+    if isinstance(kind, T.DecimalType):
+        return (F.col(column) * F.lit(10 ** kind.scale)).cast("decimal(38,0)")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    raise TypeError(f"{column}: {kind.simpleString()} has no bins")
+
+
+def _back(whole: int, kind: T.DataType):
+    if isinstance(kind, T.DecimalType):
+        return Decimal(whole).scaleb(-kind.scale)
+    if isinstance(kind, T.DateType):
+        return T.DateType().fromInternal(whole)
+    return whole
+
+
+def _literal(whole: int) -> Column:
+    return F.lit(whole if abs(whole) < 1 << 62 else Decimal(whole))
+
+
+@dataclass
+class _Cut:
+    """A position that is looked for: the ``place``-th row (from 0) of those that have the ``fixed`` values in the
+    first columns of the order and lie in ``low`` … ``high`` of the next one."""
+
+    order: int
+    place: int
+    low: int = 0
+    high: int = 0
+    fixed: list[int] = field(default_factory=list)
+
+    def range(self) -> tuple:
+        return self.order, tuple(self.fixed), self.low, self.high
+
+
+def counted_cut_keys(df: DataFrame, orders: Sequence[OrderSpec], positions: Sequence[int]) -> list[list[tuple]]:
+    """For each order its sort keys at the given 1-based positions (those beyond the rows are left out).
+
+    ``df`` is read once a round, so it should be stored; a round is one aggregation that combines before it
+    shuffles a row for each bin. Rounds grow with the logarithm of the keys' ranges, not with the rows.
+    """
+    columns = list(dict.fromkeys((c, asc) for order in orders for c, asc in order))
+    kinds = {c: df.schema[c].dataType for c, _ in columns}
+    plain = df.select(*[(_whole(c, kinds[c]) * F.lit(1 if asc else -1)).alias(f"c{k}") for k, (c, asc) in enumerate(columns)])
+    ends = plain.agg(F.count(F.lit(1)).alias("n"), *[f(f"c{k}").alias(f"{name}{k}") for k in range(len(columns)) for name, f in (("low", F.min), ("high", F.max))]).first()
+    if not ends.n:
+        return [[] for _ in orders]
+    span = [(int(ends[f"low{k}"]), int(ends[f"high{k}"])) for k in range(len(columns))]
+    # from 0 on, in 64 bits where the range allows
+    shifted = plain.select(*[(F.col(f"c{k}") - _literal(low)).cast("long" if high - low < 1 << 62 else "decimal(38,0)").alias(f"c{k}") for k, (low, high) in enumerate(span)])
+    at = [[columns.index((c, asc)) for c, asc in order] for order in orders]
+    cuts = [_Cut(o, p - 1) for o in range(len(orders)) for p in positions if 1 <= p <= ends.n]
+
+    def opened(cut: _Cut) -> _Cut:
+        """At the next column of its order, over that column's whole range."""
+        if len(cut.fixed) < len(at[cut.order]):
+            low, high = span[at[cut.order][len(cut.fixed)]]
+            cut.low, cut.high = 0, high - low
+        return cut
+
+    for cut in cuts:
+        opened(cut)
+    while todo := [c for c in cuts if len(c.fixed) < len(at[c.order])]:
+        ranges = list(dict.fromkeys(c.range() for c in todo))
+        width = [-(-(high - low + 1) // BINS) for _, _, low, high in ranges]
+        bins = []
+        for k, (o, fixed, low, high) in enumerate(ranges):
+            names = [f"c{j}" for j in at[o]]
+            here = F.col(names[len(fixed)]).between(_literal(low), _literal(high))
+            for name, value in zip(names, fixed):
+                here &= F.col(name) == _literal(value)
+            value = F.col(names[len(fixed)])
+            bins.append(F.when(here, F.struct(F.lit(k).alias("range"), F.expr(f"({names[len(fixed)]} - {low}) div {width[k]}").alias("bin"), value.cast("decimal(38,0)").alias("value"))))
+        counted = (shifted.select(F.explode(F.array_compact(F.array(*bins))).alias("b")).groupBy("b.range", "b.bin")
+                   .agg(F.count(F.lit(1)).alias("n"), F.min("b.value").alias("low"), F.max("b.value").alias("high")))
+        found: list[list] = [[] for _ in ranges]
+        for r in counted.collect():
+            found[r.range].append((r.bin, r.n, int(r.low), int(r.high)))
+        for cut in todo:
+            for _, n, low, high in sorted(found[ranges.index(cut.range())]):
+                if cut.place < n:
+                    break
+                cut.place -= n
+            if low < high:
+                cut.low, cut.high = low, high
+            else:
+                cut.fixed.append(low)
+                opened(cut)
+    keys: list[list[tuple]] = [[] for _ in orders]
+    for cut in cuts:
+        values = [(v + span[j][0]) * (1 if columns[j][1] else -1) for v, j in zip(cut.fixed, at[cut.order])]
+        keys[cut.order].append(tuple(_back(v, kinds[c]) for v, (c, _) in zip(values, orders[cut.order])))
+    return keys
+
+
 def after(order: OrderSpec, key: Sequence) -> Column:
     """True for rows that come after ``key`` in ``order``."""
     expr = F.lit(False)

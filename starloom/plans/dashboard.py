@@ -38,7 +38,9 @@ class StatusLabels:
 # Fixed label values: as written in the dashboard, and as stored in the fact.
 LITERAL = StatusLabels("Completed", "Cancelled", "Returned", "Pending")
 STORED = StatusLabels("completed", "cancelled", "returned", "pending")
-STORED_STATUSES = ["cancelled", "completed", "returned"]
+# Columns that a pivot may have, and the name of the one for orders without a status.
+PIVOT_COLUMNS = 100
+NO_STATUS = "none"
 
 
 def desc(c: str) -> Column:
@@ -394,17 +396,35 @@ def d19_channel_status(wh: Warehouse) -> DataFrame:
     return _channel_status(wh).orderBy(asc("channel"), asc("order_status"))
 
 
-def channel_status_pivot(wh: Warehouse, statuses: list[str] | None = None) -> DataFrame:
-    """Heat map: one row per channel, one integer column per status, 0 where absent.
+class TooManyColumns(ValueError):
+    pass
 
-    The status list is a parameter (default: the stored statuses), so the plan
-    needs no extra job to discover the pivot values.
+
+def pivoted(df: DataFrame, rows: str, columns: str, value: str, most: int = PIVOT_COLUMNS) -> DataFrame:
+    """One row per ``rows`` and one integer column per value of ``columns`` that is there, 0 where a pair is absent.
+
+    The values are discovered first, in one bounded step; more than ``most`` raise, since no value may be
+    dropped without a word. NULL counts as a value and is called ``none``; a value of that name then joins it.
     """
-    statuses = statuses or STORED_STATUSES
-    return (_channel_status(wh).groupBy("channel").pivot("order_status", statuses)
-            .agg(F.first("orders")).na.fill(0, subset=statuses)
-            .select("channel", *[F.col(s).cast("long").alias(s) for s in statuses])
-            .orderBy(asc("channel")))
+    named = df.withColumn(columns, F.coalesce(columns, F.lit(NO_STATUS)))
+    found = sorted(r[0] for r in named.select(columns).distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise TooManyColumns(f"{columns} has more than {most} values")
+    return named.groupBy(rows).agg(*[F.coalesce(F.sum(F.when(F.col(columns) == v, F.col(value))), F.lit(0)).cast("long").alias(v) for v in found])
+
+
+def channel_status_pivot(wh: Warehouse) -> DataFrame:
+    """Heat map: one row per channel, one integer column per status that orders have, 0 where absent."""
+    return pivoted(_channel_status(wh), "channel", "order_status", "orders").orderBy(asc("channel"))
+
+
+def channel_status_pivot_unknown(wh: Warehouse) -> DataFrame:
+    """The heat map where every 7th order has a status that the dashboard does not know, and every 11th none; with all orders beside."""
+    order = F.col("order_id")
+    status = F.when(order % 11 == 4, F.lit(None)).when(order % 7 == 2, F.lit("on hold")).otherwise(F.col("order_status"))
+    counts = wh.fact.withColumn("order_status", status).groupBy("channel", "order_status").agg(_orders().alias("orders"))
+    total = wh.fact.groupBy("channel").agg(_orders().alias("all_orders"))
+    return pivoted(counts, "channel", "order_status", "orders").join(total, "channel").orderBy(asc("channel"))
 
 
 def _monthly_status(wh: Warehouse) -> DataFrame:
@@ -457,6 +477,7 @@ DASHBOARD = {
     "segment_share": segment_share,
     "treemap_rollup": treemap_rollup,
     "channel_status_pivot": channel_status_pivot,
+    "channel_status_pivot_unknown": channel_status_pivot_unknown,
     "monthly_status_stack": monthly_status_stack,
     "kpi_labels": kpi_labels,
     "d01_overview_kpi_fixed": d01_overview_kpi_fixed,

@@ -28,6 +28,8 @@ from ..operators import facts as FACT
 from ..operators import load as LD
 from ..operators import quality as Q
 from ..operators import rfm as RFM
+from ..operators.filetable import FileTable
+from ..operators.stage import materialize
 from ..session import checkpoint_dir
 from ..sources import files
 from ..sources import testdata as TD
@@ -91,8 +93,9 @@ def load_append_ids(wh: Warehouse) -> DataFrame:
     spark = wh.spark
     path = f"{checkpoint_dir(spark)}/starloom-appends/{uuid.uuid4().hex}"
     fact = wh.fact.drop("sale_id")
-    LD.append_to(path, fact.where("order_status = 'completed'"), "sale_id")
-    LD.append_to(path, fact.where("order_status <> 'completed'"), "sale_id")
+    completed = F.col("order_status").eqNullSafe("completed")
+    LD.append_to(path, fact.where(completed), "sale_id")
+    LD.append_to(path, fact.where(~completed), "sale_id")
     rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sale_id").alias("ids"), F.min("sale_id").alias("first_id"))
     result = spark.createDataFrame(rows.collect(), "rows long, ids long, first_id long")
     files.remove(spark, path)
@@ -132,6 +135,56 @@ def upsert_rfm_partial(wh: Warehouse) -> DataFrame:
     return LD.upserted(wh["fact_rfm"].drop("rfm_id").where("customer_key % 5 <> 0"), src, "customer_key", RFM_UPDATES)
 
 
+# ── the same merges by file ──────────────────────────────────────────────────
+
+def _by_file(wh: Warehouse, name: str, key: str, rows: DataFrame) -> FileTable:
+    """A new file table with ``rows``, clustered by ``key``."""
+    root = f"{checkpoint_dir(wh.spark)}/starloom-runs/{uuid.uuid4().hex}/{name}"
+    table = FileTable(wh.spark, root, rows.schema, order=[key])
+    table.append(rows)
+    return table
+
+
+def upsert_customer_files(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer upsert into a file table: only files that hold a customer of the extract are rewritten."""
+    wh = wh.with_session(spark)
+    src = next_customer_extract(TD.raw_customers(spark, sf_dir))
+    table = _by_file(wh, "dim_customer", "customer_id", wh["dim_customer"])
+    table.mark(LD.next_id(wh["dim_customer"], "customer_key"))
+    table.upsert(src, "customer_id", CUSTOMER_UPDATES, new_key=("customer_key", "customer_id"))
+    return table.read()
+
+
+def upsert_product_files(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product upsert into a file table that lacks every seventh product."""
+    wh = wh.with_session(spark)
+    src = next_product_extract(TD.raw_products(spark, sf_dir))
+    stored = wh["dim_product"].where("product_key % 7 <> 0")
+    table = _by_file(wh, "dim_product", "product_id", stored)
+    table.mark(LD.next_id(stored, "product_key"))
+    table.upsert(src, "product_id", PRODUCT_UPDATES, new_key=("product_key", "product_id"))
+    return table.read()
+
+
+def upsert_rfm_files(wh: Warehouse) -> DataFrame:
+    """The RFM upsert into a file table that lacks every fifth customer, from a source that lacks every third."""
+    src = materialize(RFM.build_rfm(wh.fact.drop("sale_id").where("customer_key % 3 <> 0"), wh.end_date), "rfm-source")
+    table = _by_file(wh, "fact_rfm", "customer_key", wh["fact_rfm"].drop("rfm_id").where("customer_key % 5 <> 0"))
+    table.upsert(src, "customer_key", RFM_UPDATES)
+    return table.read()
+
+
+def load_append_marks(wh: Warehouse) -> DataFrame:
+    """:func:`load_append_ids` into a file table, whose manifest holds the next free id; between the two appends one dies before its commit."""
+    table = FileTable(wh.spark, f"{checkpoint_dir(wh.spark)}/starloom-runs/{uuid.uuid4().hex}/fact_sales", wh.fact.schema, order=["order_date"])
+    fact = wh.fact.drop("sale_id")
+    completed = F.col("order_status").eqNullSafe("completed")
+    table.append(fact.where(completed), "sale_id")
+    table._write_numbered(None, fact, table.version(), "sale_id")   # files that no manifest names
+    table.append(fact.where(~completed), "sale_id")
+    return table.read().agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("sale_id").alias("ids"), F.min("sale_id").alias("first_id"))
+
+
 # ── lines that go astray ─────────────────────────────────────────────────────
 
 # Fixed scenario parameters: an id that nothing has.
@@ -235,6 +288,8 @@ ON_WAREHOUSE = {
     "load_insert_absent": load_insert_absent,
     "load_insert_absent_conflict": load_insert_absent_conflict,
     "load_replaced_dates": load_replaced_dates,
+    "load_append_marks": load_append_marks,
+    "upsert_rfm_files": upsert_rfm_files,
     "upsert_rfm": upsert_rfm,
     "upsert_rfm_partial": upsert_rfm_partial,
 }
@@ -242,6 +297,8 @@ ON_WAREHOUSE_AND_SOURCE = {
     "upsert_customer": upsert_customer,
     "upsert_product": upsert_product,
     "upsert_product_inserts": upsert_product_inserts,
+    "upsert_customer_files": upsert_customer_files,
+    "upsert_product_files": upsert_product_files,
     "fact_lost_lines": fact_lost_lines,
     "text_functions": text_functions,
 }

@@ -89,6 +89,32 @@ def etl_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, columns string, rows long")
 
 
+def etl_run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after the repeat-safe run has loaded one batch twice: the rows of a single load."""
+    from . import pipeline
+
+    root = f"{checkpoint_dir(spark)}/starloom-runs/{uuid.uuid4().hex}"
+    inputs = pipeline.testdata_inputs(spark, sf_dir)
+    for _ in range(2):
+        pipeline.run_files(spark, *inputs, root=root)
+    return portable(pipeline.file_tables(spark, root)["fact_sales"].read().drop("sale_id"))
+
+
+def etl_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run leaves besides its tables: new staged folders, and versions of each table beyond the one in use."""
+    from . import pipeline
+
+    staged = f"{checkpoint_dir(spark)}/starloom-stage"
+    before = set(files.folders(spark, staged))
+    root = f"{checkpoint_dir(spark)}/starloom-runs/{uuid.uuid4().hex}"
+    summary = pipeline.run_files(spark, *pipeline.testdata_inputs(spark, sf_dir), root=root)
+    rows = [("staged folders", len(set(files.folders(spark, staged)) - before), 0)]
+    for name, table in pipeline.file_tables(spark, root).items():
+        rows.append((name, len(files.folders(spark, f"{table.root}/manifests")) - 1, summary["row_counts"][name]))
+    files.remove(spark, root)
+    return spark.createDataFrame(rows, "name string, left_over long, rows long")
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "dim_date": _table("dim_date"),
@@ -100,6 +126,8 @@ def queries() -> dict[str, QueryFn]:
         "fact_rfm": _table("fact_rfm", drop=("rfm_id",)),
         "rfm_value_counts": _rfm_counts,
         "etl_run": etl_run,
+        "etl_run_twice": etl_run_twice,
+        "etl_left_over": etl_left_over,
     }
     for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD, **maintenance.ON_WAREHOUSE}.items():
         q[name] = _on_warehouse(fn)

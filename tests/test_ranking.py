@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from starloom.operators import ranking as R
 from starloom.operators.ranking import _placed, after, cut_keys, dense_key, global_rank, keep_first
 
 
@@ -117,3 +118,36 @@ def test_rfm_scores_equal_ranks_cut_at_quartiles(spark):
         wrong = rfm.withColumn("e", F.greatest(F.lit(1), F.ceil(4 * rank / (n - 1)))).where(F.col("e") != F.col(name))
         assert wrong.count() == 0
     rfm.unpersist()
+
+
+CUTS = "a int, d decimal(22,2), t date, k long"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counted_cut_keys_equal_the_sorted_ones(spark, monkeypatch, seed):
+    """Ties, negative values, both directions, and ranges far wider than the bins of a round."""
+    import datetime as dt
+    import random
+    from decimal import Decimal
+
+    monkeypatch.setattr(R, "BINS", 5)
+    rng = random.Random(seed)
+    rows = [(rng.randrange(-3, 4), Decimal(rng.choice([rng.randrange(-10 ** 6, 10 ** 6), 7, 10 ** 19])) / 100, dt.date(2020, 1, 1) + dt.timedelta(rng.randrange(40)), k * 7919 - 10 ** 6) for k in range(157)]
+    df = spark.createDataFrame(rows, CUTS).repartition(3).cache()
+    orders = [[("a", False), ("k", True)], [("d", True), ("k", True)], [("t", False), ("a", True), ("k", False)], [("k", True)]]
+    positions = [1, 2, 40, 79, 118, 156, 157, 158, 0]
+    at = {name: i for i, name in enumerate("adtk")}
+    for order, keys in zip(orders, R.counted_cut_keys(df, orders, positions)):
+        want = [tuple(r[at[c]] for c, _ in order) for r in rows]
+        for c, asc in reversed(list(enumerate(asc for _, asc in order))):
+            want.sort(key=lambda key: key[c], reverse=not asc)
+        assert keys == [want[p - 1] for p in positions if 1 <= p <= len(rows)]
+
+
+def test_counted_cut_keys_read_no_order(spark):
+    """No sort and no range shuffle; an empty table has no keys, and other types raise."""
+    df = spark.createDataFrame([(1, 2)], "a long, k long")
+    assert R.counted_cut_keys(df.limit(0), [[("a", True)]], [1]) == [[]]
+    assert R.counted_cut_keys(df, [[("a", True), ("k", False)]], [1, 2]) == [[(1, 2)]]
+    with pytest.raises(TypeError):
+        R.counted_cut_keys(spark.createDataFrame([("x",)], "s string"), [[("s", True)]], [1])
