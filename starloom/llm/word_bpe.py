@@ -1,9 +1,11 @@
 """BPE of a tokenizer file by merge rounds in numpy, and its decoding.
 
 All tokens lie between spaces: a file is accepted only if its split pattern takes no white space
-into a word, and composition never reaches across a space. So texts are cut at spaces, and each
+into a word, and composition never reaches across a space. So a text is cut at spaces, and each
 different stretch is normalised and split into words once, by the file's own normaliser and
-pre-tokenizer.
+pre-tokenizer. A text of Latin letters alone (below ``TABLE``, where composition changes nothing), without the
+string of an added token, is lowered and split as a whole, by the same pattern with its classes written out, if the file's
+normaliser and pattern are the ones named below. Both ways give the same words.
 
 The symbols of many different words lie in one flat array. A round looks up the rank of
 every pair of neighbours by binary search over the sorted keys of the merges, finds the lowest rank
@@ -23,15 +25,38 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
+
 PIECE_CHARS = 1 << 20  # of a text at once
 CACHE_CHARS = 1 << 24  # of different stretches that a task remembers
 NO_RANK = np.iinfo(np.int64).max
+TABLE = 0x180  # code points below have their class here; their lower case lies below too, or is no letter
+# The normaliser and the split pattern that texts of Latin letters need no library for.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def latin_pattern() -> re.Pattern:
+    """``PATTERN`` for code points below TABLE and what their lower case may add."""
+    kinds: dict[str, list[str]] = {"L": [], "N": []}
+    for c in map(chr, range(TABLE)):
+        kinds.setdefault(unicodedata.category(c)[0], []).append(re.escape(c))
+    letter, number, space = "".join(kinds["L"]), "".join(kinds["N"]), "\\t\\n\\x0b\\x0c\\r \\x85\\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
+
+
+def byte_letters() -> list[str]:
+    """The characters that byte-level tokenizers write the bytes 0 … 255 as: printable ones as themselves, the rest from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    more = iter(range(256, 512))
+    return [chr(b if b in shown else next(more)) for b in range(256)]
 
 
 class Merges:
@@ -52,8 +77,13 @@ class Merges:
         rank = np.arange(len(made))
         self.ordered = bool(((last[left] < rank) & (last[right] < rank)).all())
 
-    def symbols(self, word: str) -> list[int]:
-        return [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self.suffix]]
+        # symbols of bytes, within a word and at its end, and the merges of all their pairs
+        letters = byte_letters()
+        self.inner, self.last = (np.array([self.vocab[c + end] for c in letters], np.int64) for end in ("", self.suffix))
+        both = np.concatenate([self.inner, self.last])
+        self.slot = np.zeros(self.width, np.int64)
+        self.slot[both] = np.arange(len(both))
+        self.pairs = self.ranked(np.repeat(both, len(both)), np.tile(both, len(both))).reshape(len(both), -1)
 
     def ranked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Place in ``keys`` of each pair, -1 where it has no merge."""
@@ -63,25 +93,29 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, at, -1)
 
-    def merged(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word (none is empty)."""
-        parts = [self.symbols(w) for w in words]
-        size = np.array([len(p) for p in parts], np.int64)
-        symbols = np.array([s for p in parts for s in p], np.int64)
+    def merged(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word (none is empty), as 32-bit integers."""
+        if not words:
+            return []
+        size = np.array([len(w) for w in words], np.int64)
+        data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size)
+        symbols = self.inner[data]
+        symbols[ends - 1] = self.last[data[ends - 1]]
         owner = np.repeat(np.arange(len(words)), size)
-        done: list[np.ndarray] = [symbols[:0]] * len(words)
+        place = np.full(len(symbols), -1)
+        place[:-1] = self.pairs[self.slot[symbols[:-1]], self.slot[symbols[1:]]]
+        place[ends - 1] = -1  # the last symbol of a word has no pair
+        done = []
         while len(symbols):
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            ends = np.append(first[1:], len(symbols))
-            place = np.full(len(symbols), -1)
-            place[:-1] = self.ranked(symbols[:-1], symbols[1:])
-            place[ends - 1] = -1  # the last symbol of a word has no pair
-            rank = np.where(place >= 0, self.ranks[place] if len(self.ranks) else NO_RANK, NO_RANK)
-            least = np.minimum.reduceat(rank, first)
-            for k in np.flatnonzero(least == NO_RANK).tolist():
-                done[int(owner[first[k]])] = symbols[first[k]:ends[k]]
-            count = ends - first
-            hit = np.flatnonzero((rank == np.repeat(least, count)) & (rank < NO_RANK))
+            count = np.diff(np.append(first, len(symbols)))
+            rank = np.where(place >= 0, self.ranks[place], NO_RANK) if len(self.ranks) else np.full(len(place), NO_RANK)
+            least = np.repeat(np.minimum.reduceat(rank, first), count)
+            open_ = least < NO_RANK
+            if not open_.all():
+                done.append((owner[~open_], symbols[~open_]))
+                symbols, owner, place, rank, least = (x[open_] for x in (symbols, owner, place, rank, least))
+            hit = np.flatnonzero(rank == least)
             if not len(hit):
                 break
             if self.ordered:  # of a run of overlapping pairs every other one
@@ -91,10 +125,22 @@ class Merges:
             else:
                 hit = hit[np.concatenate([[True], owner[hit][1:] != owner[hit][:-1]])]
             symbols[hit] = self.made[place[hit]]
-            keep = np.repeat(least < NO_RANK, count)
+            keep = np.ones(len(symbols), bool)
             keep[hit + 1] = False
-            symbols, owner = symbols[keep], owner[keep]
-        return done
+            at = np.cumsum(keep)[hit] - 1  # where the merged symbols lie next
+            symbols, owner, place = symbols[keep], owner[keep], place[keep]
+            changed = np.zeros(len(symbols), bool)  # pairs that a merged symbol is in
+            changed[at] = True
+            changed[at[at > 0] - 1] = True
+            place[changed] = -1
+            new = np.flatnonzero(changed[:-1])
+            new = new[owner[new] == owner[new + 1]]
+            place[new] = self.ranked(symbols[new], symbols[new + 1])
+        owner, symbols = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        flat = symbols[order].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class Encoder:
@@ -112,11 +158,16 @@ class Encoder:
         self.added = {t["content"]: t["id"] for t in config["added_tokens"]}
         by_length = sorted(self.added, key=len, reverse=True)
         self.split = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
+        steps = (config["normalizer"] or {}).get("normalizers", [])
+        plain = steps == NORMALIZERS and config["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": PATTERN}
+        self.latin = latin_pattern() if plain else None
+        self.bytes_of = {ord(c): b for b, c in enumerate(byte_letters())}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of stretches
+        self.words: dict[str, bytes] = {}  # as the pre-tokenizer writes them
+        self.plain: dict[str, bytes] = {}  # of Latin texts
         self.chars = 0
 
     def _normal(self, text: str) -> str:
@@ -149,7 +200,7 @@ class Encoder:
         rest = set(stretches).difference(plain)
         cut = dict(zip(plain, self._cut_plain(plain))) | {s: self._cut(s) for s in rest}
         new = list(dict.fromkeys(w for c in cut.values() for w in c if isinstance(w, str) and w not in self.words))
-        self.words.update(zip(new, [m.astype("<u4").tobytes() for m in self.merges.merged(new)]))
+        self.words.update(zip(new, self.merges.merged([w.translate(self.bytes_of).encode("latin-1") for w in new])))
         for s, c in cut.items():
             self.known[s] = b"".join([self.words[w] if isinstance(w, str) else np.array(w, "<u4").tobytes() for w in c])
             self.chars += len(s) + 40
@@ -158,6 +209,23 @@ class Encoder:
         """The ids of each of some pieces of text that begin and end at a space or at their text's ends."""
         if self.chars > CACHE_CHARS:
             self.forget()
+        if self.latin:
+            easy = [t.isascii() or not _BEYOND.search(t) for t in texts]
+            easy = [e and not (self.split and self.split.search(t)) for e, t in zip(easy, texts)]
+            if any(easy):
+                one = iter(self.encode_latin([t for e, t in zip(easy, texts) if e]))
+                rest = iter(self.encode_any([t for e, t in zip(easy, texts) if not e]))
+                return [next(one if e else rest) for e in easy]
+        return self.encode_any(texts)
+
+    def encode_latin(self, texts: list[str]) -> list[bytes]:
+        cut, known = [self.latin.findall(t.lower()) for t in texts], self.plain
+        new = list({w for c in cut for w in c}.difference(known))
+        known.update(zip(new, self.merges.merged([w.encode() for w in new])))
+        self.chars += sum(map(len, new)) + 40 * len(new)
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
+
+    def encode_any(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         new = dict.fromkeys(s for c in cut for s in c if s not in self.known)
         if new:
@@ -165,6 +233,9 @@ class Encoder:
         return [b"".join([self.known[s] for s in c]) for c in cut]
 
 
+_BEYOND = re.compile(f"[^\x00-{chr(TABLE - 1)}]")
+
+
 def _check(config: dict, tokenizer) -> None:
     """Raises for what this encoding does not cover."""
     model, pre, norm = config["model"], config["pre_tokenizer"] or {}, config["normalizer"] or {}
@@ -176,17 +247,11 @@ def _check(config: dict, tokenizer) -> None:
     # the split pattern takes no space into a word, and spaces only separate
     apart = spaced and [w for w, _ in tokenizer.pre_tokenizer.pre_tokenize_str("a b ! 1 '")] == ["a", "b", "!", "1", "'"]
     suffix = model.get("end_of_word_suffix") or ""
-    whole = all(c in model["vocab"] and c + suffix in model["vocab"] for c in _byte_letters())
+    whole = all(c in model["vocab"] and c + suffix in model["vocab"] for c in byte_letters())
     if not (plain and apart and local and simple and whole) or config["post_processor"] or config["decoder"]:
         raise ValueError("the tokenizer file has features that merge rounds over words between spaces do not cover")
 
 
-def _byte_letters() -> list[str]:
-    """The 256 characters that byte-level tokenizers write bytes as."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    return [chr(b) for b in shown] + [chr(256 + k) for k in range(256 - len(shown))]
-
-
 def pieces(text: str, limit: int = PIECE_CHARS):
     """The text cut at spaces into pieces of about ``limit`` characters; the spaces of the cuts fall away."""
     start = 0
@@ -199,9 +264,8 @@ def pieces(text: str, limit: int = PIECE_CHARS):
     yield text[start:]
 
 
-def encode(df: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, ids binary) of every row. No shuffle; the tokenizer file must be on every node."""
-    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids binary"
+def _encoding(file: str, id_col: str):
+    """Batches of (id, text) to batches of (id, ids)."""
 
     def run(batches):
         encoder = Encoder(file)
@@ -209,23 +273,22 @@ def encode(df: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "te
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 cut = [(r, p) for r, t in enumerate(part.column(1).to_pylist()) for p in pieces(t or "")]
-                ids = [b""] * part.num_rows
+                ids: list[list[bytes]] = [[] for _ in range(part.num_rows)]
                 held, now = 0, []
                 for k, (r, p) in enumerate(cut):
                     now.append((r, p))
                     held += len(p)
                     if held >= PIECE_CHARS or k + 1 == len(cut):
                         for (q, _), found in zip(now, encoder.encode([p for _, p in now])):
-                            ids[q] += found
+                            ids[q].append(found)
                         held, now = 0, []
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b"".join(x) for x in ids], pa.binary())], names=[id_col, "ids"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return run
 
 
-def decode(df: DataFrame, file: str, id_col: str = "doc_id") -> DataFrame:
-    """(``id_col``, ids, decoded binary): the UTF-8 of the decoded text, which is the tokens joined by spaces."""
-    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids binary, decoded binary"
+def _decoding(file: str, id_col: str):
+    """Batches of (id, ids) to batches of (id, ids, decoded)."""
 
     def run(batches):
         with open(file, encoding="utf-8") as f:
@@ -242,19 +305,38 @@ def decode(df: DataFrame, file: str, id_col: str = "doc_id") -> DataFrame:
                 for row in part.column(1).to_pylist():
                     ids = np.frombuffer(row or b"", "<u4").astype(np.int64)
                     texts = []
-                    for s in range(0, len(ids), PIECE_CHARS):
-                        k = ids[s:s + PIECE_CHARS]
+                    for s in range(0, len(ids), PIECE_CHARS // 4):
+                        k = ids[s:s + PIECE_CHARS // 4]
                         n = size[k]
                         ends = np.cumsum(n)
                         texts.append(store[np.arange(int(ends[-1])) + np.repeat(begin[k] - (ends - n), n)].tobytes())
                     raw.append(b"".join(texts)[1:])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(raw, pa.binary())], names=[id_col, "ids", "decoded"])
 
-    return df.select(F.col(id_col), F.col("ids")).mapInArrow(run, schema)
+    return run
+
+
+def _kind(df: DataFrame, id_col: str) -> str:
+    return f"`{id_col}` {df.schema[id_col].dataType.simpleString()}"
+
+
+def encode(df: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, ids binary) of every row. No shuffle; the tokenizer file must be on every node."""
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy_batches(_encoding(file, id_col)), f"{_kind(df, id_col)}, ids binary")
+
+
+def decode(df: DataFrame, file: str, id_col: str = "doc_id") -> DataFrame:
+    """(``id_col``, ids, decoded binary): the UTF-8 of the decoded text, which is the tokens joined by spaces."""
+    return df.select(F.col(id_col), F.col("ids")).mapInArrow(tidy_batches(_decoding(file, id_col)), f"{_kind(df, id_col)}, ids binary, decoded binary")
+
+
+def both_ways(df: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one Python worker."""
+    there, back = _encoding(file, id_col), _decoding(file, id_col)
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy_batches(lambda batches: back(there(batches))), f"{_kind(df, id_col)}, ids binary, decoded binary")
 
 
 def round_trip(df: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, n_tokens, ids_sha256, decoded_sha256) of every row."""
-    both = decode(encode(df, file, id_col, text_col), file, id_col)
-    return both.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return both_ways(df, file, id_col, text_col).select(
+        id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
