@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
+
 PIECE_CHARS = 50_000
 
 
@@ -52,9 +54,8 @@ def encode_text(encoding, text: str | None) -> bytes:
     return b"".join(np.array(encoding.encode_ordinary(p), "<u4").tobytes() for p in pieces(text))
 
 
-def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, ids binary) of every row. No shuffle; the rank file must be on every node."""
-    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids binary"
+def _encoding(rank_file: str, pattern: str, id_col: str):
+    """Batches of (id, text) to batches of (id, ids)."""
 
     def run(batches):
         encoding = load(rank_file, pattern)
@@ -64,12 +65,11 @@ def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
                 ids = [encode_text(encoding, t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[id_col, "ids"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return run
 
 
-def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id") -> DataFrame:
-    """(``id_col``, ids, bytes binary): the raw bytes that each row's ids stand for, joined from the rank file's tokens."""
-    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids binary, bytes binary"
+def _decoding(rank_file: str, id_col: str):
+    """Batches of (id, ids) to batches of (id, ids, bytes), joined from the rank file's tokens."""
 
     def run(batches):
         with open(rank_file, "rb") as f:
@@ -91,11 +91,30 @@ def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id") -> DataFrame:
                     raw.append(store[at].tobytes())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(raw, pa.binary())], names=[id_col, "ids", "bytes"])
 
-    return df.select(F.col(id_col), F.col("ids")).mapInArrow(run, schema)
+    return run
+
+
+def _kind(df: DataFrame, id_col: str) -> str:
+    return f"`{id_col}` {df.schema[id_col].dataType.simpleString()}"
+
+
+def encode(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, ids binary) of every row. No shuffle; the rank file must be on every node."""
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy_batches(_encoding(rank_file, pattern, id_col)), f"{_kind(df, id_col)}, ids binary")
+
+
+def decode(df: DataFrame, rank_file: str, id_col: str = "doc_id") -> DataFrame:
+    """(``id_col``, ids, bytes binary): the raw bytes that each row's ids stand for."""
+    return df.select(F.col(id_col), F.col("ids")).mapInArrow(tidy_batches(_decoding(rank_file, id_col)), f"{_kind(df, id_col)}, ids binary, bytes binary")
+
+
+def both_ways(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode`` of ``encode`` in one Python worker."""
+    there, back = _encoding(rank_file, pattern, id_col), _decoding(rank_file, id_col)
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy_batches(lambda batches: back(there(batches))), f"{_kind(df, id_col)}, ids binary, bytes binary")
 
 
 def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, n_tokens, ids_sha256, decoded_sha256) of every row, from the encoded ids and the decoded bytes."""
-    both = decode(encode(df, rank_file, pattern, id_col, text_col), rank_file, id_col)
-    return both.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    return both_ways(df, rank_file, pattern, id_col, text_col).select(
+        id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
