@@ -14,7 +14,7 @@ filter the pairs, one after the other:
 A pair must pass them all before it is verified on the whole sets. Under the second order, sets
 that share an element are tied to the smallest of them, and the connected components are groups;
 no pair is listed. In a group of up to ``GROUP`` sets, one task finds the pairs that pass the
-second and third order and verifies them. A larger group is cut into chunks that meet the same filters
+second and third order and verifies them. A larger group, or one with more than ``ELEMENTS`` elements, is cut into chunks that meet the same filters
 against a bounded number of pivot sets at a time: whoever links with a linked pivot needs no
 further look, and rounds go on until every set outside the group's largest component has
 been a pivot. So no link between components is lost, and work grows with the group, not with its pairs.
@@ -37,12 +37,14 @@ from pyspark.sql import functions as F
 
 from .components import by_key, components
 from .forest import roots
+from .memory import tidy_batches, tidy_group
 from .storage import discard, stored
 from .textnum import Roller, byte_values, chunks, text_column, word_bounds
 
 GROUP = 512
 CHUNK = 512
 PIVOTS = 1024
+ELEMENTS = 1 << 22  # of a group's or a chunk's sets, for one task
 
 
 @dataclass(frozen=True)
@@ -104,7 +106,7 @@ def sketches(docs: DataFrame, measure: Measure, id_col: str, text_col: str) -> D
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists],
                                                  names=["id", "n", "digest", "prefix"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n long, digest binary, prefix array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy_batches(run), "id long, n long, digest binary, prefix array<long>")
 
 
 def _whole(measure: Measure, name: str, n: Column) -> Column:
@@ -202,7 +204,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, measure: Measure, id_col: str
                 yield pa.RecordBatch.from_arrays(out, names=[*names, "elements"]).filter(same)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return texts.join(wanted, "doc").mapInArrow(run, schema)
+    return texts.join(wanted, "doc").mapInArrow(tidy_batches(run), schema)
 
 
 def _sets(column) -> list[np.ndarray]:
@@ -240,7 +242,7 @@ def verified(members: DataFrame, measure: Measure) -> DataFrame:
         on = np.flatnonzero(root != np.arange(len(ids)))
         return pa.table({"a": ids[on], "b": ids[root[on]]})
 
-    return members.select("group", "id", "rare", "mixed", "elements").groupBy("group").applyInArrow(run, "a long, b long")
+    return members.select("group", "id", "rare", "mixed", "elements").groupBy("group").applyInArrow(tidy_group(run), "a long, b long")
 
 
 def against_pivots(members: DataFrame, pivots: DataFrame, measure: Measure) -> DataFrame:
@@ -258,15 +260,19 @@ def against_pivots(members: DataFrame, pivots: DataFrame, measure: Measure) -> D
         return pa.table({"a": every[on], "b": every[root[on]]})
 
     names = ["group", "chunk", "id", "rare", "mixed", "elements"]
-    sent = members.select("group", "chunk").distinct().join(pivots, "group").select(*names, F.lit(True).alias("pivot"))
+    chunks_of = members.groupBy("group").agg(F.max("chunks").alias("chunks"))
+    # dealt out again before a pivot is copied for each chunk, so that no task writes the copies of a whole group
+    sent = pivots.join(chunks_of, "group").repartition("group", "id").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    sent = sent.select(*names, F.lit(True).alias("pivot"))
     rows = members.select(*names, F.lit(False).alias("pivot")).unionByName(sent)
-    return rows.groupBy("group", "chunk").applyInArrow(run, "a long, b long")
+    return rows.groupBy("group", "chunk").applyInArrow(tidy_group(run), "a long, b long")
 
 
 def by_pivots(members: DataFrame, measure: Measure) -> DataFrame:
     """Edges that span the links inside groups too large for one task; rounds until no link can be missing."""
     spark = members.sparkSession
-    members = stored(members.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / CHUNK))), "large-groups")
+    members = members.withColumn("chunks", F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("total") / ELEMENTS)).cast("long"))
+    members = stored(members.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))), "large-groups")
     edges = spark.createDataFrame([], "a long, b long")
     asked, turn = spark.createDataFrame([], "id long"), 0
     while True:
@@ -292,9 +298,9 @@ def by_pivots(members: DataFrame, measure: Measure) -> DataFrame:
 def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, n_shingles, component_id) of every row of ``docs``."""
     sketched = stored(sketches(docs, measure, id_col, text_col), "sketches")
-    # a class is known by 64 bits of its digest; doc is its smallest document
+    # classes are numbered, whatever their digests; doc is a class's smallest document
     classed = sketched.where("n > 0 and id is not null").groupBy("digest", "n").agg(F.min("id").alias("doc"), F.first("prefix").alias("prefix"))
-    classed = stored(classed.withColumn("id", F.xxhash64("digest")), "classes")
+    classed = stored(classed.withColumn("id", F.monotonically_increasing_id()), "classes")
     seen = stored(sketched.select("id", "n", "digest"), "sizes")
     discard(sketched)  # the prefixes are read once: they need no place while whole sets are compared
     some = held_by_others(classed, "prefix", _whole(measure, "least", F.col("n"))).select("id")
@@ -304,16 +310,18 @@ def join(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     full = seen.where("n > 0 and id is not null")
     sets = stored(whole_sets(docs, some, measure, id_col, text_col).select("id", "n", "elements").dropDuplicates(["id"]), "sets")
     groups = stored(grouped(stored(prefixed(sets, measure), "prefixes")), "groups")
-    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    sizes = groups.join(sets.select("id", "n"), "id").groupBy("group").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
     members = stored(groups.join(sizes, "group").join(sets.select("id", "elements"), "id"), "members")
-    edges = verified(members.where(F.col("size") <= GROUP), measure)
-    large = members.where(F.col("size") > GROUP)
+    small = (F.col("size") <= GROUP) & (F.col("total") <= ELEMENTS)
+    edges = verified(members.where(small), measure)
+    large = members.where(~small)
     if not large.isEmpty():
         edges = edges.unionByName(by_pivots(large, measure))
     # one id with different texts is one document with several sets
     several = full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most")
-    same = full.select(F.col("id").alias("doc"), "digest").join(several.select(F.col("id").alias("doc"), "least"), "doc")
-    edges = edges.unionByName(same.select(F.xxhash64("digest").alias("a"), F.xxhash64("least").alias("b")))
+    same = full.select(F.col("id").alias("doc"), "digest").join(several.select(F.col("id").alias("doc"), "least"), "doc").select("digest", "least").distinct()
+    same = same.join(classes.select("digest", F.col("id").alias("a")), "digest").join(classes.select(F.col("digest").alias("least"), F.col("id").alias("b")), "least")
+    edges = edges.unionByName(same.select("a", "b"))
     links = components(edges, "links").withColumnRenamed("component", "tie")
     place = classes.select("digest", "id", "doc").join(links, "id", "left").withColumn("tie", F.coalesce("tie", "id"))
     place = place.join(by_key(place, "tie", F.min("doc"), "component"), "tie").select("digest", "component")
