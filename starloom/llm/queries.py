@@ -18,10 +18,8 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many tokens as there are, no source more than twice: one row for each time that a document is shown, in the order (pass, block, place)."""
-    docs = table(spark, sf_dir, "documents")
-    tokens_in = docs.agg(F.sum(mixing.n_tokens(F.col("text")))).first()[0] or 0
-    shown = mixing.mix(docs, mixing.Target(repetition=2.0, budget=float(tokens_in)))
+    """As many tokens as there are, no source more than 1.05 times: one row for each time that a document is shown, in the order (pass, block, place)."""
+    shown = mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repetition=1.05, budget_share=1.0))
     return shown.select(F.col("row.doc_id").alias("doc_id"), "source", F.col("pass").cast("long").alias("pass"), F.round("weight", 9).alias("weight"), "block", "place")
 
 
