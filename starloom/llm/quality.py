@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
 from .textnum import Roller, byte_values, chunks, mix, per_row, repeated, text_column, word_bounds
 
 
@@ -33,7 +34,7 @@ class Limits:
 
     min_words: int = 50
     repeat_words: float = 0.50
-    ngrams: tuple[tuple[int, float], ...] = ((5, 0.40), (7, 0.36), (10, 0.32))
+    ngrams: tuple[tuple[int, float], ...] = ((5, 0.30), (7, 0.30), (10, 0.20))
     lines: float = 0.30
     symbols: float = 0.10
 
@@ -102,7 +103,7 @@ def repetition(docs: DataFrame, lengths: tuple[int, ...], id_col: str = "doc_id"
                     [batch.column(0).slice(a, b - a)] + [pa.array(part[c], pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_chars")] + [flat],
                     names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_chars", "ngram_chars"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy_batches(run), SCHEMA)
 
 
 def judge(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,4 +145,4 @@ def keep_good(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text"
                 ok = keep(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 yield batch.slice(a, b - a).filter(pa.array(ok))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy_batches(run), docs.schema)
