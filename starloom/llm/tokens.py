@@ -8,16 +8,19 @@ whole stream is its offset in its part plus the sizes of the parts before.
 
 Encoding: the tokenizer merges bytes only inside the pieces that its split pattern makes, so
 the ids of a text are the ids of its pieces. Pieces are found in numpy for a whole batch, and each
-different one goes through the tokenizer once. A text with characters outside the tables below
-goes through it whole. Both ways give the same ids.
+different one goes through the tokenizer once. A text with characters outside the tables below, or with the
+string of an added token, goes through it whole, and so do all texts if the file has a normaliser, another pre-tokenizer than
+the plain byte-level one, or other features that pieces by themselves do not show. Both ways give the same ids.
 
 Defined results for odd input: a null or empty text is the end id alone; documents with one id
-follow one another in the order of their texts' hashes; a null id comes first; strings that look like
-special tokens are ordinary text; an empty table gives files without rows; extra columns are not read.
+follow one another in the order of their texts' hashes; a null id comes first; the strings of added
+tokens in a text become these tokens, as the library has it; an empty table gives files without rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import types
 import zlib
@@ -29,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
 from .textnum import Roller, chunks, mix, text_column
 
 TABLE = 0x250  # code points below this have a class here: Basic Latin to Latin Extended-B
 CACHE = 1 << 20
+FILE_BYTES = 64 << 20
+LEAST_BYTES = 1 << 20
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 0
 
 
@@ -163,7 +169,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(tokenizer_file, encoding="utf-8") as f:
+            config = json.load(f)
+        self.plain = _plain(config)
+        added = [re.escape(t["content"].encode()) for t in config["added_tokens"]]
+        self.added = re.compile(b"|".join(added)) if added else None
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.kind = classes()
@@ -212,6 +224,12 @@ class Encoder:
         if len(lead):
             lead = lead[data[np.minimum(lead + 1, len(data) - 1)] >= 0x90]
             odd[np.searchsorted(offsets, lead, "right") - 1] = True
+        if not self.plain:
+            odd[:] = True
+        elif self.added:
+            found = np.array([m.start() for m in self.added.finditer(data.tobytes())], np.int64)
+            odd[np.searchsorted(offsets, found, "right") - 1] = True
+        odd &= offsets[1:] > offsets[:-1]
         plain = np.flatnonzero(~odd & (offsets[1:] > offsets[:-1]))
         counts = np.zeros(rows, np.int64)
         if not odd.any():
@@ -232,6 +250,15 @@ class Encoder:
         return np.concatenate(out), counts
 
 
+def _plain(config: dict) -> bool:
+    """Whether texts may be cut into the pieces of the plain byte-level pattern."""
+    model, pre = config["model"], config["pre_tokenizer"] or {}
+    features = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    return (model["type"] == "BPE" and not any(model.get(k) for k in features) and not config["normalizer"] and not config["post_processor"]
+            and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre["add_prefix_space"]
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in config["added_tokens"]))
+
+
 def worker_encoder(tokenizer_file: str) -> Encoder:
     """This worker process's encoder: the tasks that it runs one after the other share its known pieces."""
     held = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders"))
@@ -244,9 +271,14 @@ def worker_encoder(tokenizer_file: str) -> Encoder:
 
 def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, layout: Layout = Layout(), files: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode ``docs`` and write them in ascending order of their ids; one shuffle, by range."""
+    """Encode ``docs`` and write them in ascending order of their ids; one shuffle, by range.
+
+    ``files``: about ``FILE_BYTES`` of text each if not given, and less of a small table, so that all cores have some.
+    """
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, part int, offset long, n_tokens int, ids array<int>"
-    files = files or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if files is None:
+        total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+        files = max(1, -(-total // FILE_BYTES), min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // LEAST_BYTES))
 
     def run(batches):
         from pyspark import TaskContext
@@ -268,7 +300,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, layo
 
     tie = F.xxhash64(F.col(text_col))
     ordered = docs.select(F.col(id_col), F.col(text_col), tie.alias("_tie")).repartitionByRange(files, id_col, "_tie").sortWithinPartitions(id_col, "_tie")
-    ordered.select(id_col, text_col).mapInArrow(run, schema).write.options(**layout.options()).parquet(path)
+    ordered.select(id_col, text_col).mapInArrow(tidy_batches(run), schema).write.options(**layout.options()).parquet(path)
 
 
 def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -295,4 +327,4 @@ def checksums(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(crc, pa.int64())], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    return tokens.select(id_col, "start", "n_tokens", "ids").mapInArrow(run, schema)
+    return tokens.select(id_col, "start", "n_tokens", "ids").mapInArrow(tidy_batches(run), schema)
