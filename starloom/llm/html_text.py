@@ -15,7 +15,9 @@ search, share) set it apart only if it has no block that passes for text; words
 menu) unless it has as much text as the page has outside such containers. A main element ends the marks
 around it. So does an article, if what is in such articles is at least as much as the text elsewhere;
 where there is text elsewhere they count as any other part of the page. Comments are the
-exception, as theirs are articles too. Adverts, cookie notices and comments are always set apart otherwise.
+exception, as theirs are articles too; a paragraph by itself is no container of comments. Adverts, cookie notices and
+comments are always set apart otherwise, but a longer name that only has such a word in it (ad-free-reading,
+cookie-recipes) gives way if the page would have no text at all.
 
 Text is decoded (character references), white space inside a block becomes one space, blocks are
 trimmed and joined by one line feed. Formulas (math) are text in their line, without the annotations in
@@ -37,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
+
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
     "a an and are as at be but by for from has have he her his i in is it its not of on or she that the their there they this to was were what when which who will with you "
@@ -55,7 +59,7 @@ NOTES = frozenset("annotation annotation-xml".split())  # in math only: what the
 RAW = frozenset("script style textarea title noscript template svg iframe object audio video canvas noembed noframes".split())
 # Words in class, id and role attributes that mark what surrounds a text.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs byline cookie cookies consent comment comments commentlist disqus disclaimer footer form gdpr header login "
+    "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs cookie cookies consent comment comments commentlist disqus disclaimer footer form gdpr header login "
     "masthead menu menubar modal nav navbar navigation newsletter notice notices notification alert popup promo promoted promotion related reply replies respond search share sharing sidebar sidebars signup social "
     "sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets complementary contentinfo".split())
 # Of these, words that wrappers of articles have too, words of the layout, and words for what readers say.
@@ -63,6 +67,11 @@ DOUBTFUL = frozenset(
     "alert banner disclaimer form header login modal notice notices notification promo promoted promotion related search share sharing social subscribe subscription toolbar widget widgets".split())
 LAYOUT = frozenset("footer masthead menu nav navbar navigation newsletter sidebar sidebars topbar".split())
 DISCUSSION = frozenset("comment comments commentlist disqus reply replies respond".split())
+# Parts of longer names that say what a container looks like, not what it is.
+PLAIN_PARTS = frozenset(
+    "area bar bg big block body bottom box btn button card cell col column container content desktop element field fixed flex float frame full grid group h half holder home icon id image img in "
+    "inline inner is item items js l label large layer layout left line link links list main md medium mid middle mobile module new no of on outer page pane panel part placeholder pos primary r region right "
+    "row rows secondary section side single site size slot sm small space spot static sticky sub tab table text the thin tile title to top txt unit v view w wide wrap wrapper x xl y zone".split())
 AUTO_CLOSE = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 # An opened block of these kinds ends an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "head"}
@@ -108,7 +117,7 @@ class _Open:
 
 @dataclass
 class Box:
-    """A container that its class or id marks: doubtful, layout, discussion or firm."""
+    """A container that its class or id marks: doubtful, layout, discussion, firm, or mixed (firm, if it isn't part of another name)."""
     kind: str
     parent: int
 
@@ -121,6 +130,7 @@ def _kind(marks: set[str]) -> str:
 def _marked(attributes: str) -> str:
     """"outside" by role or as hidden, the kind of mark that class and id make, or nothing."""
     marks: set[str] = set()
+    sure = False
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
@@ -135,7 +145,9 @@ def _marked(attributes: str) -> str:
                 if name == "role":
                     return "outside"
                 marks |= found
-    return _kind(marks) if marks else ""
+                sure |= bool(found - DOUBTFUL - LAYOUT) and MARKS.union(PLAIN_PARTS).issuperset(parts)
+    kind = _kind(marks) if marks else ""
+    return "mixed" if kind in ("firm", "discussion") and not sure else kind
 
 
 def blocks(page: str) -> tuple[list[Block], list[Box]]:
@@ -219,6 +231,8 @@ def blocks(page: str) -> tuple[list[Block], list[Box]]:
                 articles += 1
             article = top.article or (articles if tag in ("article", "main") else 0)
             mark = "outside" if tag in OUTSIDE else "" if tag in ("html", "body") or tag in HEADINGS else _marked(m[3])
+            if tag == "p" and mark == "discussion":
+                mark = ""
             header = top.header or (tag == "header" and article > 0)
             outside = top.outside or (mark == "outside" and not (tag in ("article", "main"))) or (tag == "header" and not article)
             box, shed = top.box, top.shed
@@ -268,8 +282,10 @@ def _long_runs(found: list[Block], rules: Rules) -> list[bool]:
     return out
 
 
-def set_apart(found: list[Block], boxes: list[Box], good: list[bool]) -> None:
-    """Sets ``outside`` where the mark of a container holds, and ``article`` to 0 where an article counts as any other part."""
+def set_apart(found: list[Block], boxes: list[Box], good: list[bool], lenient: bool = False) -> None:
+    """Sets ``outside`` where the mark of a container holds, and ``article`` to 0 where an article counts as any other part.
+    ``lenient``: mixed marks only hint, as doubtful ones do."""
+    kinds = ["doubtful" if lenient and b.kind == "mixed" else "firm" if b.kind == "mixed" else b.kind for b in boxes]
     inside = [0] * len(boxes)  # characters of text in each container
     free = layout = 0
     for b, ok in zip(found, good):
@@ -277,10 +293,10 @@ def set_apart(found: list[Block], boxes: list[Box], good: list[bool]) -> None:
             inside[b.box] += len(b.words)
             inside[b.shed] += len(b.words)
     for k in range(len(boxes) - 1, 0, -1):
-        inside[boxes[k].parent] += inside[k] if boxes[k].kind in ("doubtful", "layout") else 0
+        inside[boxes[k].parent] += inside[k] if kinds[k] in ("doubtful", "layout") else 0
     apart, in_layout = [False] * len(boxes), [False] * len(boxes)
     for k in range(1, len(boxes)):
-        up, kind = boxes[k].parent, boxes[k].kind
+        up, kind = boxes[k].parent, kinds[k]
         in_layout[k] = in_layout[up] or kind == "layout"
         apart[k] = apart[up] or kind in ("firm", "discussion") or (kind == "doubtful" and not inside[k])
     shed = 0
@@ -307,8 +323,17 @@ def classify(found: list[Block], rules: Rules = Rules(), boxes: list[Box] | None
     """Which blocks are page text."""
     good = [_passes(b, rules) for b in found]
     if boxes and len(boxes) > 1:
-        sure = any(ok and not b.outside and boxes[b.box].kind not in ("firm", "discussion") for b, ok in zip(found, good))
-        set_apart(found, boxes, good if sure else _long_runs(found, rules))
+        runs = _long_runs(found, rules)
+        kinds = {k for k, box in enumerate(boxes) if box.kind in ("firm", "discussion", "mixed")}
+        sure = any(ok and not b.outside and b.box not in kinds for b, ok in zip(found, good))
+        before = [(b.outside, b.article) for b in found]
+        set_apart(found, boxes, good if sure else runs)
+        if all(b.outside or not (ok or run or b.article) for b, ok, run in zip(found, good, runs)):  # no text is left
+            for b, (outside, article) in zip(found, before):
+                b.outside, b.article = outside, article
+            kinds = {k for k, box in enumerate(boxes) if box.kind in ("firm", "discussion")}
+            sure = any(ok and not b.outside and b.box not in kinds for b, ok in zip(found, good))
+            set_apart(found, boxes, good if sure else runs, lenient=True)
     for b, ok in zip(found, good):
         density = b.links / len(b.words)
         if b.outside or (density > rules.link_density and (b.listed or not b.article)):
@@ -368,4 +393,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
                                                  names=[id_col, url_col, "text", "n_chars"])
 
-    return pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(run, schema)
+    return pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).mapInArrow(tidy_batches(run), schema)
