@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
+
 MAX_WORD = 24
 # Decisions that a task remembers on which names are concatenations.
 REMEMBERED = 100_000
@@ -43,7 +45,7 @@ SEEDS: tuple[tuple[str, str], ...] = tuple(
     + [(f"{n}.example", "allow") for n in (
         "news/world", "blog/article", "wiki/page", "docs/manual", "library/books", "university/research", "museum/history", "science/journal", "weather/report",
         "city/council", "school/lessons", "health/clinic", "recipes/kitchen", "travel/guide", "music/review", "sports/results", "garden/plants", "maps/routes",
-        "forum/questions", "photo/gallery", "code/projects", "film/archive", "radio/program", "local/market", "en/about", "fr/index", "de/index", "es/index",
+        "forum/questions", "photo/gallery", "code/projects", "film/archive", "radio/program", "local/market", "theatre/tickets", "bakery/bread", "festival/concert", "hospital/doctors",
         "essex/sussex", "middlesex/county", "uploads/downloads", "threads/heads", "roads/alphabets")])
 
 
@@ -203,7 +205,7 @@ def segmented(urls: DataFrame, seeds: Sequence[tuple[str, str]] = SEEDS) -> Data
                 [pa.array(got["name"], pa.string()), pa.array(split, pa.list_(pa.string())), pa.array([sum(odds.get(w, 0.0) for w in s) for s in split], pa.float64())],
                 names=["name", "words", "score"])
 
-    return own.select("name").join(known, "name", "left").mapInArrow(run, "name string, words array<string>, score double")
+    return own.select("name").join(known, "name", "left").mapInArrow(tidy_batches(run), "name string, words array<string>, score double")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[tuple[str, str]] = SEEDS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
