@@ -14,8 +14,9 @@ item's different terms.
 3. A pair of nodes is bounded by the product of its maxima. It is left if the bound is below the
    weakest of its items' k-th best scores so far, and with it all pairs of its documents and items; otherwise both
    sides are opened. What is left of the leaves is scored exactly, all in integers.
-4. The k-th best scores of any documents are lower bounds of the final ones. Those of the first
-   ``SEEDS`` rows are found first and handed to all tasks; each task then returns at most k documents an item.
+4. The k-th best scores of any documents are lower bounds of the final ones. Those of the documents in
+   ``SEED_FILES`` of the written files are found first and handed to all tasks; each task then returns at most
+   k documents an item.
 
 Items come in blocks of about ``ITEM_BYTES`` of text, each of which is searched in a pass of its
 own, so what tasks and driver hold of the items is bounded. Documents stay where they are: only
@@ -40,13 +41,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
 from .storage import discard, stored
 
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
 PIECE = 1 << 20
 ITEM_BYTES = 1 << 20
-SEEDS = 8192
+SEED_FILES = 4
 BATCH = 8192
 BATCH_ENTRIES = 1 << 21
 DOC_LEAF = 64
@@ -260,7 +262,7 @@ def term_rows(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str, text_c
                                                  names=["id", "n", "terms", "counts"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return texts.mapInArrow(run, "id long, n long, terms binary, counts binary")
+    return texts.mapInArrow(tidy_batches(run), "id long, n long, terms binary, counts binary")
 
 
 def document_frequencies(rows: DataFrame, n_terms: int) -> np.ndarray:
@@ -274,7 +276,7 @@ def document_frequencies(rows: DataFrame, n_terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(on, pa.int64()), pa.array(held[on], pa.int64())], names=["term", "df"])
 
     held = np.zeros(n_terms, np.int64)
-    for term, df in rows.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df")).collect():
+    for term, df in rows.select("terms").mapInArrow(tidy_batches(run), "term long, df long").groupBy("term").agg(F.sum("df")).collect():
         held[term] = df
     return held
 
@@ -318,7 +320,13 @@ def _found(rows: DataFrame, items: Items, stats: tuple[int, int], k: int, id_typ
                                                  names=["item", "item_id", "score", "doc_id"])
 
     kind = {"string": pa.string(), "int": pa.int32()}.get(id_type, pa.int64())
-    return rows.mapInArrow(run, f"item long, item_id {id_type}, score long, doc_id long")
+    return rows.mapInArrow(tidy_batches(run), f"item long, item_id {id_type}, score long, doc_id long")
+
+
+def _best_of(found: DataFrame, by: list[str], k: int) -> DataFrame:
+    """With rank: the k best rows of each item."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.col("score").desc(), F.col("doc_id").asc()))
+    return found.withColumn("rank", place).where(F.col("rank") <= k)
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id", doc_text: str = "text",
@@ -344,12 +352,12 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id
             weight = np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * h + 1))) for h in df.tolist()], np.int64)
             tree = Items([i for i, _ in cut], [np.array([vocabulary[t] for t in ts], np.int64) for _, ts in cut], weight)
             score, last = np.zeros(len(cut), np.int64), np.full(len(cut), np.iinfo(np.int64).max)
-            first = _found(rows.limit(SEEDS).coalesce(1), tree, (n, total), k, id_type)
-            kth = first.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("score", -F.col("doc_id"))).alias("least")).where(F.col("n") >= k)
-            for r in kth.collect():  # one row an item
+            names = sorted(rows.inputFiles())
+            seeds = rows.sparkSession.read.schema(rows.schema).parquet(*names[::-(-len(names) // SEED_FILES)])
+            kth = _best_of(_found(seeds, tree, (n, total), k, id_type), ["item"], k).where(F.col("rank") == k)
+            for r in kth.select("item", F.struct("score", -F.col("doc_id")).alias("least")).collect():  # one row an item
                 score[r.item], last[r.item] = r.least[0], -r.least[1]
             part = stored(_found(rows, tree, (n, total), k, id_type, score, last), "best").select(F.lit(block).alias("block"), "*")
             found = found.unionByName(part)
         discard(rows)
-    place = F.row_number().over(Window.partitionBy("block", "item").orderBy(F.col("score").desc(), F.col("doc_id").asc()))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+    return _best_of(found, ["block", "item"], k).select("item_id", "rank", "doc_id", "score")
