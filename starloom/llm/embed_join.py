@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .forest import roots
+from .memory import tidy_batches, tidy_group
 from .storage import stored
 
 BLOCK = 2048
@@ -55,7 +56,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                         vecs.append((x / np.abs(x).max()).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(vecs, pa.binary())], names=["id", "dim", "vec"])
 
-    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(run, "id long, dim int, vec binary")
+    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(tidy_batches(run), "id long, dim int, vec binary")
 
 
 def matrix(column, dim: int) -> np.ndarray:
@@ -79,7 +80,7 @@ def principal(vectors: DataFrame, dim: int, n: int) -> np.ndarray:
             total += u.T @ u
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
 
-    sums = vectors.select("vec").mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x"))
+    sums = vectors.select("vec").mapInArrow(tidy_batches(run), "sums array<double>").select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x"))
     total = np.zeros((d + 1) ** 2)
     for k, x in sums.collect():
         total[k] = x
@@ -136,9 +137,9 @@ def ordered_blocks(vectors: DataFrame, dim: int, epsilon: float, block: int) ->
 
     rows = vectors.count()
     parts = max(1, math.ceil(rows / (4 * block)))
-    placed = vectors.select("id", "vec").mapInArrow(cells, "id long, vec binary, cell array<int>, at array<double>")
+    placed = vectors.select("id", "vec").mapInArrow(tidy_batches(cells), "id long, vec binary, cell array<int>, at array<double>")
     return (placed.repartitionByRange(parts, "cell", "id").sortWithinPartitions("cell", "id")
-            .mapInArrow(cut, "part long, seq long, ids binary, vecs binary, lo array<double>, hi array<double>"))
+            .mapInArrow(tidy_batches(cut), "part long, seq long, ids binary, vecs binary, lo array<double>, hi array<double>"))
 
 
 def _apart(n: int) -> Column:
@@ -213,7 +214,7 @@ def block_links(blocks: DataFrame, pairs: DataFrame, dim: int, threshold: float)
     a = pairs.select(F.col("a").alias("node"), "a", "b")
     b = pairs.where("a <> b").select(F.col("b").alias("node"), "a", "b")
     sides = a.unionByName(b).join(blocks.select("node", "ids", "vecs"), "node").select("a", "b", "ids", "vecs")
-    return sides.groupBy("a", "b").applyInArrow(run, "id long, root long, links long")
+    return sides.groupBy("a", "b").applyInArrow(tidy_group(run), "id long, root long, links long")
 
 
 def similar(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, block: int = BLOCK) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import tidy_batches
 from .storage import discard, stored
 
 STEPS = 1024
@@ -75,7 +76,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(rows, pa.binary())], names=["id", "dim", "x"])
 
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    return rows.mapInArrow(run, "id long, dim int, x binary")
+    return rows.mapInArrow(tidy_batches(run), "id long, dim int, x binary")
 
 
 def _totals(distinct: DataFrame, columns: list[str], part, size: int, kind) -> np.ndarray:
@@ -89,7 +90,7 @@ def _totals(distinct: DataFrame, columns: list[str], part, size: int, kind) -> n
                 total += part(batch.slice(a, 4096))
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(arrow))], names=["sums"])
 
-    sums = distinct.select(*columns).mapInArrow(run, f"sums array<{spark_kind}>").select(F.posexplode("sums").alias("k", "v"))
+    sums = distinct.select(*columns).mapInArrow(tidy_batches(run), f"sums array<{spark_kind}>").select(F.posexplode("sums").alias("k", "v"))
     total = np.zeros(size, kind)
     for k, v in sums.groupBy("k").agg(F.sum("v")).collect():
         total[k] = v
@@ -181,7 +182,7 @@ def whiten(vectors: DataFrame, components: int = 8, id_col: str = "vec_id", vect
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(deviations(x, n, s), pa.int64()), pa.ListArray.from_arrays(ends, z)],
                                                      names=["x", "count", "deviation", "z"])
 
-        white = mine.select("x", "count").mapInArrow(project, "x binary, count long, deviation long, z array<double>")
+        white = mine.select("x", "count").mapInArrow(tidy_batches(project), "x binary, count long, deviation long, z array<double>")
         white = stored(white.select(F.unhex(F.sha2("x", 256)).alias("key"), "count", "deviation", "z"), "whitened")
         error = _identity_error(white, live, F.col("count") if by_count else F.lit(1), n)
         keyed = rows.where(F.col("dim") == dim).select("id", F.unhex(F.sha2("x", 256)).alias("key"))
