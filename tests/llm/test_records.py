@@ -77,6 +77,53 @@ def test_viterbi():
     assert "".join(url_filter.viterbi("ab" * 500, {(0, 2): 1.0}, 10.0)) == "ab" * 500
 
 
+def test_seed_names_get_their_labels(spark):
+    """Also on other hosts, whatever the language of the page."""
+    urls = [(f"http://www.{name.replace('.example', '.example.net').partition('/')[0]}/{code}/{name.replace('.example', '').partition('/')[2]}", label)
+            for name, label in url_filter.SEEDS for code in ("en", "fr", "196")]
+    rows = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(rows, ()).collect()}
+    assert [(u, got[i]) for i, (u, _) in enumerate(urls)] == urls
+
+
+def splits(name):
+    """All ways to cut a name."""
+    for cuts in range(1 << (len(name) - 1)):
+        at = [0] + [i + 1 for i in range(len(name) - 1) if cuts >> i & 1] + [len(name)]
+        yield list(zip(at, at[1:]))
+
+
+def test_segmentation_against_all_splits(monkeypatch):
+    """The likeliest split of all, also where several are equally likely and where words are limited."""
+    monkeypatch.setattr(url_filter, "MAX_WORD", 7)
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        n = int(rng.integers(1, 10))
+        known = {(a, b - a): float(rng.integers(1, 4)) for a in range(n) for b in range(a + 1, n + 1) if rng.random() < 0.3 and b - a <= 7}
+        total = 20.0
+
+        def cost(split):
+            return sum(np.log(total) - np.log(known[a, b - a]) if (a, b - a) in known else np.log(total) + 2.3 * (b - a) for a, b in split)
+
+        got = url_filter.viterbi("x" * n, known, total)
+        ends = np.cumsum([len(w) for w in got]).tolist()
+        mine = list(zip([0, *ends], ends))
+        assert cost(mine) == pytest.approx(min(cost(s) for s in splits("x" * n) if all(b - a <= 7 for a, b in s)))
+        # parts: known pieces of two letters or more, not the whole, two of them of three
+        good = [s for s in splits("x" * n) if all((a, b - a) in known and b - a > 1 and b - a < n for a, b in s) and sum(b - a > 2 for a, b in s) > 1]
+        parts = url_filter.parts_of("x" * n, known, total)
+        assert bool(parts) == bool(good)
+        if good:
+            ends = np.cumsum([len(w) for w in parts]).tolist()
+            assert cost(zip([0, *ends], ends)) == pytest.approx(min(map(cost, good)))
+
+
+def test_url_filter_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, "http://cheappills.net/"), (1, "http://cheappills.net/"), (1, "http://news.net/"), (2, None)], "page_id long, url string")
+    assert sorted((r.page_id, r.verdict) for r in url_filter.judge(rows, ()).collect()) == [(1, "allow"), (1, "block"), (1, "block"), (2, "allow")]
+
+
+RU_LONG = "Кошка весь день спит у окна, пока на улице идёт дождь, и никто не решается разбудить её раньше ужина."
 LONG = "The cat is on the mat and it was there for a long time with the other cats of the house."
 
 
@@ -115,6 +162,60 @@ def test_marked_containers(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    # an author's line and a marked paragraph are the article's
+    (f"<article><p class=byline>By Ann</p><p>{LONG}</article>", f"By Ann\n{LONG}"), (f"<article><div class=byline><p>{LONG}</p></div><p>{LONG}</article>", f"{LONG}\n{LONG}"),
+    (f"<article><p class=comment>{LONG}</p><p>{LONG}</article>", f"{LONG}\n{LONG}"),
+    # longer names that only have a marking word in them
+    (f"<nav><a href=x>Home</a></nav><div class=ad-free-reading><p>{LONG}</p><p>Be.</p><p>{LONG}</p></div><footer>{LONG}</footer>", f"{LONG}\nBe.\n{LONG}"),
+    (f"<div id=cookie-recipes><p>{LONG}</p><div class=comments>{LONG}</div></div><div class=cookie-banner>{LONG}</div>", LONG),
+    (f"<div id=cookie-recipes><p>{RU_LONG}</p></div><div class=ad>{LONG}</div>", RU_LONG),
+    # and that go as long as there is other text; plain names always go
+    (f"<article><p>{LONG}<div class=ad-acme-2020><p>{LONG}</p></div></article>", LONG), (f"<div class='cookie-notice box'><p>{LONG}</p></div>", ""),
+    (f"<div class=ad-wrapper-left>{LONG}</div><div class=comment-list-item>{LONG}</div>", ""),
+])
+def test_names_with_a_marking_word(page, want):
+    assert html_text.main_text(page) == want
+
+
+def plain_article(page):
+    """The article's blocks as the standard library's parser sees them."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag in ("p", "h1", "article"):
+                self.blocks.append("")
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            if tag in ("p", "h1", "article"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.blocks[-1] += data
+
+    parser = Article()
+    parser.feed(page)
+    parser.close()
+    return "\n".join(b for b in (" ".join(b.split()) for b in parser.blocks) if b)
+
+
+def test_all_pages_against_their_articles(spark):
+    """The test pages have their text in an article of headings and paragraphs, and an advert, a menu and a footer outside it."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: plain_article(r.html or "") for r in rows.collect()}
+    got = {r.page_id: r.text for r in html_text.extract(rows).collect()}
+    assert got == want and sum(map(bool, want.values())) > 200
+
+
 IT = "Il gatto dorme tutto il giorno vicino alla finestra mentre fuori piove, e nessuno osa svegliarlo prima di cena."
 RU = "Кошка весь день спит у окна, пока на улице идёт дождь, и никто не решается разбудить её раньше ужина."
 ZH = "猫整天睡在窗边，外面下着雨，没有人敢在晚饭前叫醒它。" * 4
@@ -162,9 +263,8 @@ def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rng = random.Random(4)
-    texts = ODD + ["".join(rng.choice("ab zT'sretvlmd 12é\n\t\xa0.!") for _ in range(rng.randrange(80))) for _ in range(300)]
+    texts = ODD + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext", "|>y", "<|endoftext|><|endoftext|> é½日"] + ["".join(rng.choice("ab zT'sretvlmd 12é\n\t\xa0.!") for _ in range(rng.randrange(80))) for _ in range(300)]
     rows = spark.createDataFrame([(3 * i, t, 1, "s") for i, t in enumerate(texts)], "doc_id long, text string, part int, ids string").repartition(5)
     path = str(tmp_path / "tokens")
     tokens.write(rows, path, public_tokenizers.path("byte_bpe_50k.json"), files=4)
@@ -180,6 +280,33 @@ def test_token_files(spark, tmp_path):
     assert tokens.read(spark, none).count() == 0
 
 
+@pytest.mark.parametrize("change", [
+    lambda c: c.update(pre_tokenizer={"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, c["pre_tokenizer"]]}),
+    lambda c: c.update(normalizer={"type": "Lowercase"}),
+    lambda c: c["added_tokens"].append({"id": 50257, "content": "cat", "single_word": True, "lstrip": False, "rstrip": False, "normalized": True, "special": False}),
+    lambda c: c["added_tokens"].append({"id": 50257, "content": "é the", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}),
+    lambda c: c.update(truncation={"direction": "Right", "max_length": 4, "strategy": "LongestFirst", "stride": 0})])
+def test_token_ids_of_other_files(tmp_path, change):
+    """What pieces cannot show goes through the library, whatever the file."""
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from starloom.llm.textnum import text_column
+
+    config = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    change(config)
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(config, f)
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    texts = ["The CAT 123 cats, cat", "é the 4567 é", "", "a <|endoftext|> b cat", "x" * 50 + " 2024"]
+    ids, n = tokens.Encoder(path).encode(*text_column(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_file_layout(spark, tmp_path):
     import pyarrow.parquet as pq
 

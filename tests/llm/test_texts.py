@@ -92,6 +92,46 @@ def test_suffix_dedup(spark, docs, texts, monkeypatch, often, segment):
     assert all(r.row == k and r.block == "b" and r.id == "i" for k, r in rows.items())
 
 
+def block_of(texts):
+    """A block of texts with ids 0, 1, …."""
+    import pyarrow as pa
+
+    return suffix_dedup.Block.of(pa.table({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}))
+
+
+def passage_texts():
+    """One passage in 5,000 documents, and three times as many that are nearly copies of each other."""
+    rng = random.Random(8)
+    passage, near = words(rng, 25, 100_000), words(rng, 30, 100_000).split(" ")
+    texts = [f"{words(rng, 6, 100_000)} {passage} {words(rng, 6, 100_000)}" for _ in range(5000)]
+    for _ in range(5000):
+        near[rng.randrange(len(near))] = f"w{rng.randrange(100_000)}"
+        texts.append(" ".join(near))
+    return texts
+
+
+@pytest.mark.parametrize("often", [1 << 15, 1000])
+def test_suffix_dedup_sends_little_of_a_common_passage(often):
+    """However many documents share a passage, a block sends no more than twice as many strings as it has."""
+    block = block_of(passage_texts())
+    own = block.runs.own
+    _, at = np.unique(block.runs.anchor, return_inverse=True)
+    strings = np.bincount(at[np.unique(np.stack([at, own.astype(np.int64)]), axis=1, return_index=True)[1]])
+    flags = np.where(strings > often, 2, 1).astype(np.uint8)[at]
+    sent = block.strings(flags, 16)
+    print(f"runs {len(at)}, of frequent anchors {int((flags == 2).sum())}, sent {len(sent.parts)}")
+    assert len(sent.parts) <= 2 * len(at)
+
+
+def test_suffix_dedup_of_a_common_passage(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "OFTEN", 1000)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 5000)
+    texts = list(enumerate(passage_texts()))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.deduplicate(docs, block_bytes=1 << 19).collect()}
+    assert got == reference.suffix_dedup(texts, 50)
+
+
 def test_suffix_dedup_odd_tables(spark):
     assert suffix_dedup.deduplicate(empty(spark)).count() == 0
     long_text = "".join(chr(97 + i % 23) + str(i) for i in range(60))
@@ -114,6 +154,26 @@ def test_jaccard_join_large_groups(docs, texts, monkeypatch):
     assert got == {k: c for k, (_, c) in reference.jaccard_components(texts, 3, 80).items()}
 
 
+@pytest.mark.parametrize("elements", [50, 2000])
+def test_jaccard_join_of_long_texts(docs, texts, monkeypatch, elements):
+    """Groups with many elements are cut into chunks however few sets they have."""
+    monkeypatch.setattr(ngram_join, "ELEMENTS", elements)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 3)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs, ngram_join.Measure(3, 80)).collect()}
+    assert got == {k: c for k, (_, c) in reference.jaccard_components(texts, 3, 80).items()}
+
+
+def test_jaccard_join_with_equal_hashes(spark, monkeypatch):
+    """Classes are kept apart even if 64 bits of their digests would not do so."""
+    from pyspark.sql import functions
+
+    hashed = functions.xxhash64
+    monkeypatch.setattr(ngram_join.F, "xxhash64", lambda *c: functions.lit(1).cast("long") if isinstance(c[0], str) and c[0] == "digest" else hashed(*c))
+    texts = list(enumerate(["a b c d e f", "a b c d e f", "p q r s t u", "p q r s t u v", "x y z", ""]))
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(texts, "doc_id long, text string"), ngram_join.Measure(2, 80)).collect()}
+    assert got == {k: c for k, (_, c) in reference.jaccard_components(texts, 2, 80).items()}
+
+
 def test_jaccard_join_odd_tables(spark, docs, texts):
     assert ngram_join.join(empty(spark)).count() == 0
     a, b = "a b c d e f g h", "p q r s t u v w"
@@ -199,6 +259,46 @@ def test_mixing_order(spark, docs, texts):
     assert sum(a != b for a, b in zip(first, first[1:])) > len(plan)  # blocks of all sources are shuffled with one another
 
 
+@pytest.mark.parametrize("target", [mixing.Target(repetition=1.3, budget_share=1.0), mixing.Target(entropy=0.93, budget_share=0.4), mixing.Target(repetition=1.7)])
+def test_mixing_shows_exactly_these_rows(spark, docs, texts, target):
+    """Exponent by bisection, quotas, and the blocks and places in order, from the hashes that give the random orders."""
+    size = {k: len(reference.WORD.findall(t or "")) for k, t in texts}
+    at = {r.doc_id: (r.source, r.block, r.place) for r in mixing._placed(docs, "source", "doc_id", target.seed).select("row.doc_id", "source", "block", "place").collect()}
+    tokens = {s: sum(size[k] for k in at if at[k][0] == s) for s in {s for s, _, _ in at.values()}}
+    total = sum(tokens.values())
+    share = {s: n / total for s, n in tokens.items() if n}
+
+    def within(a):
+        z = sum(p ** a for p in share.values())
+        entropy = -sum(p ** a / z * np.log(p ** a / z) for p in share.values()) / np.log(len(share))
+        rates = [p ** (a - 1) for p in share.values()]
+        passes = max(rates) / min(rates) if target.budget_share is None else target.budget_share * max(rates) / z
+        return (target.entropy is None or entropy <= target.entropy) and (target.repetition is None or passes <= target.repetition)
+
+    low, high = 0.0, 1.0
+    assert not within(low) and within(high)  # the target binds
+    for _ in range(50):
+        middle = (low + high) / 2
+        low, high = (low, middle) if within(middle) else (middle, high)
+    a = mixing.plan(docs, target).first().exponent
+    assert 0 < a < 1 and a == pytest.approx(high, abs=1e-6)
+    z = sum(p ** a for p in share.values())
+    budget = max(tokens[s] / share[s] ** a for s in share) * z if target.budget_share is None else target.budget_share * total
+    want = []
+    for s, n in tokens.items():
+        passes, rest = divmod(round(budget * share[s] ** a / z), n)
+        order = sorted((b, c, k) for k, (of, b, c) in at.items() if of == s)
+        done, last = 0, None
+        for b, c, k in order:
+            if done >= rest and (b, c) != last:
+                break
+            done, last = done + size[k], (b, c)
+            want.append((k, passes + 1))
+        want += [(k, p) for _, _, k in order for p in range(1, passes + 1)]
+    got = mixing.mix(docs, target).select("row.doc_id", "pass").collect()
+    assert sorted((r.doc_id, r["pass"]) for r in got) == sorted(want)
+
+
 def test_mixing_odd_tables(spark):
     assert mixing.mixed_rows(empty(spark), mixing.Target(repetition=2.0)).count() == 0
     rows = spark.createDataFrame([(1, None, "a"), (2, "x y", None), (2, "x y", None), (None, "z", "")], "doc_id long, text string, source string")
