@@ -38,7 +38,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): token ids of each row, and the digest of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    both = bpe.both_ways(docs, ranks, public_tokenizers.PATTERN)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
