@@ -174,6 +174,11 @@ class FileTable:
         added, mark = self._write_numbered(None, batch, base, id_col)
         return self._commit(base, (), added, mark)
 
+    def overwrite(self, rows: DataFrame) -> Version:
+        """The table with ``rows`` alone, which may read it."""
+        base = self.version()
+        return self._commit(base, base.files, self._write(rows), base.next_id)
+
     def replace(self, batch: DataFrame, column: str, id_col: str | None = None) -> Version:
         """Rows of the table whose ``column`` is one of the batch's make way for the batch: loading it again changes
         nothing but ids. Rows without a value stay."""

@@ -199,6 +199,44 @@ def fact_lost_lines(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFram
     return FACT.fact_lost_lines(TD.order_headers(spark, sf_dir), lines, wh["dim_customer"], wh["dim_product"])
 
 
+def _quarantined(wh: Warehouse, spark: SparkSession, sf_dir: str) -> tuple[FileTable, FileTable, DataFrame, DataFrame, DataFrame]:
+    """A first run in which every 40th order and every 50th product is not there yet: fact and quarantine tables, and
+    what the second run brings (headers, customers, products)."""
+    wh = wh.with_session(spark)
+    headers, lines = TD.order_headers(spark, sf_dir), TD.order_lines(spark, sf_dir)
+    some = headers.where("order_id % 40 <> 3"), lines, wh["dim_customer"], wh["dim_product"].where("product_id % 50 <> 7")
+    fact, _ = FACT.build_fact_from_parts(*some)
+    lost = FACT.lost_lines(*some)
+    root = f"{checkpoint_dir(spark)}/starloom-runs/{uuid.uuid4().hex}"
+    tables = FileTable(spark, f"{root}/fact_sales", wh.fact.schema, order=["order_date"]), FileTable(spark, f"{root}/quarantine", lost.schema, order=["order_id"])
+    tables[0].append(fact, "sale_id")
+    tables[1].append(lost)
+    return *tables, headers, wh["dim_customer"], wh["dim_product"]
+
+
+def _release(facts: FileTable, quarantine: FileTable, headers: DataFrame, customers: DataFrame, products: DataFrame) -> None:
+    fact, lost = FACT.released(quarantine.read(), headers, customers, products)
+    facts.append(fact, "sale_id")
+    quarantine.overwrite(lost)
+
+
+def fact_quarantine(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after lines that the first run lost have entered in the second."""
+    tables = _quarantined(wh, spark, sf_dir)
+    _release(*tables)
+    return tables[0].read().drop("sale_id")
+
+
+def fact_quarantine_counts(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in quarantine after each of the two runs, by what they lack."""
+    tables = _quarantined(wh, spark, sf_dir)
+    first = tables[1].read()
+    _release(*tables)
+    runs = [df.groupBy("reason").agg(F.count(F.lit(1)).alias("lines")).select(F.lit(run).cast("long").alias("run"), "reason", "lines")
+            for run, df in ((1, first), (2, tables[1].read()))]
+    return runs[0].unionByName(runs[1])
+
+
 def dirty_tables(wh: Warehouse) -> dict[str, DataFrame]:
     """The warehouse with faults of every kind that the checks look for, as a batch has them before it is cast."""
     order, key = F.col("order_id"), F.col("product_key")
@@ -300,5 +338,7 @@ ON_WAREHOUSE_AND_SOURCE = {
     "upsert_customer_files": upsert_customer_files,
     "upsert_product_files": upsert_product_files,
     "fact_lost_lines": fact_lost_lines,
+    "fact_quarantine": fact_quarantine,
+    "fact_quarantine_counts": fact_quarantine_counts,
     "text_functions": text_functions,
 }

@@ -150,3 +150,28 @@ def test_pipeline_into_files_is_repeat_safe(spark, tmp_path):
     assert {f for f in before if "1996-05" not in f} <= set(tables["fact_sales"].version().files)
     assert third["row_counts"] == first["row_counts"]
     assert sorted(tables["fact_sales"].read().drop("sale_id").collect()) == facts
+
+
+def test_a_month_of_one_customer_reads_few_row_groups(spark, tmp_path):
+    """Month folders, and within them files in an order that customers and products both follow."""
+    import pyarrow.parquet as pq
+
+    from starloom.functions.layout import interleaved
+
+    n = 200_000
+    fact = spark.range(n).select(F.col("id").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 120).cast("int")).alias("d"),
+                                 (F.pmod(F.xxhash64("id"), F.lit(5000)) + 1).alias("customer_key"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(800)) + 1).alias("product_key"))
+    t = FileTable(spark, str(tmp_path / "f"), fact.schema, ("m", "date_format(d, 'yyyy-MM')"), [interleaved([("customer_key", 5000), ("product_key", 800)])], rows_per_file=400)
+    t.append(fact)
+    groups = {"all": 0, "customer_key": 0, "product_key": 0}
+    for name in t.version().files:
+        meta = pq.ParquetFile(f"{t.root}/data/{name}").metadata
+        for g in range(meta.num_row_groups):
+            columns = {c.path_in_schema: c.statistics for c in (meta.row_group(g).column(i) for i in range(meta.num_columns))}
+            groups["all"] += 1
+            for key, value in (("customer_key", 1234), ("product_key", 321)):
+                groups[key] += "m=2024-02" in name and columns[key].min <= value <= columns[key].max
+    print(groups)
+    assert groups["all"] >= 400 and 0 < groups["customer_key"] < 0.05 * groups["all"] and 0 < groups["product_key"] < 0.05 * groups["all"]
+    plan = t.where_partition("2024-02", "2024-02").where("customer_key = 1234")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(customer_key,1234)" in plan and "PartitionFilters: [isnotnull(m" in plan

@@ -1,5 +1,8 @@
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from starloom.plans import pipeline as P
 from starloom.session import checkpoint_dir
 from starloom.sources import files
@@ -106,3 +109,63 @@ def test_a_product_on_most_lines_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("column, share", [("product_id", 0.8), ("customer_id", 0.5)])
+def test_flat_lines_of_a_heavy_key_stay_spread(spark, column, share):
+    """One product (or customer, or none) on most flat lines: no task has twice what an even split gives, without skew handling."""
+    from collections import Counter
+
+    from starloom.operators import facts as FACT
+    n, parts = 200_000, 8
+    other = {"product_id": "customer_id", "customer_id": "product_id"}[column]
+    heavy = F.when(F.rand(1) < share, F.lit(7)).when(F.rand(2) < 0.3, F.lit(None)).otherwise(F.col("id") % 1000).cast("long")
+    lines = spark.range(0, n, 1, parts).select(F.col("id").alias("order_id"), heavy.alias(column), (F.col("id") % 900).alias(other), F.lit(1).cast("smallint").alias("quantity"),
+                                               F.lit(0).cast("decimal(5,2)").alias("discount_pct"), F.lit("2.00").cast("decimal(10,2)").alias("unit_price"),
+                                               F.lit("1.00").cast("decimal(10,2)").alias("unit_cost"), F.lit("2020-01-01").cast("date").alias("order_date"),
+                                               F.lit("completed").alias("order_status"), F.lit("x").alias("payment_method"), F.lit("web").alias("channel"))
+    customers = spark.range(1000).select((F.col("id") + 1).alias("customer_key"), F.col("id").alias("customer_id"))
+    products = spark.range(1000).select((F.col("id") + 1).alias("product_key"), F.col("id").alias("product_id"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        keyed = FACT._keyed_lines(lines, customers, products).select("order_id", "product_key", "customer_key", F.spark_partition_id().alias("p"))
+        rows = keyed.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    sizes = Counter(r.p for r in rows)
+    assert sum(sizes.values()) == n and max(sizes.values()) <= 2 * n / parts
+    expected = {r.order_id: r for r in lines.select("order_id", "product_id", "customer_id").collect()}
+    for r in rows[::97]:
+        want = expected[r.order_id]
+        assert (r.product_key, r.customer_key) == tuple(None if x is None else x + 1 for x in (want.product_id, want.customer_id))
+
+
+def test_heavy_keys(spark):
+    from starloom.operators.joins import heavy_keys
+    df = spark.range(100_000).select(F.when(F.col("id") % 10 < 3, F.lit(1)).when(F.col("id") % 100 == 55, F.lit(2)).otherwise(F.col("id")).alias("k"))
+    assert sorted(heavy_keys(df, "k")) == [1, 2] and heavy_keys(df.where("k > 2"), "k") == [] and heavy_keys(df.limit(0), "k") == []
+
+
+def test_quarantine_releases_each_line_once(spark):
+    from starloom.operators import facts as FACT
+    day, money = F.lit("2020-01-01").cast("date"), lambda x: F.lit(x).cast("decimal(10,2)")
+    headers = spark.createDataFrame([(1, 10), (2, 99), (3, 10)], "order_id long, customer_id long").select(
+        "*", day.alias("order_date"), F.lit("completed").alias("order_status"), F.lit("x").alias("payment_method"), F.lit("web").alias("channel"))
+    lines = spark.createDataFrame([(1, 5), (1, 6), (2, 5), (2, 6), (3, 5), (3, 5), (4, 5), (None, 5)], "order_id long, product_id long").select(
+        "*", F.lit(1).cast("smallint").alias("quantity"), F.lit(0).cast("decimal(5,2)").alias("discount_pct"))
+    customers = spark.createDataFrame([(1, 10), (2, 99)], "customer_key long, customer_id long")
+    products = spark.createDataFrame([(1, 5), (2, 6)], "product_key long, product_id long").select("*", money("2.00").alias("unit_price"), money("1.00").alias("unit_cost"))
+    first = headers.where("order_id < 3"), lines, customers.where("customer_id = 10"), products.where("product_id = 5")
+    fact, lost = FACT.build_fact_from_parts(*first)[0], FACT.lost_lines(*first)
+    assert sorted((r.order_id or 0, r.product_id, r.reason) for r in lost.collect()) == [
+        (0, 5, "order"), (1, 6, "product"), (2, 5, "customer"), (2, 6, "product"), (3, 5, "order"), (3, 5, "order"), (4, 5, "order")]
+    more, still = FACT.released(lost, headers, customers, products)
+    whole = FACT.build_fact_from_parts(headers, lines, customers, products)[0]
+    assert sorted(fact.unionByName(more).collect()) == sorted(whole.collect())
+    assert sorted((r.order_id or 0, r.reason) for r in still.collect()) == [(0, "order"), (4, "order")]
+    again, left = FACT.released(still, headers, customers, products)
+    assert again.count() == 0 and left.count() == 2
