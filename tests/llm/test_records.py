@@ -392,8 +392,9 @@ def test_chat_is_native(spark):
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_embeddings(spark, block):
+@pytest.mark.parametrize("block, short", [(None, 256), (8, 256), (40, 7)])
+def test_embeddings(spark, monkeypatch, block, short):
+    monkeypatch.setattr(embed_join, "SHORT", short)
     rng = np.random.default_rng(3)
     base = rng.normal(size=(20, 12))
     rows = [(i, (base[i % 20] + 0.25 * rng.normal(size=12)).tolist()) for i in range(150)]
@@ -413,3 +414,52 @@ def test_embeddings_odd_tables(spark):
     frame = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None)], "vec_id long, embedding array<float>")
     got = sorted((r.vec_id or 0, r.n_links, r.kept) for r in embed_join.near_duplicates(frame).collect())
     assert got == [(0, 0, False), (1, 0, True), (2, 0, True)]
+
+
+def table_of(kind, n, dim=24):
+    """Unit vectors all over the sphere, or in tight groups, some of them copies."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(n if kind == "random" else 20, dim))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    x = base + 0.004 * rng.normal(size=base.shape) if kind == "random" else base[np.sort(rng.integers(0, 20, n))] + 0.004 * rng.normal(size=(n, dim))
+    x[n // 2:n // 2 + n // 10] = x[0]
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("kind", ["clustered", "random"])
+def test_embedding_blocks_that_are_skipped(spark, monkeypatch, kind):
+    """The links are exact, and boxes leave out most block pairs of clustered vectors."""
+    monkeypatch.setattr(embed_join, "SHORT", 30)
+    n, threshold = 2400, 0.9
+    x = table_of(kind, n)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    want = (u @ u.T >= threshold).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in embed_join.near_duplicates(frame, threshold=threshold, block=100).collect()}
+    assert [got[i] for i in range(n)] == want.tolist()
+    good = embed_join.usable(frame, "vec_id", "embedding")
+    basis = embed_join.principal(good, x.shape[1], 16)
+    epsilon = (2 - 2 * threshold) ** 0.5
+    _, pairs, blocks = embed_join.blocks_and_pairs(good, x.shape[1], epsilon, 100, basis)
+    all_pairs = blocks * (blocks + 1) // 2
+    skipped = 1 - pairs.count() / all_pairs
+    count, _, left_out = embed_join.link_counts(u, None, threshold, basis)
+    assert count.tolist() == want.tolist()
+    print(f"{kind}: {skipped:.2f} of {all_pairs} block pairs skipped, {left_out:.2f} of the pairs in one block of table order")
+    assert kind == "random" or (skipped > 0.5 and left_out > 0.3)
+
+
+def test_embedding_links_at_the_threshold():
+    """Pairs that single precision cannot decide."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 16))
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    threshold = float(np.sort((u[:150] @ u[150:].T).ravel())[-40])  # one pair lies exactly on it
+    exact = np.array([[(a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())) for b in x[150:]] for a in x[:150]])
+    count, label, _ = embed_join.link_counts(x[:150], x[150:], threshold, np.eye(16)[:, :4])
+    link = exact >= threshold
+    assert count.tolist() == link.sum(1).tolist() + link.sum(0).tolist() and 30 < link.sum() < 50
+    union = reference.Union()
+    for i, j in zip(*np.nonzero(link)):
+        union.join(int(i), int(j) + 150)
+    assert label.tolist() == [union.find(i) for i in range(300)]
