@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from ..functions import money as M
 from ..functions import text as X
 from ..operators import dimensions as DIM
 from ..operators import facts as FACT
+from ..operators import incremental as INC
 from ..operators import load as LD
 from ..operators import quality as Q
 from ..operators import rfm as RFM
@@ -310,6 +312,59 @@ def dq_fit(wh: Warehouse) -> DataFrame:
     return Q.fit_violations(wh.tables)
 
 
+# ── the key checks from summaries ─────────────────────────────────────────────
+
+# Fixed scenario parameter: the share of a key's range that the last load brings.
+LAST_LOAD = 0.1
+
+
+def _loads(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the loads before, and of the last one: the end of the key's range, and rows without a key."""
+    top = df.agg(F.max(key)).first()[0]
+    last = F.coalesce(F.col(key) > F.lit(int((top or 0) * (1 - LAST_LOAD))), F.lit(True))
+    return df.where(~last), df.where(last)
+
+
+def _unique_appended(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = []
+    for table, key in Q.UNIQUE_KEYS:
+        before, batch = _loads(tables[table], key)
+        summary = materialize(INC.key_summary(before, key), "key-summary")
+        after, _ = INC.key_summary_after(summary, before, batch, key)
+        parts.append(INC.duplicates(after).select(F.lit(table).alias("table_name"), F.lit(key).alias("column_name"), F.lit("unique").alias("check_name"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _fk_appended(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = []
+    for child, key, parent in Q.FOREIGN_KEYS:
+        before, batch = _loads(tables[child], key)
+        known, late = _loads(tables[parent].where(F.col(key).isNotNull()), key)
+        summary = materialize(INC.orphan_summary(before, key, known, key), "orphan-summary")
+        summary = materialize(INC.orphans_after_child(summary, batch, key, known, key), "orphan-summary")  # the batch comes before its parents
+        after, _ = INC.orphans_after_parent(summary, tables[child], key, tables[parent], late, key)
+        parts.append(INC.orphans(after).select(F.lit(child).alias("table_name"), F.lit(key).alias("column_name"), F.lit(f"fk:{parent}").alias("check_name"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def dq_unique_appended(wh: Warehouse) -> DataFrame:
+    """Unique keys after a last load, from the summaries of the loads before and the ranges that it touches."""
+    return _unique_appended(wh.tables)
+
+
+def dq_unique_appended_dirty(wh: Warehouse) -> DataFrame:
+    return _unique_appended(dirty_tables(wh))
+
+
+def dq_fk_appended(wh: Warehouse) -> DataFrame:
+    """Foreign keys after a last load of the child and then one of the parent, from the summaries before them."""
+    return _fk_appended(wh.tables)
+
+
+def dq_fk_appended_dirty(wh: Warehouse) -> DataFrame:
+    return _fk_appended(dirty_tables(wh))
+
+
 ON_WAREHOUSE = {
     "dq_report": dq_report,
     "dq_unique": dq_unique,
@@ -321,6 +376,10 @@ ON_WAREHOUSE = {
     "dq_not_null_dirty": dq_not_null_dirty,
     "dq_fk_dirty": dq_fk_dirty,
     "dq_fit_dirty": dq_fit_dirty,
+    "dq_unique_appended": dq_unique_appended,
+    "dq_unique_appended_dirty": dq_unique_appended_dirty,
+    "dq_fk_appended": dq_fk_appended,
+    "dq_fk_appended_dirty": dq_fk_appended_dirty,
     "load_append": load_append,
     "load_append_ids": load_append_ids,
     "load_insert_absent": load_insert_absent,
