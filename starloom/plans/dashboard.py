@@ -9,7 +9,8 @@ is the default (``LITERAL`` labels, ``discount_as_fraction=False``); the
 Unrounded ratios and averages are DOUBLE computed from exact decimal sums.
 Customer- and product-level pages pre-aggregate the fact to one row per customer
 or product key before joining the dimension (sums and counts are decomposable),
-so the join shuffles customers or products rather than order lines.
+so the join shuffles customers or products rather than order lines. Questions by month, channel,
+status or payment method read the order summary, whose bitmaps give distinct orders and customers.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..functions import labels as L
 from ..functions import money as M
 from ..functions import scoring as SC
 from ..functions import text as X
+from ..operators.distinct import counted
 from ..sources.warehouse import Warehouse
 
 
@@ -52,12 +54,24 @@ def asc(c: str) -> Column:
 
 
 def _discount(as_fraction: bool) -> Column:
-    d = F.col("discount_pct")
-    return d * F.lit(0.01).cast("decimal(3,2)") if as_fraction else d
+    return _scaled(F.col("discount_pct"), as_fraction)
+
+
+def _scaled(percent: Column, as_fraction: bool) -> Column:
+    return percent * F.lit(0.01).cast("decimal(3,2)") if as_fraction else percent
+
+
+def _mean_discount(as_fraction: bool) -> Column:
+    """The mean discount ×100 from a summary's sum and count."""
+    return _scaled(F.col("discount").cast("decimal(30,2)"), as_fraction).cast("double") / F.nullif(F.col("discount_n"), F.lit(0)) * F.lit(100.0)
+
+
+def _kept(df: DataFrame, labels: StatusLabels) -> DataFrame:
+    return df.filter(F.col("order_status") != F.lit(labels.cancelled))
 
 
 def _not_cancelled(wh: Warehouse, labels: StatusLabels) -> DataFrame:
-    return wh.fact.filter(F.col("order_status") != F.lit(labels.cancelled))
+    return _kept(wh.fact, labels)
 
 
 def _dsum(c: str) -> Column:
@@ -71,19 +85,13 @@ def _orders() -> Column:
 # ── page 1: overview ──────────────────────────────────────────────────────────
 
 def d01_overview_kpi(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
-    """Revenue, orders, customers, order value, profit and margin (one row).
-
-    Lines are first reduced to one row per (order, customer) — map-side combined —
-    so the two distinct counts expand orders, not every order line.
-    """
-    per_order = (_not_cancelled(wh, labels).groupBy("order_id", "customer_key")
-                 .agg(F.sum("revenue").alias("rev"), F.sum("gross_profit").alias("gp")))
-    return per_order.agg(_dsum("rev").alias("total_revenue"),
-                         _orders().alias("total_orders"),
-                         F.countDistinct("customer_key").cast("long").alias("total_customers"),
-                         M.float_ratio(F.sum("rev"), F.countDistinct("order_id")).alias("aov"),
-                         _dsum("gp").alias("total_profit"),
-                         M.float_ratio(F.sum("gp"), F.sum("rev"), 100).alias("profit_margin_pct"))
+    """Revenue, orders, customers, order value, profit and margin (one row)."""
+    orders = counted(_kept(wh.order_cells(), labels), [], "orders", "n_orders", ["revenue", "gross_profit"])
+    buyers = counted(_kept(wh.buyer_cells(), labels), [], "buyers", "n_buyers")
+    rev, gp, n = F.sum("revenue"), F.sum("gross_profit"), F.sum("n_orders").cast("long")
+    return (orders.unionByName(buyers, allowMissingColumns=True)   # two one-row results, side by side
+            .agg(rev.alias("total_revenue"), n.alias("total_orders"), F.sum("n_buyers").cast("long").alias("total_customers"),
+                 M.float_ratio(rev, n).alias("aov"), gp.alias("total_profit"), M.float_ratio(gp, rev, 100).alias("profit_margin_pct")))
 
 
 def d01_overview_kpi_fixed(wh: Warehouse) -> DataFrame:
@@ -91,17 +99,14 @@ def d01_overview_kpi_fixed(wh: Warehouse) -> DataFrame:
 
 
 def d02_monthly_trend(wh: Warehouse, labels: StatusLabels = LITERAL) -> DataFrame:
-    d = wh.dim_date_for_join().select("date_key", D.month_start(F.col("full_date")).alias("_month"))
-    return (_not_cancelled(wh, labels).join(d, "date_key")
-            .groupBy("_month")
-            .agg(_dsum("revenue").alias("revenue"), _dsum("gross_profit").alias("gross_profit"),
-                 _orders().alias("orders"))
-            .select(D.month_label(F.col("_month")).alias("month"), "revenue", "gross_profit", "orders")
+    cells = _kept(wh.order_cells(), labels).filter(F.col("order_month").isNotNull())
+    return (counted(cells, ["order_month"], "orders", "orders", ["revenue", "gross_profit"])
+            .select(D.month_label(F.col("order_month")).alias("month"), "revenue", "gross_profit", "orders")
             .orderBy(asc("month")))
 
 
 def _channel_sums(wh: Warehouse, labels: StatusLabels) -> DataFrame:
-    return (_not_cancelled(wh, labels).groupBy("channel")
+    return (_kept(wh.order_cells(), labels).groupBy("channel")
             .agg(F.sum("revenue").alias("_revenue"), F.sum("gross_profit").alias("_gross_profit")))
 
 
@@ -321,27 +326,10 @@ def d14_top_states(wh: Warehouse, labels: StatusLabels = LITERAL, limit: int = 1
 # ── page 4: orders ────────────────────────────────────────────────────────────
 
 def d15_order_kpi(wh: Warehouse, labels: StatusLabels = LITERAL, discount_as_fraction: bool = False) -> DataFrame:
-    """Distinct orders in total and per status label, and the mean discount ×100.
-
-    Two-level: one row per order with a flag per label, then one global sum —
-    instead of one distinct-expansion of every line per counted label.
-    """
-    def flag(v: str) -> Column:
-        return F.max(F.when(F.col("order_status") == F.lit(v), F.lit(1)).otherwise(F.lit(0)))
-
-    per_order = (wh.fact.withColumn("_disc", _discount(discount_as_fraction))
-                 .groupBy("order_id")
-                 .agg(flag(labels.completed).alias("c"), flag(labels.cancelled).alias("x"),
-                      flag(labels.returned).alias("r"), flag(labels.pending).alias("p"),
-                      F.sum("_disc").alias("disc_sum"), F.count("_disc").alias("disc_n")))
-
-    def n_orders(c: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("order_id").isNotNull(), F.col(c))), F.lit(0)).cast("long")
-
-    return per_order.agg(F.count("order_id").cast("long").alias("total_orders"),
-                         n_orders("c").alias("completed"), n_orders("x").alias("cancelled"),
-                         n_orders("r").alias("returned"), n_orders("p").alias("pending"),
-                         (F.sum("disc_sum").cast("double") / F.sum("disc_n") * F.lit(100.0)).alias("avg_discount_pct"))
+    """Distinct orders in total and per status label, and the mean discount ×100."""
+    named = {name: F.col("order_status") == F.lit(getattr(labels, name)) for name in ("completed", "cancelled", "returned", "pending")}
+    return (counted(wh.order_cells(), [], "orders", "total_orders", ["discount", "discount_n"], named)
+            .select("total_orders", *named, (_mean_discount(discount_as_fraction)).alias("avg_discount_pct")))
 
 
 def d15_order_kpi_fixed(wh: Warehouse) -> DataFrame:
@@ -349,12 +337,11 @@ def d15_order_kpi_fixed(wh: Warehouse) -> DataFrame:
 
 
 def _status_sums(wh: Warehouse) -> DataFrame:
-    return (wh.fact.groupBy("order_status")
-            .agg(_orders().alias("orders"), F.sum("revenue").alias("_revenue")))
+    return counted(wh.order_cells(), ["order_status"], "orders", "orders", ["revenue"])
 
 
 def d16_status(wh: Warehouse) -> DataFrame:
-    return (_status_sums(wh).select("order_status", "orders", F.col("_revenue").alias("revenue"))
+    return (_status_sums(wh).select("order_status", "orders", "revenue")
             .orderBy(desc("orders"), asc("order_status")))
 
 
@@ -365,11 +352,9 @@ def status_share(wh: Warehouse) -> DataFrame:
 
 
 def d17_payment(wh: Warehouse, labels: StatusLabels = LITERAL, discount_as_fraction: bool = False) -> DataFrame:
-    return (_not_cancelled(wh, labels).withColumn("_disc", _discount(discount_as_fraction))
-            .groupBy("payment_method")
-            .agg(_orders().alias("orders"), _dsum("revenue").alias("revenue"),
-                 M.float_avg("_disc", 100).alias("avg_discount"))
-            .withColumn("revenue_label", L.money_label(F.col("revenue")))
+    return (counted(_kept(wh.order_cells(), labels), ["payment_method"], "orders", "orders", ["revenue", "discount", "discount_n"])
+            .select("payment_method", "orders", "revenue", _mean_discount(discount_as_fraction).alias("avg_discount"),
+                    L.money_label(F.col("revenue")).alias("revenue_label"))
             .orderBy(desc("revenue"), asc("payment_method")))
 
 
@@ -389,7 +374,7 @@ def d18_discount_band_fixed(wh: Warehouse) -> DataFrame:
 
 
 def _channel_status(wh: Warehouse) -> DataFrame:
-    return wh.fact.groupBy("channel", "order_status").agg(_orders().alias("orders"))
+    return counted(wh.order_cells(), ["channel", "order_status"], "orders", "orders")
 
 
 def d19_channel_status(wh: Warehouse) -> DataFrame:
@@ -428,8 +413,8 @@ def channel_status_pivot_unknown(wh: Warehouse) -> DataFrame:
 
 
 def _monthly_status(wh: Warehouse) -> DataFrame:
-    d = wh.dim_date_for_join().select("date_key", D.month_start(F.col("full_date")).alias("_month"))
-    return (wh.fact.join(d, "date_key").groupBy("_month", "order_status")
+    return (wh.order_cells().filter(F.col("order_month").isNotNull())
+            .groupBy(F.col("order_month").alias("_month"), "order_status")
             .agg(F.sum("revenue").alias("_revenue")))
 
 

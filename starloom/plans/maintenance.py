@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import money as M
 from ..functions import text as X
 from ..operators import dimensions as DIM
+from ..operators import distinct as DISTINCT
 from ..operators import facts as FACT
 from ..operators import incremental as INC
 from ..operators import load as LD
@@ -365,7 +366,35 @@ def dq_fk_appended_dirty(wh: Warehouse) -> DataFrame:
     return _fk_appended(dirty_tables(wh))
 
 
+# ── order summary ─────────────────────────────────────────────────────────────
+
+def _shown(cells: DataFrame) -> DataFrame:
+    out = DISTINCT.counted(cells, DISTINCT.CELL, "orders", "orders", DISTINCT.SUMS)
+    return out.select("order_month", *DISTINCT.CELL[1:], "orders", *[F.col(c).cast("long").alias(c) if c in ("lines", "quantity", "revenue_n", "discount_n") else c for c in DISTINCT.SUMS])
+
+
+def order_cells(wh: Warehouse) -> DataFrame:
+    """The order summary: distinct orders and sums of each month, channel, status and payment method."""
+    return _shown(wh.order_cells())
+
+
+def order_cells_appended(wh: Warehouse) -> DataFrame:
+    """The same after two loads that split most orders between them: the second load's orders keep the numbers of the
+    first, new ones go behind its mark, and its rows are added to the summary."""
+    lines = DISTINCT.lines_by_month(wh.fact, wh.dim_date_for_join())
+    late = (F.col("product_key") % 3 == 0) | (F.col("order_id") % 5 == 0)
+    first = materialize(DISTINCT.order_rows(lines.filter(~F.coalesce(late, F.lit(False)))), "order-rows")
+    second = materialize(DISTINCT.order_rows(lines.filter(F.coalesce(late, F.lit(False)))), "order-rows")
+    numbers, mark = DISTINCT.order_numbers(first)
+    numbers = materialize(numbers, "order-numbers")
+    more, _ = DISTINCT.order_numbers(second, numbers, mark)
+    summary = DISTINCT.order_cells(first, numbers)
+    return _shown(summary.unionByName(DISTINCT.order_cells(second, numbers.unionByName(more))))
+
+
 ON_WAREHOUSE = {
+    "order_cells": order_cells,
+    "order_cells_appended": order_cells_appended,
     "dq_report": dq_report,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import money as M
 from ..functions import scoring as SC
 from ..functions import text as X
+from ..operators.distinct import counted
 from ..sources.warehouse import Warehouse
 
 COMPLETED, RETURNED, CANCELLED = "completed", "returned", "cancelled"
@@ -98,11 +99,10 @@ def q03_top_products(wh: Warehouse, limit: int = 20) -> DataFrame:
 
 
 def q04_channel_payment(wh: Warehouse) -> DataFrame:
-    return (_completed(wh)
-            .groupBy("channel", "payment_method")
-            .agg(_orders().alias("orders"),
-                 M.money_sum("revenue").alias("total_revenue"),
-                 M.exact_avg("revenue", 2).alias("avg_order_revenue"))
+    done = wh.order_cells().filter(F.col("order_status") == F.lit(COMPLETED))
+    return (counted(done, ["channel", "payment_method"], "orders", "orders", ["revenue", "revenue_n"])
+            .select("channel", "payment_method", "orders", F.round("revenue", 2).alias("total_revenue"),
+                    M.exact_avg_from(F.col("revenue"), F.col("revenue_n"), 2).alias("avg_order_revenue"))
             .orderBy(desc("total_revenue"), asc("channel"), asc("payment_method")))
 
 

@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dimensions as DIM
+from ..operators import distinct as DISTINCT
 from ..operators import facts as FACT
 from ..operators import rfm as RFM
 from ..operators.joins import broadcast_bounded_by_construction
+from ..operators.stage import materialize, staging
 from ..session import checkpoint_dir
 from . import files
 from . import schemas as S
@@ -30,6 +32,7 @@ from . import testdata as TD
 TABLE_NAMES = ["dim_date", "dim_customer", "dim_product", "fact_sales", "fact_rfm"]
 # A calendar dimension is broadcast when its (known) row count is at most this.
 DATE_BROADCAST_MAX_ROWS = 200_000
+_SUMMARY_LOCK = threading.Lock()
 
 
 @dataclass
@@ -58,12 +61,38 @@ class Warehouse:
         return broadcast_bounded_by_construction(self.tables["dim_date"], self.calendar_days,
                                                  DATE_BROADCAST_MAX_ROWS)
 
+    # ── summaries, written when they are first asked for ──────────────────────
+
+    def _summary(self, name: str, make) -> DataFrame:
+        paths = self.extras.setdefault("summaries", {})
+        with _SUMMARY_LOCK:
+            if name not in paths:
+                path = f"{self.location or checkpoint_dir(self.spark) + '/starloom-summaries/' + uuid.uuid4().hex}/{name}"
+                with staging(self.spark):   # numbering stages its rows
+                    make().write.mode("overwrite").parquet(path)
+                paths[name] = path
+        return self.spark.read.parquet(paths[name])
+
+    def _lines_by_month(self) -> DataFrame:
+        return DISTINCT.lines_by_month(self.fact, self.dim_date_for_join())
+
+    def order_cells(self) -> DataFrame:
+        """Sums and order bitmaps per month, channel, status and payment method (``operators/distinct.py``)."""
+        def make() -> DataFrame:
+            rows = materialize(DISTINCT.order_rows(self._lines_by_month()), "order-rows")
+            return DISTINCT.order_cells(rows, DISTINCT.order_numbers(rows)[0])
+        return self._summary("order_cells", make)
+
+    def buyer_cells(self) -> DataFrame:
+        """Customer bitmaps per month and status."""
+        return self._summary("buyer_cells", lambda: DISTINCT.buyer_cells(self._lines_by_month()))
+
     def with_session(self, spark: SparkSession) -> "Warehouse":
         """The same materialised tables, read through another session."""
         if spark is self.spark or not self.location:
             return self
         tables = {name: spark.read.parquet(f"{self.location}/{name}") for name in self.tables}
-        return Warehouse(spark, tables, self.start_date, self.end_date, self.location, self.dropped_rows)
+        return Warehouse(spark, tables, self.start_date, self.end_date, self.location, self.dropped_rows, self.extras)
 
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables.items():
