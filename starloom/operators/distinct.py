@@ -65,7 +65,8 @@ def order_cells(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     """The summary's rows for ``rows`` of :func:`order_rows`; ``numbers`` has the number of every order in them."""
     keys = [*CELL, "block"]
     numbered = rows.join(numbers, "order_id", "left").withColumn("block", F.bitmap_bucket_number("order_no"))
-    return numbered.repartition(*keys).groupBy(*keys).agg(_bitmap("order_no").alias("orders"), *[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in SUMS])
+    sums = [F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in SUMS]
+    return numbered.repartition(*keys).groupBy(*keys).agg(_bitmap("order_no").alias("orders"), *sums)
 
 
 def buyer_cells(lines: DataFrame) -> DataFrame:

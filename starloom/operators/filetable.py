@@ -169,10 +169,11 @@ class FileTable:
         last = top.get["top"]
         return added, base.next_id if last is None else int(last) + 1
 
-    def append(self, batch: DataFrame, id_col: str | None = None) -> Version:
+    def append(self, batch: DataFrame, id_col: str | None = None, next_id: int | None = None) -> Version:
+        """Add rows. Those that come with ids of their own move the mark to ``next_id``, in the same commit."""
         base = self.version()
         added, mark = self._write_numbered(None, batch, base, id_col)
-        return self._commit(base, (), added, mark)
+        return self._commit(base, (), added, max(mark, next_id or mark))
 
     def overwrite(self, rows: DataFrame) -> Version:
         """The table with ``rows`` alone, which may read it."""

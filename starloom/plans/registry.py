@@ -100,6 +100,18 @@ def etl_run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(pipeline.file_tables(spark, root)["fact_sales"].read().drop("sale_id"))
 
 
+def etl_order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order summary that two repeat-safe runs keep: all orders, and then those of the last third of the calendar again."""
+    from . import pipeline
+
+    root = f"{checkpoint_dir(spark)}/starloom-runs/{uuid.uuid4().hex}"
+    customers, products, (headers, lines), start, end = pipeline.testdata_inputs(spark, sf_dir)
+    again = headers.where(F.col("order_date") > F.lit(end - (end - start) / 3))
+    for part in (headers, again):
+        pipeline.run_files(spark, customers, products, (part, lines.join(part.select("order_id"), "order_id", "left_semi")), start, end, root=root)
+    return portable(maintenance.order_cells(pipeline.file_warehouse(spark, root)))
+
+
 def etl_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run leaves besides its tables: new staged folders, and versions of each table beyond the one in use."""
     from . import pipeline
@@ -128,6 +140,7 @@ def queries() -> dict[str, QueryFn]:
         "etl_run": etl_run,
         "etl_run_twice": etl_run_twice,
         "etl_left_over": etl_left_over,
+        "etl_order_cells": etl_order_cells,
     }
     for name, fn in {**reports.REPORTS, **dashboard.DASHBOARD, **maintenance.ON_WAREHOUSE}.items():
         q[name] = _on_warehouse(fn)

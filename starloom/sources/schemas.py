@@ -102,6 +102,26 @@ FACT_RFM = _s(
     ("segment", T.StringType(), True),
 )
 
+# The order summary (operators/distinct.py).
+SUMMED = T.DecimalType(28, 2)
+ORDER_NUMBERS = _s(("order_id", T.LongType(), False), ("order_no", T.LongType(), False))
+ORDER_CELLS = _s(
+    ("order_month", T.DateType(), True),
+    ("channel", T.StringType(), True),
+    ("order_status", T.StringType(), True),
+    ("payment_method", T.StringType(), True),
+    ("block", T.LongType(), True),
+    ("orders", T.BinaryType(), False),
+    ("lines", T.LongType(), False),
+    ("quantity", T.LongType(), True),
+    ("revenue", SUMMED, True),
+    ("revenue_n", T.LongType(), False),
+    ("gross_profit", SUMMED, True),
+    ("discount", SUMMED, True),
+    ("discount_n", T.LongType(), False),
+)
+BUYER_CELLS = _s(("order_month", T.DateType(), True), ("order_status", T.StringType(), True), ("block", T.LongType(), True), ("buyers", T.BinaryType(), False))
+
 RAW_CUSTOMERS = _s(
     ("customer_id", T.LongType(), False),
     ("first_name", T.StringType(), True),

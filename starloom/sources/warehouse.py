@@ -64,6 +64,8 @@ class Warehouse:
     # ── summaries, written when they are first asked for ──────────────────────
 
     def _summary(self, name: str, make) -> DataFrame:
+        if name in self.extras.get("kept", {}):   # by the loads themselves
+            return self.extras["kept"][name].read()
         paths = self.extras.setdefault("summaries", {})
         with _SUMMARY_LOCK:
             if name not in paths:
