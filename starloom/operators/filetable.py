@@ -163,6 +163,8 @@ class FileTable:
         """``batch`` with new ids and what is kept as it is; the files, and the mark after them."""
         if id_col is None:
             return self._write(batch if kept is None else kept.unionByName(batch.select(*kept.columns))), base.next_id
+        if batch.isEmpty():  # a plan that is known to be empty runs no observation
+            return self._write(kept) if kept is not None else [], base.next_id
         top = Observation(f"ids_{uuid.uuid4().hex}")
         numbered = LD.with_sequence_ids(batch, id_col, base.next_id).select(*self.schema.names).observe(top, F.max(id_col).alias("top"))
         added = self._write(numbered if kept is None else kept.unionByName(numbered))
@@ -195,6 +197,8 @@ class FileTable:
         are numbered from the mark on."""
         base = self.version()
         LD.assert_unique_key(source, key)
+        if source.isEmpty():
+            return self._commit(base, (), (), base.next_id)
         old = self.touched(base, source.select(key), key)
         merged = LD.upserted(self._scan(old).select(*self.schema.names), source, key, update_cols, new_key, check_unique=False, start=base.next_id)
         mark = base.next_id

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import load as LD
+from starloom.operators.distinct import counted
 from starloom.operators.filetable import ConcurrentLoad, FileTable
 from starloom.plans import pipeline as P
 from starloom.sources import files
+from starloom.sources import schemas as S
 
 SF = "/root/testdata/sf0.001"
 ROW = "id long, d date, v string"
@@ -142,6 +144,8 @@ def test_pipeline_into_files_is_repeat_safe(spark, tmp_path):
     assert second["row_counts"] == first["row_counts"] and second["quality"] == first["quality"]
     assert sorted(tables["fact_sales"].read().drop("sale_id").collect()) == facts
     assert tables["fact_sales"].read().select("sale_id").distinct().count() == len(facts)
+    summary = P.summary_tables(spark, str(tmp_path / "wh"))
+    numbers, cells = sorted(summary["order_numbers"].read().collect()), set(summary["order_cells"].version().files)
     # a later batch of one month leaves the other months' files
     headers, lines = inputs[2]
     month = headers.where(F.date_format("order_date", "yyyy-MM") == "1996-05")
@@ -150,6 +154,52 @@ def test_pipeline_into_files_is_repeat_safe(spark, tmp_path):
     assert {f for f in before if "1996-05" not in f} <= set(tables["fact_sales"].version().files)
     assert third["row_counts"] == first["row_counts"]
     assert sorted(tables["fact_sales"].read().drop("sale_id").collect()) == facts
+    # its orders keep their numbers, most of the summary's files stay, and the counts are the fact's
+    assert sorted(summary["order_numbers"].read().collect()) == numbers
+    assert len(cells & set(summary["order_cells"].version().files)) > len(cells) / 2
+    wh = P.file_warehouse(spark, str(tmp_path / "wh"))
+    for got, key, column in ((wh.order_cells(), "order_id", "orders"), (wh.buyer_cells(), "customer_key", "buyers")):
+        by = [F.date_format("order_date", "yyyy-MM").alias("month"), "order_status"]
+        counts = counted(got, [F.date_format("order_month", "yyyy-MM").alias("month"), "order_status"], column, "n")
+        assert sorted(counts.collect()) == sorted(wh.fact.groupBy(*by).agg(F.countDistinct(key).alias("n")).collect())
+
+
+def test_lines_without_a_date_are_added_to_the_summary(spark, tmp_path):
+    """As the fact adds them: a load that comes twice counts their lines twice, their orders once."""
+    fact = FileTable(spark, str(tmp_path / "fact"), S.FACT_SALES, P.FACT_PARTITION, ["order_date"])
+    summary = P.summary_tables(spark, str(tmp_path))
+    day = F.when(F.col("id") % 4 > 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")))
+    given = {"order_id": F.when(F.col("id") % 7 > 0, F.col("id") % 500), "customer_key": F.col("id") % 90 + 1, "order_date": day,
+             "order_status": F.when(F.col("id") % 3 > 0, F.lit("completed")), "revenue": F.lit(2)}
+    batch = spark.range(2000).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.FACT_SALES.fields if f.name != "sale_id"])
+    for part in (batch, batch, batch.where("order_date < '2024-02-01' OR order_date IS NULL"), batch.limit(0)):
+        fact.replace(part, "order_date", id_col="sale_id")
+        P.refresh_summary(fact, part, summary)
+    assert fact.read().count() == 1500 + 3 * 500
+    for by in ([], ["order_status"], ["order_month"]):
+        plain = fact.read().withColumn("order_month", F.trunc("order_date", "MM")).groupBy(*by).agg(F.countDistinct("order_id"), F.count(F.lit(1)), F.sum("revenue").cast("decimal(38,2)"))
+        assert sorted(map(str, (tuple(r) for r in counted(summary["order_cells"].read(), by, "orders", "n", ["lines", "revenue"]).collect()))) == sorted(map(str, map(tuple, plain.collect())))
+
+
+def test_empty_loads_change_nothing(spark, tmp_path):
+    t = table(spark, tmp_path, order=["id"])
+    none = rows(spark, 0, 1).limit(0)
+    for load in (lambda: t.append(none, id_col="id"), lambda: t.replace(none, "d", id_col="id"), lambda: t.upsert(none, "id", ["v"], new_key=("id", "id"))):
+        load()
+        assert content(t) == [] and t.version().next_id == 1
+    t.append(rows(spark, 0, 5).drop("id"), id_col="id")
+    before = content(t), t.version().next_id
+    t.replace(none, "d", id_col="id")
+    t.upsert(none, "id", ["v"])
+    assert (content(t), t.version().next_id) == before
+
+
+def test_a_load_that_dies_between_the_tables_keeps_its_numbers(spark, tmp_path):
+    t = table(spark, tmp_path, order=["id"])
+    t.append(rows(spark, 5, 8), next_id=8)
+    assert t.version().next_id == 8
+    t.append(rows(spark, 1, 2))
+    assert t.version().next_id == 8 and len(content(t)) == 4
 
 
 def test_a_month_of_one_customer_reads_few_row_groups(spark, tmp_path):
