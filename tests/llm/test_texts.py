@@ -303,3 +303,16 @@ def test_mixing_odd_tables(spark):
     assert mixing.mixed_rows(empty(spark), mixing.Target(repetition=2.0)).count() == 0
     rows = spark.createDataFrame([(1, None, "a"), (2, "x y", None), (2, "x y", None), (None, "z", "")], "doc_id long, text string, source string")
     assert mixing.mixed_rows(rows, mixing.Target()).count() == 4
+
+
+def test_mixing_query_evens_out_sources(spark, tmp_path):
+    """Every document is shown, and a source of a tenth of the size up to four times, not 1.05 times."""
+    from starloom.llm.queries import op2_source_mixing
+
+    docs = spark.range(660).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 600, "large").otherwise("small").alias("source"), F.lit("a b c").alias("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op2_source_mixing(spark, str(tmp_path)).collect()
+    shown = {s: [r.doc_id for r in rows if r.source == s] for s in ("large", "small")}
+    assert set(shown["large"]) == set(range(600)) and set(shown["small"]) == set(range(600, 660))
+    assert len(shown["large"]) == 600 and 230 <= len(shown["small"]) <= 245
+    assert max(r["pass"] for r in rows) == 4
