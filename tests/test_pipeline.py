@@ -169,3 +169,20 @@ def test_quarantine_releases_each_line_once(spark):
     assert sorted((r.order_id or 0, r.reason) for r in still.collect()) == [(0, "order"), (4, "order")]
     again, left = FACT.released(still, headers, customers, products)
     assert again.count() == 0 and left.count() == 2
+
+
+def test_amounts_are_computed_after_the_joins(spark):
+    """No shuffle of the fact build carries an amount; those of lines without a product or order are as they were."""
+    from starloom.operators import facts as FACT
+    from starloom.sources import schemas as S
+    headers = spark.createDataFrame([(1, 10, "completed"), (None, 10, "completed")], "order_id long, customer_id long, order_status string")
+    headers = headers.select("*", F.lit("2020-01-01").cast("date").alias("order_date"), F.lit("web").alias("channel"), F.lit("x").alias("payment_method"))
+    lines = spark.createDataFrame([(1, 5), (1, 5), (7, 5), (1, 6), (None, 5), (1, None)], "order_id long, product_id long")
+    lines = lines.select("*", F.lit(2).cast("smallint").alias("quantity"), F.lit(10).cast(S.PCT).alias("discount_pct"))
+    customers = spark.createDataFrame([(3, 10)], "customer_key long, customer_id long")
+    products = spark.createDataFrame([(4, 5)], "product_key long, product_id long").select(
+        "*", F.lit(20).cast(S.MONEY).alias("unit_price"), F.lit(5).cast(S.MONEY).alias("unit_cost"))
+    fact, _ = FACT.build_fact_from_parts(headers, lines, customers, products)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS gross_profit" in plan and not any("gross_profit" in part for part in plan.split("Join ")[1:])
+    assert [(r.order_id, r.customer_key, r.product_key, float(r.revenue), float(r.gross_profit)) for r in fact.collect()] == [(1, 3, 4, 36.0, 26.0)] * 2
