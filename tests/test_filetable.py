@@ -225,3 +225,43 @@ def test_a_month_of_one_customer_reads_few_row_groups(spark, tmp_path):
     assert groups["all"] >= 400 and 0 < groups["customer_key"] < 0.05 * groups["all"] and 0 < groups["product_key"] < 0.05 * groups["all"]
     plan = t.where_partition("2024-02", "2024-02").where("customer_key = 1234")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(customer_key,1234)" in plan and "PartitionFilters: [isnotnull(m" in plan
+
+
+def test_rows_are_sorted_by_the_order_alone(spark, tmp_path, monkeypatch):
+    """Several folders a task, each file in order, and the session's setting is as before."""
+    import pyarrow.parquet as pq
+
+    frame = type(spark.range(1))
+    sorts, plain = [], frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *keys: (sorts.append(keys), plain(self, *keys))[1])
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    t = table(spark, tmp_path, partition=("m", "date_format(d, 'yyyy-MM')"), order=["id"])
+    t.append(rows(spark, 0, 20_000).orderBy(F.xxhash64("id")))
+    assert [len(keys) for keys in sorts] == [1]  # no partition name before the order
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    ids = [pq.ParquetFile(f"{t.root}/data/{f}").read(columns=["id"]).column("id").to_pylist() for f in t.version().files]
+    assert all(x == sorted(x) for x in ids) and sorted(sum(ids, [])) == list(range(20_000))
+    assert len({f.split("m=")[1].split("/")[0] for f in t.version().files}) == 7
+
+
+def test_the_summary_is_made_from_the_batch(spark, tmp_path, monkeypatch):
+    """Stored lines are read only for dates that the batch lacks in its months."""
+    fact = FileTable(spark, str(tmp_path / "fact"), S.FACT_SALES, P.FACT_PARTITION, ["order_date"])
+    summary = P.summary_tables(spark, str(tmp_path))
+    given = {"order_id": F.col("id") % 300, "customer_key": F.col("id") % 50 + 1, "revenue": F.lit(2), "channel": F.lit("web"),
+             "order_date": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int"))}
+    whole = spark.range(1800).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.FACT_SALES.fields if f.name != "sale_id"])
+    part = whole.where("order_date < '2024-01-11' OR order_date > '2024-03-20'").where("order_id % 2 = 0").withColumn("channel", F.lit("shop"))
+    read, plain = [], P.DISTINCT.order_rows
+    monkeypatch.setattr(P.DISTINCT, "order_rows", lambda lines: (read.append([f for f in lines.inputFiles() if "/fact/" in f]), plain(lines))[1])
+    for batch in (whole, part, whole):
+        path = str(tmp_path / f"batch{len(read)}")
+        batch.write.parquet(path)
+        batch = spark.read.parquet(path)
+        fact.replace(batch, "order_date", id_col="sale_id")
+        P.refresh_summary(fact, batch, summary)
+        for by in (["order_month"], ["channel"]):
+            counts = fact.read().withColumn("order_month", F.trunc("order_date", "MM")).groupBy(*by).agg(F.countDistinct("order_id"), F.sum("revenue").cast("decimal(38,2)"))
+            got = counted(summary["order_cells"].read(), by, "orders", "n", ["revenue"])
+            assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, counts.collect())))
+    assert [bool(files) for files in read] == [False, True, False]
