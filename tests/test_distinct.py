@@ -1,5 +1,6 @@
 """The order summary's bitmaps against plain distinct counts."""
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,35 @@ def test_bitmaps_are_made_once_a_cell_and_block(loaded):
     plan = D.order_cells(D.order_rows(table), numbers)._jdf.queryExecution().executedPlan().toString()
     last = plan[:plan.index("Exchange")]
     assert "bitmap_construct_agg" in last and "partial_bitmap_construct_agg" in last
+
+
+def test_sums_do_not_travel_with_orders(spark, loaded):
+    """An order is shuffled with its cells alone, once; sums take a row for each cell and task."""
+    table = loaded[0]
+    rows = D.order_rows(table)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    by_order = [keys for keys in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan) if "order_id" in keys]
+    assert len(by_order) == 1 and "," not in by_order[0]
+    orders = rows.where("order_id IS NOT NULL")
+    assert orders.where("lines IS NOT NULL OR revenue IS NOT NULL").isEmpty()
+    assert orders.count() == table.agg(F.countDistinct("order_id")).first()[0]
+    assert rows.where("order_id IS NULL").count() == table.select(*D.CELL).distinct().count()
+
+
+def test_rows_are_numbered_with_their_cells(spark, loaded):
+    """Two loads with common orders: numbers as before, and summaries that need no join of orders and numbers."""
+    table, _, numbers, mark = loaded
+    batch = lines(spark, 30_000, 50)
+    first, new, after = D.numbered_rows(D.order_rows(table))
+    assert after == mark and rows_of(new) == rows_of(numbers)
+    rows = D.order_rows(batch)
+    second, more, last = D.numbered_rows(rows, new, after)
+    expected, end = D.order_numbers(rows, numbers, mark)
+    assert last == end and rows_of(more) == rows_of(expected)
+    assert rows_of(second.where("order_no IS NOT NULL").select("order_id", "order_no")) == rows_of(numbers.unionByName(expected).join(batch.select("order_id").distinct(), "order_id", "left_semi"))
+    cells = [D.order_cells(first), D.order_cells(second)]
+    assert all("order_id" not in keys for c in cells for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)", c.select("orders")._jdf.queryExecution().executedPlan().toString()))
+    for by in ([], ["order_month", "order_status"], D.CELL):
+        assert rows_of(D.counted(cells[0].unionByName(cells[1]), by, "orders", "orders", ["lines", "revenue"])) == rows_of(plain(table.unionByName(batch), by))
+    none, _, same = D.numbered_rows(D.order_rows(table.limit(0)), new, after)
+    assert same == after and D.order_cells(none).isEmpty()
